@@ -89,8 +89,8 @@ def collapse(text: Column) -> Column:
 DATE_START = r"(?U)(?=(?<!\d)\d{2}\.\d{2}\.\d{4}\b)"
 PUBLISHED = r"(?U)^(\d{2}\.\d{2}\.\d{4})\b"
 MOMENT = r"(\d{1,2})(?:[.:](\d{2}))?\s*(?:час\w*\s+)?(\d{1,2})\s+([а-яё]+)\s+(\d{4})"
-PERIOD = r"(?iuU)с\s+" + MOMENT + r".*?\bдо\s+" + MOMENT
-THROUGH_PERIOD = r"(?iuU)^.*?" + PERIOD.removeprefix("(?iuU)")
+PERIOD = r"(?iuUd)с\s+" + MOMENT + r".*?\bдо\s+" + MOMENT
+THROUGH_PERIOD = r"(?iuUd)^(?s:.*?)" + PERIOD.removeprefix("(?iuUd)")
 REGIME = r"(?iuU)(перв|втор|трет)\w*\s+режим"
 # end of fixed patterns
 

@@ -96,3 +96,10 @@ def regression_scores(actual: str = "label", predicted: str = "prediction") -> d
         "predicted_aqi": F.round(predicted, 2),
         "abs_error": F.round(F.abs(F.col(predicted) - F.col(actual)), 2),
     }
+
+
+def simple_line(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataFrame:
+    """Least-squares line of ``y`` on one feature, in one pass."""
+    return df.groupBy(*by).agg(
+        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2")
+    )

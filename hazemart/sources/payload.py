@@ -78,7 +78,8 @@ def parallel_arrays(
     """One row per element of ``root.time``; a short or missing array gives null."""
     arrays = T.StructType([T.StructField(n, T.ArrayType(T.StringType())) for n in [time, *variables]])
     parsed = payloads.select(*keep, F.from_json(F.get_json_object(payload, f"$.{root}"), arrays).alias("_a"))
-    zipped = F.arrays_zip(*[F.col(f"_a.{n}").alias(n) for n in [time, *variables]])
+    empty = F.array().cast("array<string>")
+    zipped = F.arrays_zip(*[F.coalesce(F.col(f"_a.{n}"), empty).alias(n) for n in [time, *variables]])
     upto_time = F.slice(zipped, 1, F.size(f"_a.{time}"))
     rows = parsed.where(F.col(f"_a.{time}").isNotNull()).select(
         *keep, F.posexplode(upto_time).alias("row_no", "_row")
