@@ -29,9 +29,8 @@ TIME = "yyyy-MM-dd HH:mm:ss"
 )
 def _src_csv_roundtrip(spark, sf_dir):
     """Raw readings as CSV, quotes in ``_raw`` and commas in numbers, read back as text."""
-    ev = t.events(spark, sf_dir)
     columns = ["event_id", "site_id", "time", "aqi", "pm10", "_raw"]
-    raw = t.as_raw_readings(ev).join(ev.select("event_id", F.col("props").alias("_raw")), "event_id").select(*columns)
+    raw = t.as_raw_readings(t.events(spark, sf_dir), "props").withColumnRenamed("props", "_raw").select(*columns)
     path = scratch_path(spark, "raw-csv")
     sinks.export_csv(raw, path)
     return tabular.read_text_table(spark, path, columns)

@@ -45,8 +45,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_measures(table(spark, sf_dir, "events"))
 
 
-def as_raw_readings(measured: DataFrame) -> DataFrame:
-    """Text columns as a source would deliver them, with decimal commas."""
+def as_raw_readings(measured: DataFrame, *keep: str) -> DataFrame:
+    """Text columns as a source would deliver them, with decimal commas; ``keep`` names more columns."""
     k, q = F.col("k"), F.col("q")
 
     def written(value):
@@ -66,6 +66,7 @@ def as_raw_readings(measured: DataFrame) -> DataFrame:
         written(q * 0.5).alias("humidity"),
         written(q * 0.5 + 640).alias("pressure"),
         "event_id",
+        *keep,
     )
 
 

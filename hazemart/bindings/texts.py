@@ -74,8 +74,8 @@ SQL_SPOKEN = """
   SELECT event_id, k, hr AS s, hr + to_hours(CAST(floor(value / 20) AS BIGINT)) AS e, CAST(k % 4 AS INTEGER) AS level
   FROM ev WHERE event_type = 'error' AND value > 150)
 , said AS (
-  SELECT event_id, 1 AS no, s, e, level FROM alarms
-  UNION ALL SELECT event_id, 2, s + INTERVAL 1 DAY, e + INTERVAL 1 DAY, (level + 1) % 4 FROM alarms)
+  SELECT event_id, k, 1 AS no, s, e, level FROM alarms
+  UNION ALL SELECT event_id, k, 2, s + INTERVAL 1 DAY, e + INTERVAL 1 DAY, (level + 1) % 4 FROM alarms)
 , spoken AS (
   SELECT *, strftime(s, '%d.%m.%Y') AS published,
          ['Общий прогноз', 'Первый режим', 'Второй режим', 'Третий режим'][level + 1] AS regime,
@@ -133,7 +133,7 @@ def _text_normalize(spark, sf_dir):
     alarms = t.events(spark, sf_dir).where("event_type = 'error' AND value > 150")
     end = F.col("hr") + F.make_dt_interval(hours=F.floor(F.col("value") / 20).cast("int"))
     said = notices.render_notice(F.col("hr"), F.pmod("k", F.lit(4)).cast("int"), F.col("hr"), end)
-    loud = F.concat(F.repeat(F.lit("Внимание! "), F.col("k")), F.replace(said, F.lit(" "), F.lit(" \n ")), F.lit(" и далее"))
+    loud = F.concat(F.repeat(F.lit("Внимание! "), F.col("k")), F.replace(said, F.lit(" "), F.lit(" \t ")), F.lit(" и далее"))
     return alarms.select("event_id", text.announcement(loud).alias("announcement_text"))
 
 
