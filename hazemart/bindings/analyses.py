@@ -147,9 +147,7 @@ def _jump_flag(spark, sf_dir):
 )
 def _rank_sites(spark, sf_dir):
     by_site = measured(spark, sf_dir).groupBy("user_id").agg(F.avg("q").alias("avg_value"), F.max("q").alias("max_value"))
-    return ordered.competition_rank(
-        ordered.competition_rank(by_site, "avg_value", "rank_by_mean"), "max_value", "rank_by_max"
-    )
+    return ordered.competition_ranks(by_site, {"rank_by_mean": "avg_value", "rank_by_max": "max_value"})
 
 
 @query(

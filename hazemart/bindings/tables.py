@@ -89,9 +89,9 @@ def raw_context(spark: SparkSession, sf_dir: str) -> DataFrame:
         "precipitation": wet,
         "rain": wet * 0.5,
         "snowfall": F.lit(0.0),
-        "surface_pressure": F.col("sm") * 0.5 + 640,
+        "surface_pressure": F.pmod(F.col("sm") * 0.5, F.lit(500.0)) + 640,
         "wind_speed_10m": F.when(F.col("n") > 1, F.col("mx") / 16),
-        "wind_direction_10m": F.col("sm") * 2,
+        "wind_direction_10m": F.pmod(F.col("sm") * 2, F.lit(400.0)),
     }
     return views.select(
         F.date_format("hr", config.CONTEXT_TIME_FORMAT).alias("time"),
@@ -170,7 +170,7 @@ SQL_CONTEXT = """
   FROM ev WHERE event_type = 'view' GROUP BY hr)
 , context_raw AS (
   SELECT hr, mx * 0.25 - 20 AS t, mx * 0.5 AS h, CASE WHEN n >= 3 THEN mn * 0.25 ELSE 0.0 END AS p,
-         sm * 0.5 + 640 AS sp, CASE WHEN n > 1 THEN mx / 16 END AS ws, sm * 2 AS wd
+         (sm * 0.5) % 500 + 640 AS sp, CASE WHEN n > 1 THEN mx / 16 END AS ws, (sm * 2) % 400 AS wd
   FROM view_hours)
 , context AS (
   SELECT hr AS "timestamp", CAST(hr AS DATE) AS "date", CAST(hour(hr) AS INTEGER) AS "hour",

@@ -20,7 +20,7 @@ from hazemart.operators import notices
     , c AS (SELECT page_id, regexp_replace(x, '<[^>]+>', ' ', 'g') AS x FROM b)
     , d AS (SELECT page_id, replace(replace(replace(replace(replace(replace(x, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'),
                    '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' ') AS x FROM c)
-    , e AS (SELECT page_id, replace(x, '&amp;', '&') AS x FROM d)
+    , e AS (SELECT page_id, regexp_replace(x, '&amp;?', '&', 'g') AS x FROM d)
     SELECT page_id, trim(regexp_replace(x, '[\s\x{00A0}\x{200B}\x0B]+', ' ', 'g')) AS text FROM e""",
 )
 def _html_to_text(spark, sf_dir):

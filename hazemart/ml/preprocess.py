@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazemart.config import ModelSettings
+from hazemart.session import settled
 
 
 def in_training_share(key: Column, percent: int = 80) -> Column:
@@ -60,13 +61,14 @@ def tokens(text: Column) -> Column:
 def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     """Exact-vocabulary term weights: tf * ln((documents + 1) / (document frequency + 1)).
 
-    Terms are counted per document first; the document frequency then counts those rows, so a
-    term of every document is combined on the map side.
+    Terms are counted per document first, in one pass over the text; the document frequency then
+    counts those rows, so a term of every document is combined on the map side.
     """
-    counts = (
+    counts = settled(
         df.select(key, F.explode(tokens(F.col(text))).alias("term"))
         .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        .agg(F.count(F.lit(1)).alias("tf")),
+        "terms",
     )
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     documents = df.agg(F.count(F.lit(1)).alias("n")).scalar()

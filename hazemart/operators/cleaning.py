@@ -34,8 +34,12 @@ def typed(raw: DataFrame, spec: CleaningSpec) -> DataFrame:
 
 
 def deduplicated(rows: DataFrame, spec: CleaningSpec) -> DataFrame:
-    """First row per key by the tie-break columns, then by the values themselves."""
-    order = [*spec.tie_break, *[c for c in rows.columns if c not in spec.key and c not in spec.tie_break]]
+    """First row per key by the tie-break columns, or by all values where none are declared.
+
+    A declared tie-break must be unique within a key. Values that nobody reads later are then
+    neither sorted nor scanned.
+    """
+    order = spec.tie_break or [c for c in rows.columns if c not in spec.key]
     return first_per_key(rows, list(spec.key), order).drop(*spec.tie_break)
 
 

@@ -3,7 +3,8 @@
 A group (or the whole table) is cut into slices of the value range. Slice totals are small, so
 their running sum is cheap; inside a slice the running sum is an ordinary window. Hot groups and
 tables without a key are thereby spread over many tasks, and the results are exact: the sketch
-that suggests the slice edges only decides how even the slices are.
+that suggests the slice edges only decides how even the slices are. Counts per value are written
+to the shared folder once and read by the steps that follow.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazemart.operators.joins import join_on_keys
+from hazemart.session import settled
 
 SLICES = 64
 
@@ -36,20 +38,21 @@ def running_before(
 
     ``df`` holds each (keys, value) once. Windows without a key run over at most ``slices`` rows.
     """
-    placed = _with_slice(df, keys, value, slices)
+    placed = _with_slice(settled(df, "running"), keys, value, slices)
     at = [*keys, "_slice"]
     earlier_slices = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    earlier_rows = Window.partitionBy(*at).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    bases = (
-        placed.groupBy(*at).agg(F.sum(amount).alias("_total"))
-        .select(*at, F.coalesce(F.sum("_total").over(earlier_slices), F.lit(0)).alias("_base"))
+    totals = placed.groupBy(*at).agg(F.sum(amount).alias("_total"))
+    # what lies below a slice enters it as a row of its own, ahead of all others: no join is needed
+    bases = totals.select(
+        *at,
+        F.coalesce(F.sum("_total").over(earlier_slices), F.lit(0)).alias(amount),
+        F.lit(True).alias("_is_base"),
     )
-    inside = F.coalesce(F.sum(amount).over(earlier_rows), F.lit(0))
-    return (
-        join_on_keys(placed, bases, at)
-        .withColumn(result, F.col("_base") + inside)
-        .drop("_slice", "_base")
+    rows = placed.withColumn("_is_base", F.lit(False)).unionByName(bases, allowMissingColumns=True)
+    in_order = (
+        Window.partitionBy(*at).orderBy(F.col("_is_base").desc(), value).rowsBetween(Window.unboundedPreceding, -1)
     )
+    return rows.withColumn(result, F.sum(amount).over(in_order)).where(~F.col("_is_base")).drop("_slice", "_is_base")
 
 
 def exact_quantiles(
@@ -61,7 +64,7 @@ def exact_quantiles(
     are sorted. Nulls are ignored.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    placed = _with_slice(counts, keys, value, slices)
+    placed = _with_slice(settled(counts, "counts"), keys, value, slices)
     at = [*keys, "_slice"]
     ordered = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
@@ -102,17 +105,23 @@ def exact_quantiles(
     )
 
 
-def competition_rank(df: DataFrame, score: str, result: str, slices: int = SLICES) -> DataFrame:
-    """``rank() over (order by score desc)`` without a single-partition window; null scores last."""
-    counts = df.groupBy(score).agg(F.count(F.lit(1)).alias("_rows"))
-    known = counts.where(F.col(score).isNotNull()).withColumn("_falling", -F.col(score))
-    ranks = running_before(known, [], "_falling", "_rows", "_ahead", slices).select(score, "_ahead")
-    known_rows = df.agg(F.count(score).alias("n")).scalar()
-    return (
-        df.join(ranks, score, "left")
-        .withColumn(result, (F.coalesce(F.col("_ahead"), known_rows) + 1).cast("int"))
-        .drop("_ahead")
-    )
+def competition_ranks(df: DataFrame, scores: dict[str, str], slices: int = SLICES) -> DataFrame:
+    """``rank() over (order by score desc)`` without a single-partition window; null scores last.
+
+    ``scores`` maps each result column to its score column.
+    """
+    base = rows = settled(df, "ranked")
+    for result, score in scores.items():
+        counts = base.where(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).alias("_rows"))
+        falling = counts.withColumn("_falling", -F.col(score))
+        ahead = running_before(falling, [], "_falling", "_rows", "_ahead", slices).select(score, "_ahead")
+        known = base.agg(F.count(score).alias("n")).scalar()
+        rows = (
+            rows.join(ahead, score, "left")
+            .withColumn(result, (F.coalesce(F.col("_ahead"), known) + 1).cast("int"))
+            .drop("_ahead")
+        )
+    return rows
 
 
 def previous_value(
@@ -123,15 +132,16 @@ def previous_value(
     ``piece`` is a coarsening of the first order column, such as its day. Each piece is sorted on
     its own and takes the last value of the nearest earlier piece as its start.
     """
-    cut = df.withColumn("_piece", piece)
+    cut = df.withColumns({"_piece": piece, "_held": F.struct(F.col(value).alias("v")), "_is_carried": F.lit(False)})
     at = [*keys, "_piece"]
-    inside = F.lag(F.struct(F.col(value).alias("v"))).over(Window.partitionBy(*at).orderBy(*order))
-    ends = cut.groupBy(*at).agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_end"))
-    carried = ends.select(
-        *at, F.lag("_end").over(Window.partitionBy(*keys).orderBy("_piece")).alias("_carried")
-    )
+    ends = cut.groupBy(*at).agg(F.max_by("_held", F.struct(*order)).alias("_end"))
+    previous_end = F.lag("_end").over(Window.partitionBy(*keys).orderBy("_piece"))
+    # the carried value enters its piece as a first row, so rows are shuffled once and never joined
+    carried = ends.select(*at, previous_end.alias("_held"), F.lit(True).alias("_is_carried"))
+    in_order = Window.partitionBy(*at).orderBy(F.col("_is_carried").desc(), *order)
     return (
-        join_on_keys(cut.withColumn("_inside", inside), carried, at, "left")
-        .withColumn(result, F.coalesce(F.col("_inside"), F.col("_carried"))["v"])
-        .drop("_piece", "_inside", "_carried")
+        cut.unionByName(carried, allowMissingColumns=True)
+        .withColumn(result, F.lag("_held").over(in_order)["v"])
+        .where(~F.col("_is_carried"))
+        .drop("_piece", "_held", "_is_carried")
     )

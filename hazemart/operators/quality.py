@@ -8,21 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazemart.functions.derive import count_if
+from hazemart.session import settled
 
 
 def hourly_gaps(df: DataFrame, site: str = "site_id", when: str = "timestamp") -> DataFrame:
     """Hours between the first and last hour of the table that a site has no row for.
 
-    The grid is built per site row by ``sequence``, so nothing is crossed.
+    The table is read once, for its distinct hours. The grid is built per site row by
+    ``sequence``, so nothing is crossed.
     """
-    observed = df.select(site, F.date_trunc("HOUR", when).alias("hour_start")).distinct()
-    span = df.agg(
-        F.date_trunc("HOUR", F.min(when)).alias("first"), F.date_trunc("HOUR", F.max(when)).alias("last")
-    )
+    hours_seen = df.where(F.col(when).isNotNull()).select(site, F.date_trunc("HOUR", when).alias("hour_start")).distinct()
+    observed = settled(hours_seen, "hours")
+    span = observed.agg(F.min("hour_start").alias("first"), F.max("hour_start").alias("last"))
     hours = F.sequence(
         span.select("first").scalar(), span.select("last").scalar(), F.expr("INTERVAL 1 HOUR")
     )
-    grid = df.select(site).distinct().select(site, F.explode(hours).alias("hour_start"))
+    grid = observed.select(site).distinct().select(site, F.explode(hours).alias("hour_start"))
     return grid.join(observed, [site, "hour_start"], "left_anti")
 
 

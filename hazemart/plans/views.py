@@ -59,14 +59,21 @@ def is_correct():
     return F.when(F.col("actual_peak") == F.col("predicted_peak"), 1).otherwise(0)
 
 
+def _decimal_mean(name: str):
+    """Mean of one-place values, taken in decimals so that no half depends on the order of the sum."""
+    value = F.col(name)
+    mean = F.round(F.avg(value.try_cast("decimal(18,6)")), 1).cast("double")
+    return F.when(F.bool_or(F.isnan(value)), F.lit(float("nan"))).otherwise(mean).alias(name)
+
+
 def stream_site_summary(windows: DataFrame) -> DataFrame:
     """Per site over its windows. The mean is that of the window means, unweighted."""
     return windows.groupBy("site_id", "site_name").agg(
         F.count(F.lit(1)).alias("window_count"),
         F.sum("sample_count").alias("total_samples"),
-        F.round(F.avg("avg_aqi"), 1).alias("avg_aqi"),
+        _decimal_mean("avg_aqi"),
         F.max("max_aqi").alias("max_aqi"),
-        F.round(F.avg("avg_pm25"), 1).alias("avg_pm25"),
+        _decimal_mean("avg_pm25"),
         F.sum("peak_count").alias("peak_count"),
     )
 

@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 def write_staging(df: DataFrame, path: str, partition: str | None = "date") -> None:
     """Parquet layer. With ``partition`` only the days present in ``df`` are replaced.
 
-    Rows are first brought together by day and a spread of 16, so that a day becomes at most 16
-    files and one large day is still written by several tasks.
+    Rows are rebalanced by day before the write: AQE joins small days to one file and splits a
+    large day into files of the advisory partition size.
     """
     if partition:
-        spread = F.pmod(F.xxhash64(*[c for c in df.columns if c != partition]), F.lit(16))
         (
-            df.repartition(F.col(partition), spread)
+            df.hint("rebalance", F.col(partition))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition)
