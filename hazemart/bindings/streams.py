@@ -33,6 +33,9 @@ SQL_MESSAGES = SQL_EVENTS + SQL_SITES + """
 # rounding to one place on the decimal digits of the number, halves away from zero
 SQL_ONE_PLACE = "CAST(round(CAST(CAST({0} AS VARCHAR) AS DECIMAL(28, 14)), 1) AS DOUBLE)"
 
+# mean of one-place values to one place, halves up, in whole tenths
+SQL_MEAN_OF_TENTHS = """((2 * sum(CAST(round({0} * 10) AS BIGINT)) + count({0})) // (2 * count({0}))) / 10.0::DOUBLE"""
+
 SQL_WINDOWS = SQL_MESSAGES + f"""
 , windows AS (
   SELECT event_time AS window_start, event_time + INTERVAL 1 HOUR AS window_end, site_id, site_name,
@@ -127,9 +130,9 @@ def _stream_window_complete(spark, sf_dir):
     "stream_site_summary",
     with_roles(SQL_WINDOWS, select=f"""
     SELECT site_id, site_name, count(*) AS window_count, CAST(sum(sample_count) AS BIGINT) AS total_samples,
-           {SQL_ONE_PLACE.format("CAST(sum(CAST(avg_aqi AS DECIMAL(18, 1))) AS DOUBLE) / count(avg_aqi)")} AS avg_aqi,
+           {SQL_MEAN_OF_TENTHS.format("avg_aqi")} AS avg_aqi,
            max(max_aqi) AS max_aqi,
-           {SQL_ONE_PLACE.format("CAST(sum(CAST(avg_pm25 AS DECIMAL(18, 1))) AS DOUBLE) / count(avg_pm25)")} AS avg_pm25,
+           {SQL_MEAN_OF_TENTHS.format("avg_pm25")} AS avg_pm25,
            CAST(sum(peak_count) AS BIGINT) AS peak_count
     FROM windows GROUP BY site_id, site_name"""),
 )

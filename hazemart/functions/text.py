@@ -111,9 +111,14 @@ def published_on(piece: Column) -> Column:
     return F.regexp_extract(piece, PUBLISHED, 1)
 
 
-def period_parts(piece: Column, which: int) -> list[Column]:
-    """hour, minute, day, month name and year of the first (0) or second (1) moment."""
-    return [F.regexp_extract(piece, PERIOD, 5 * which + i) for i in range(1, 6)]
+def period_text(piece: Column) -> Column:
+    """The period as written, '' when there is none."""
+    return F.regexp_extract(piece, PERIOD, 0)
+
+
+def period_parts(period: Column, which: int) -> list[Column]:
+    """hour, minute, day, month name and year of the first (0) or second (1) moment of a period text."""
+    return [F.regexp_extract(period, PERIOD, 5 * which + i) for i in range(1, 6)]
 
 
 def moment(parts: list[Column]) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazemart.config import ModelSettings
-from hazemart.session import settled
 
 
 def in_training_share(key: Column, percent: int = 80) -> Column:
@@ -61,16 +60,19 @@ def tokens(text: Column) -> Column:
 def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     """Exact-vocabulary term weights: tf * ln((documents + 1) / (document frequency + 1)).
 
-    Terms are counted per document first, in one pass over the text; the document frequency then
-    counts those rows, so a term of every document is combined on the map side.
+    ``key`` is unique, one row per document. The document frequency therefore needs no grouping by
+    document: it counts the distinct terms of each row, combined on the map side, so only the
+    vocabulary is shuffled however often a term occurs.
     """
-    counts = settled(
-        df.select(key, F.explode(tokens(F.col(text))).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf")),
-        "terms",
+    words = df.select(key, tokens(F.col(text)).alias("terms"))
+    counts = (
+        words.select(key, F.explode("terms").alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    )
+    frequency = (
+        words.select(F.explode(F.array_distinct("terms")).alias("term"))
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"))
     )
-    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     documents = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return counts.join(frequency, "term").select(
         key, "term", "tf", "df", (F.col("tf") * F.log((documents + 1) / (F.col("df") + 1))).alias("tfidf")

@@ -30,12 +30,14 @@ def parse_notices(pages: DataFrame, text_column: str = "text", order: list[str]
     ``order`` names the columns that put the pages in sequence.
     """
     order = order or []
-    moments = notice_pieces(pages, text_column, order).withColumns(
+    # the piece is searched once; the ten parts are then read from the short period text
+    periods = notice_pieces(pages, text_column, order).withColumn("_period", text.period_text(F.col("piece")))
+    moments = periods.where(F.col("_period") != "").withColumns(
         {
             "published": text.published_on(F.col("piece")),
             "regime_level": text.regime_level(F.col("piece")),
-            "period_start": text.moment(text.period_parts(F.col("piece"), 0)),
-            "period_end": text.moment(text.period_parts(F.col("piece"), 1)),
+            "period_start": text.moment(text.period_parts(F.col("_period"), 0)),
+            "period_end": text.moment(text.period_parts(F.col("_period"), 1)),
         }
     )
     valid = valid_intervals(moments)

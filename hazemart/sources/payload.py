@@ -33,13 +33,22 @@ SITE_ALIASES = {
 
 
 def _array_at(payload: Column, path: str) -> Column:
-    """Elements of the JSON array at ``path`` as text; null when there is no array."""
-    found = F.get_json_object(payload, path)
-    return F.when(F.ltrim(found).startswith("["), F.from_json(found, "array<string>"))
+    return _as_array(F.get_json_object(payload, path))
+
+
+def _as_array(text: Column) -> Column:
+    """Elements of a JSON array as text; null when the text is no array."""
+    return F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>"))
 
 
 def record_array(payload: Column, root: str = "data", keys: Sequence[str] = RECORD_KEYS) -> Column:
-    return F.coalesce(_array_at(payload, f"$.{root}"), *[_array_at(payload, f"$.{root}.{k}") for k in keys])
+    """The array at ``root``, or the first array under one of ``keys`` below it.
+
+    Each level is parsed once, its members kept as text.
+    """
+    body = F.from_json(payload, f"`{root}` string")[root]
+    members = F.from_json(body, ", ".join(f"`{k}` string" for k in keys))
+    return F.coalesce(_as_array(body), *[_as_array(members[k]) for k in keys])
 
 
 def records(payloads: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFrame:
