@@ -134,7 +134,7 @@ def _exceedance_days(spark, sf_dir):
            coalesce(abs(q - previous_value) > 80, false) AS is_jump FROM p"""),
 )
 def _jump_flag(spark, sf_dir):
-    flagged = anomaly.jumps(measured(spark, sf_dir), ["event_type"], "ts", "q", 80, ["event_id"])
+    flagged = anomaly.jumps(measured(spark, sf_dir), ["event_type"], "ts", "q", 80, ["event_id"], piece_unit="MINUTE")
     return flagged.select("event_id", "event_type", "q", "previous_value", "change", "is_jump")
 
 

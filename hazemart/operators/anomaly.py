@@ -65,11 +65,15 @@ def exceedance_sites(by_day: DataFrame, site: str) -> DataFrame:
 
 
 def jumps(
-    df: DataFrame, keys: Sequence[str], when: str, value: str, threshold: float, tie_break: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], when: str, value: str, threshold: float, tie_break: Sequence[str] = (),
+    piece_unit: str = "DAY",
 ) -> DataFrame:
-    """Every row with the previous value of its key and ``is_jump`` for a change above ``threshold``."""
+    """Every row with the previous value of its key and ``is_jump`` for a change above ``threshold``.
+
+    Rows of a key are sorted per ``piece_unit``: days suit hourly readings, denser feeds take minutes.
+    """
     with_previous = previous_value(
-        df, keys, [when, *tie_break], value, F.date_trunc("DAY", when), "previous_value"
+        df, keys, [when, *tie_break], value, F.date_trunc(piece_unit, when), "previous_value"
     )
     change = F.col(value) - F.col("previous_value")
     return with_previous.withColumns(

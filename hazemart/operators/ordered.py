@@ -17,28 +17,48 @@ from pyspark.sql import functions as F
 from hazemart.operators.joins import join_on_keys
 from hazemart.session import settled
 
-SLICES = 64
+SLICES = 1024
+# a group with fewer values than this is one slice: sorting it takes one task no time
+WHOLE_GROUP = 100_000
 
 
-def _with_slice(df: DataFrame, keys: Sequence[str], value: str, slices: int) -> DataFrame:
+def _with_slice(df: DataFrame, keys: Sequence[str], value: str, slices: int, whole_group: int) -> DataFrame:
+    """Add ``_slice``, the number of edges below ``value``, rising with it within a group.
+
+    Edges are found in two steps, among every ``width``-th edge and then among the ``width`` edges
+    that follow, so a row is compared with few of them.
+    """
+    width = max(1, int(slices**0.5))
     shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    edges = F.percentile_approx(value, shares, F.lit(slices * 20)).alias("_edges")
+    sketch = F.array_distinct(F.percentile_approx(value, shares, F.lit(slices * 5)))
+    edges = F.when(F.count(value) > whole_group, sketch).alias("_edges")
+    # every width-th edge is picked once per group, before the edges meet the rows
+    found = df.groupBy(*keys).agg(edges).withColumn("_marks", F.filter("_edges", lambda edge, i: (i + 1) % width == 0))
     if keys:
-        placed = join_on_keys(df, df.groupBy(*keys).agg(edges), keys)
+        placed = join_on_keys(df, found, keys)
     else:
-        placed = df.withColumn("_edges", df.agg(edges).scalar())
-    below = F.size(F.filter("_edges", lambda edge: edge < F.col(value)))
-    return placed.withColumn("_slice", below).drop("_edges")
+        both = found.select(F.struct("_edges", "_marks").alias("both"))
+        placed = df.withColumn("_both", both.scalar()).select(*df.columns, "_both._edges", "_both._marks")
+
+    def below(edges: Column) -> Column:
+        return F.coalesce(F.size(F.filter(edges, lambda edge: edge < F.col(value))), F.lit(0))
+
+    return (
+        placed.withColumn("_first", below(F.col("_marks")) * width)
+        .withColumn("_slice", F.col("_first") + below(F.slice("_edges", F.col("_first") + 1, width)))
+        .drop("_edges", "_marks", "_first")
+    )
 
 
 def running_before(
-    df: DataFrame, keys: Sequence[str], value: str, amount: str, result: str, slices: int = SLICES
+    df: DataFrame, keys: Sequence[str], value: str, amount: str, result: str, slices: int = SLICES,
+    whole_group: int = WHOLE_GROUP,
 ) -> DataFrame:
     """Add ``result``: the sum of ``amount`` over rows of the same group with a smaller ``value``.
 
     ``df`` holds each (keys, value) once. Windows without a key run over at most ``slices`` rows.
     """
-    placed = _with_slice(settled(df, "running"), keys, value, slices)
+    placed = _with_slice(settled(df, "running"), keys, value, slices, whole_group)
     at = [*keys, "_slice"]
     earlier_slices = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy(*at).agg(F.sum(amount).alias("_total"))
@@ -56,7 +76,8 @@ def running_before(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float], slices: int = SLICES
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float], slices: int = SLICES,
+    whole_group: int = WHOLE_GROUP,
 ) -> DataFrame:
     """Interpolated quantiles per group, one column per entry of ``quantiles``.
 
@@ -64,7 +85,7 @@ def exact_quantiles(
     are sorted. Nulls are ignored.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    placed = _with_slice(settled(counts, "counts"), keys, value, slices)
+    placed = _with_slice(settled(counts, "counts"), keys, value, slices, whole_group)
     at = [*keys, "_slice"]
     ordered = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
@@ -105,7 +126,7 @@ def exact_quantiles(
     )
 
 
-def competition_ranks(df: DataFrame, scores: dict[str, str], slices: int = SLICES) -> DataFrame:
+def competition_ranks(df: DataFrame, scores: dict[str, str]) -> DataFrame:
     """``rank() over (order by score desc)`` without a single-partition window; null scores last.
 
     ``scores`` maps each result column to its score column.
@@ -114,7 +135,7 @@ def competition_ranks(df: DataFrame, scores: dict[str, str], slices: int = SLICE
     for result, score in scores.items():
         counts = base.where(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).alias("_rows"))
         falling = counts.withColumn("_falling", -F.col(score))
-        ahead = running_before(falling, [], "_falling", "_rows", "_ahead", slices).select(score, "_ahead")
+        ahead = running_before(falling, [], "_falling", "_rows", "_ahead").select(score, "_ahead")
         known = base.agg(F.count(score).alias("n")).scalar()
         rows = (
             rows.join(ahead, score, "left")
@@ -129,8 +150,9 @@ def previous_value(
 ) -> DataFrame:
     """``lag(value)`` per key in ``order``, with long histories cut by ``piece``.
 
-    ``piece`` is a coarsening of the first order column, such as its day. Each piece is sorted on
-    its own and takes the last value of the nearest earlier piece as its start.
+    ``piece`` is a coarsening of the first order column, such as its day or its minute, fine enough
+    that a task can sort one. Each piece is sorted on its own and takes the last value of the
+    nearest earlier piece as its start.
     """
     cut = df.withColumns({"_piece": piece, "_held": F.struct(F.col(value).alias("v")), "_is_carried": F.lit(False)})
     at = [*keys, "_piece"]

@@ -32,9 +32,10 @@ def groups():
     return {k: v for k, v in out.items() if v}
 
 
-@pytest.mark.parametrize("slices", [2, 16, 64])
-def test_quantiles_are_exact(data, slices):
-    found = {r.k: (r.a, r.b, r.c) for r in exact_quantiles(data, ["k"], "v", {"a": 0.25, "b": 0.5, "c": 0.9}, slices).collect()}
+@pytest.mark.parametrize("slices, whole_group", [(2, 0), (3, 0), (16, 5), (1000, 0), (4096, 100), (4096, 100_000)])
+def test_quantiles_are_exact(data, slices, whole_group):
+    wanted = {"a": 0.25, "b": 0.5, "c": 0.9}
+    found = {r.k: (r.a, r.b, r.c) for r in exact_quantiles(data, ["k"], "v", wanted, slices, whole_group).collect()}
     expected = groups()
     assert set(found) == set(expected)
     for k, values in expected.items():
@@ -46,12 +47,13 @@ def test_quantile_of_the_whole_table(data):
     assert row.m == pytest.approx(np.quantile([v for _, v in DATA if v is not None], 0.5))
 
 
+@pytest.mark.parametrize("whole_group", [0, 50, 100_000])
 @pytest.mark.parametrize("keys", [[], ["k"]])
-def test_running_sum(data, keys):
+def test_running_sum(data, keys, whole_group):
     counts = data.where("v IS NOT NULL").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
     if not keys:
         counts = counts.groupBy("v").agg(F.sum("n").alias("n"))
-    found = running_before(counts, keys, "v", "n", "below", slices=8).collect()
+    found = running_before(counts, keys, "v", "n", "below", slices=60, whole_group=whole_group).collect()
     for r in found:
         pool = groups()[r.k] if keys else [v for _, v in DATA if v is not None]
         assert (r.below or 0) == sum(1 for v in pool if v < r.v)
@@ -76,6 +78,8 @@ def test_previous_value_equals_lag(spark):
     found = {r.i: r.p for r in previous_value(df, ["k"], ["t", "i"], "v", F.date_trunc("DAY", "t"), "p").collect()}
     lagged = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "i")))
     assert found == {r.i: r.p for r in lagged.collect()}
+    minutes = anomaly.jumps(df, ["k"], "t", "v", 1.5, ["i"], piece_unit="MINUTE")
+    assert found == {r.i: r.previous_value for r in minutes.collect()}
 
 
 def test_outliers_and_deviation_keep_every_row(data):
