@@ -12,6 +12,7 @@ from hazemart.bindings.registry import query
 from hazemart.bindings.tables import SQL_EVENTS, with_roles
 from hazemart.config import TEXT_IMPORTANCE_NAME, ModelSettings
 from hazemart.ml import clusters, metrics, models, preprocess
+from hazemart.session import settled
 
 
 def measured(spark, sf_dir):
@@ -188,7 +189,7 @@ def _ml_tfidf(spark, sf_dir):
 
 def fitted_task(spark, sf_dir, task, label):
     settings = ModelSettings()
-    data = models.labelled(features(spark, sf_dir), label, settings)
+    data = models.labelled(settled(features(spark, sf_dir), "features"), label, settings)
     return data, models.fit_task(task, data, settings)
 
 
@@ -207,5 +208,5 @@ def _ml_classify(spark, sf_dir):
 @query("ml_kmeans")
 def _ml_kmeans(spark, sf_dir):
     settings = ModelSettings()
-    table = features(spark, sf_dir)
+    table = settled(features(spark, sf_dir), "features")
     return clusters.cluster_points(clusters.assign_clusters(clusters.fit_clusters(table, settings), table, settings))

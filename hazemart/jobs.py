@@ -21,7 +21,7 @@ from hazemart.ml.models import train_all
 from hazemart.operators.notices import NOTICE_COLUMNS, parse_notices, seed_notices
 from hazemart.plans.features import feature_table
 from hazemart.plans.serving import SERVING_SCHEMAS, build_layers, publish
-from hazemart.session import build_session
+from hazemart.session import build_session, settled
 from hazemart.sources import ingest, sinks, streams, tabular
 from hazemart.streaming import events as ev
 from hazemart.streaming import run
@@ -63,9 +63,9 @@ def layers(spark: SparkSession, args: argparse.Namespace) -> None:
 def notices(spark: SparkSession, args: argparse.Namespace) -> None:
     """Pages (``url``, ``html``) to the notice table, or the seed notices where none could be read."""
     pages = spark.read.parquet(args.pages).select("url", text.html_to_text(F.col("html")).alias("text"))
-    found = ingest.with_fallback(
-        parse_notices(pages, "text", ["url"]).drop("source"), seed_notices(spark).drop("source")
-    )
+    # asked twice, for its rows and for whether there are any
+    parsed = settled(parse_notices(pages, "text", ["url"]).drop("source"), "notices")
+    found = ingest.with_fallback(parsed, seed_notices(spark).drop("source"))
     moments = {c: F.date_format(c, config.READING_TIME_FORMAT) for c in ("period_start", "period_end")}
     sinks.export_csv(found.withColumns(moments).select(*NOTICE_COLUMNS).orderBy("period_start"), args.output)
 

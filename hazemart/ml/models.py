@@ -25,6 +25,7 @@ from hazemart.config import ModelSettings
 from hazemart.ml import clusters as clustering
 from hazemart.ml import metrics as measures
 from hazemart.ml.preprocess import as_doubles, in_training_share, require_known_values, row_key, supervised_stages
+from hazemart.session import settled
 
 TEXT_PREFIX = "text_tfidf_"
 
@@ -125,9 +126,9 @@ def forest_importance(spark: SparkSession, task: str, model: PipelineModel, sett
 
 
 def train_all(features: DataFrame, settings: ModelSettings = ModelSettings()) -> dict[str, DataFrame]:
-    """All model tables by serving name. ``features`` is kept while the models are fitted."""
+    """All model tables by serving name. ``features`` is computed once and read by every fit."""
     spark = features.sparkSession
-    features = features.persist(StorageLevel.MEMORY_AND_DISK)
+    features = settled(features, "features")
     regression_data = labelled(features, "aqi", settings)
     peak_data = labelled(features, "is_pollution_peak", settings)
     regression = fit_task("regression", regression_data, settings)

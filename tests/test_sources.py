@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from hazemart.operators.dedup import last_per_key
 from hazemart.session import scratch_path, shared_folder

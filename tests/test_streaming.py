@@ -115,3 +115,19 @@ def test_built_events(spark):
     assert found.where("ingest_time IS NULL").count() == 0
     assert sorted((str(r.site_id), r.site_name, r.event_time, r.aqi) for r in found.collect() if r.event_time) == [("7", "seven", "2026-04-01 00:00:00", "1")]
     assert found.where("site_id IS NULL AND aqi IS NULL").count() == 2
+
+
+def test_interval_trigger_keeps_running(spark):
+    folder, path = scratch_path(spark, "inbox"), scratch_path(spark, "out")
+    settings = replace(StreamSettings(), trigger_interval="1 second")
+    deliver(spark, folder, message(1, "00:00:00"))
+    counted = ev.window_aggregates(ev.valid_events(ev.parse_events(streams.text_events(spark, folder))), settings)
+    query = run.start(counted, sinks.parquet_batch_sink(path), f"{path}-progress", settings, available_now=False)
+    try:
+        query.processAllAvailable()
+        deliver(spark, folder, message(1, "00:30:00"), message(2, "00:00:00"))
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert counts(spark, path, "update") == {(0, 1): 2, (0, 2): 1}
