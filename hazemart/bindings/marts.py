@@ -109,6 +109,16 @@ def _expand_intervals(spark, sf_dir):
     return t.hours_under_notice(spark, sf_dir)
 
 
+def order_spans(spark, sf_dir):
+    """From order to shipment of every line."""
+    lines = t.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
+        F.col("o_orderdate").cast("timestamp").alias("period_start"),
+        F.col("l_shipdate").cast("timestamp").alias("period_end"),
+    )
+
+
 @query(
     "expand_order_months",
     """WITH spans AS (
@@ -122,16 +132,27 @@ def _expand_intervals(spark, sf_dir):
 )
 def _expand_order_months(spark, sf_dir):
     """Order lines that are open in each month: long intervals, many of them reversed."""
-    lines = t.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
-    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    spans = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
-        F.col("o_orderdate").cast("timestamp").alias("period_start"),
-        F.col("l_shipdate").cast("timestamp").alias("period_end"),
-    )
-    months = intervals.expand_intervals(spans, slot="open_month", unit="MONTH", align=True)
+    months = intervals.expand_intervals(order_spans(spark, sf_dir), slot="open_month", unit="MONTH", align=True)
     return months.groupBy("open_month").agg(F.count(F.lit(1)).alias("open_lines"))
 
 
+@query(
+    "expand_order_days",
+    """WITH spans AS (
+         SELECT o_orderdate AS period_start, l_shipdate AS period_end
+         FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate > o_orderdate)
+       , days AS (SELECT period_end, unnest(generate_series(period_start, period_end, INTERVAL 1 DAY)) AS day FROM spans)
+       SELECT date_trunc('month', day) AS open_month, count(*) AS open_line_days FROM days WHERE day < period_end
+       GROUP BY 1""",
+)
+def _expand_order_days(spark, sf_dir):
+    """Days that order lines stay open, by month."""
+    days = intervals.expand_intervals(order_spans(spark, sf_dir), slot="day", unit="DAY")
+    return days.groupBy(F.date_trunc("MONTH", "day").alias("open_month")).agg(
+        F.count(F.lit(1)).alias("open_line_days")
+    )
+
+
 @query(
     "hourly_mart",
     with_roles(SQL_READINGS, SQL_CONTEXT, SQL_HOURLY, select="""
