@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hazemart.llm import token_counts
+from hazemart.llm import language_crf, line_spread, token_counts
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +35,42 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_line_spread", """
+WITH lines AS (SELECT doc_id, source, trim(unnest(string_split(text, chr(10)))) AS line FROM documents),
+spread AS (
+  SELECT line, min(doc_id) AS first_id FROM lines WHERE length(line) >= 20
+  GROUP BY line HAVING count(DISTINCT source) >= 5
+),
+gone AS (
+  SELECT l.doc_id, list(DISTINCT l.line) AS gone FROM lines l JOIN spread s ON l.line = s.line AND l.doc_id <> s.first_id
+  GROUP BY l.doc_id
+),
+parts AS (
+  SELECT d.doc_id, string_split(coalesce(d.text, ''), chr(10)) AS parts, d.text IS NULL AS missing, coalesce(g.gone, []) AS gone
+  FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id
+),
+kept AS (SELECT *, list_filter(parts, x -> NOT list_contains(gone, trim(x))) AS kept FROM parts)
+SELECT doc_id, CASE WHEN missing THEN 0 ELSE len(parts) END AS n_lines, len(parts) - len(kept) AS n_removed,
+  md5(array_to_string(kept, chr(10))) AS text_md5
+FROM kept
+""")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_spread.remove_spread_lines(table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
+def remainder(divisor: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+@query("op5_language_crf")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_crf.fit_documents(docs, remainder(4) != 2)
+    found = language_crf.predict(docs, model)
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
