@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemart.llm import language_crf, line_spread, token_counts
+from hazemart.llm import bag_minhash, language_crf, line_spread, token_counts
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_bag_minhash")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return bag_minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op2_line_spread", """
 WITH lines AS (SELECT doc_id, source, trim(unnest(string_split(text, chr(10)))) AS line FROM documents),
 spread AS (
@@ -49,7 +54,7 @@ parts AS (
   SELECT d.doc_id, string_split(coalesce(d.text, ''), chr(10)) AS parts, d.text IS NULL AS missing, coalesce(g.gone, []) AS gone
   FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id
 ),
-kept AS (SELECT *, list_filter(parts, x -> NOT list_contains(gone, trim(x))) AS kept FROM parts)
+kept AS (SELECT *, list_filter(parts, lambda x: NOT list_contains(gone, trim(x))) AS kept FROM parts)
 SELECT doc_id, CASE WHEN missing THEN 0 ELSE len(parts) END AS n_lines, len(parts) - len(kept) AS n_removed,
   md5(array_to_string(kept, chr(10))) AS text_md5
 FROM kept
