@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemart.llm import bag_minhash, decontaminate, language_crf, line_spread, token_counts
+from hazemart.llm import bag_minhash, decontaminate, language_crf, line_spread, token_counts, vector_links
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +76,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query("op3_vector_links")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_links.linked_vectors(table(spark, folder, "embeddings"))
+
+
 @query("op6_decontaminate")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
