@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemart.llm import bag_minhash, decontaminate, language_crf, line_spread, token_counts, vector_links
+from hazemart.llm import bag_minhash, decontaminate, language_crf, line_spread, surrogates, token_counts, vector_links
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -89,3 +89,13 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_token_counts")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op9_surrogates")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    replaced = surrogates.with_surrogates(table(spark, folder, "documents"), secret="corpus")
+    return replaced.select(
+        "doc_id", F.size("entities").cast("long").alias("n_entities"), F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"),
+        F.concat_ws(",", F.transform("entities", lambda e: F.concat_ws(":", e["type"], e["start"], e["end"]))).alias("spans"),
+        "n_collisions", F.col("text").alias("text"),
+    )
