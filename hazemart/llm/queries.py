@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemart.llm import bag_minhash, decontaminate, language_crf, line_spread, surrogates, token_counts, vector_links
+from hazemart.llm import bag_minhash, decontaminate, language_crf, line_spread, quality_rules, surrogates, token_counts, vector_links
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -99,3 +99,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         F.concat_ws(",", F.transform("entities", lambda e: F.concat_ws(":", e["type"], e["start"], e["end"]))).alias("spans"),
         "n_collisions", F.col("text").alias("text"),
     )
+
+
+@query("op10_quality_rules")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality_rules.fit(docs, table(spark, folder, "labels"), remainder(4) != 2)
+    return quality_rules.scored(docs, model).withColumn("held_out", remainder(4) == 2)
