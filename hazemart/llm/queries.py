@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemart.llm import bag_minhash, decontaminate, language_crf, line_spread, quality_rules, surrogates, token_counts, vector_links
+from hazemart.llm import bag_minhash, bilinear_lm, decontaminate, language_crf, line_spread, quality_rules, surrogates, token_counts, vector_links
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +86,12 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op7_bilinear_lm")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = bilinear_lm.scored(table(spark, folder, "documents"), remainder(10) != 0)
+    return found.withColumn("held_out", remainder(10) == 0)
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
