@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemart.llm import bag_minhash, bilinear_lm, decontaminate, language_crf, line_spread, quality_rules, surrogates, token_counts, vector_links
+from hazemart.llm import bag_minhash, bilinear_lm, decontaminate, language_crf, line_spread, piece_sampling, quality_rules, surrogates, token_counts, vector_links
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,13 @@ def remainder(divisor: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % divisor
 
 
+@query("op4_piece_sampling")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_sampling.sampled_segmentations(
+        table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"), with_ids=False
+    )
+
+
 @query("op5_language_crf")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
