@@ -285,3 +285,14 @@ def word_languages(model: Crf, text: str) -> list[tuple[str, str, float]]:
     starts, ends, _ = kernel.words(body, offsets, kernel.LETTERISH)
     spans = [bytes(body[a:b]).decode("utf-8") for a, b in zip(starts, ends, strict=True)]
     return [(w, model.languages[b.argmax()], float(b.max())) for w, b in zip(spans, belief, strict=True)]
+
+
+def recognised(docs: DataFrame, model: Crf, min_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has a language with ``min_score`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names, score = _predicted(shared.value, batch.column(text_col))
+        return batch.filter(pa.array((np.array(names, object) != UNKNOWN) & (score >= min_score)))
+
+    return kernel.arrow_map(docs, keep, docs.schema, text_col, 1 << 18)
