@@ -29,9 +29,11 @@ from pyspark.sql import types as T
 from hazemart.llm import kernel
 
 SAMPLES = 3
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
 FILTER_BITS = 20
 SPACE, LINE = 32, 10
+#: logarithms of exponential waits made from 53 random bits lie between -37 and 4
+NOISE_SPAN = 42.0
 
 
 @dataclass
@@ -46,6 +48,14 @@ class Vocabulary:
     byte_weight: float
     longest: int
     maybe: np.ndarray
+    body: np.ndarray
+    bounds: np.ndarray
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of some pieces end to end."""
+        size = self.bounds[ids + 1] - self.bounds[ids]
+        at = np.repeat(self.bounds[ids] - (np.cumsum(size) - size), size)
+        return self.body[at + np.arange(len(at))]
 
 
 def _span_hash(raw: list[bytes]) -> np.ndarray:
@@ -80,7 +90,8 @@ def vocabulary(path: str) -> Vocabulary:
     maybe[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
     return Vocabulary(
         pieces, hashes[order], ids, -np.log(ranks + 2.0), byte_ids, -float(np.log(2.0 - lowest)),
-        max(len(pieces[i]) for i in usable), maybe,
+        max(len(pieces[i]) for i in usable), maybe, np.frombuffer(b"".join(pieces), np.uint8),
+        np.r_[0, np.cumsum([len(p) for p in pieces])],
     )
 
 
@@ -252,14 +263,23 @@ def sample_rows(column: pa.Array, keys: np.ndarray, samples: int, vocab: Vocabul
 
     def alternatives(path: Path, row: int, number: int, since: int, bound: float, want: int) -> list[tuple]:
         """The ``want`` earliest groups of siblings of the choices from ``since`` on, as (log time, path, choice, excluded)."""
-        edges = path.edges[since:]
-        tail = path.log_p[since:]
-        rest = np.where(tail < 0, np.log(-np.expm1(np.minimum(tail, -1e-300))), -np.inf)
-        mass = path.before[since:] + rest
-        u = kernel.uniform(noise(np.full(len(edges), row), number, np.arange(since, since + len(edges)).astype(np.uint64), 2))
-        wait = np.log(np.maximum(-np.log(u), 1e-300)) - mass
-        times = np.logaddexp(bound, wait)
-        best = np.argsort(times, kind="stable")[:want] if want < 16 else np.argsort(times, kind="stable")
+        # waits span less than NOISE_SPAN, so choices with a mass that far below others cannot be among the earliest
+        reach, total = 256, len(path.edges) - since
+        while True:
+            stop = min(total, reach)
+            tail = path.log_p[since : since + stop]
+            mass = path.before[since : since + stop] + np.log(np.maximum(-np.expm1(tail), 1e-300))
+            mass[tail >= 0] = -np.inf
+            if stop == total:
+                break
+            least = np.partition(mass, stop - want)[stop - want]
+            if path.before[since + stop] < least - NOISE_SPAN:
+                break
+            reach *= 4
+        u = kernel.uniform(noise(np.full(stop, row), number, np.arange(since, since + stop, dtype=np.uint64), 2))
+        times = np.logaddexp(bound, np.log(np.maximum(-np.log(u), 1e-300)) - mass)
+        best = np.argpartition(times, want - 1)[:want] if want < stop else np.arange(stop)
+        best = best[np.argsort(times[best], kind="stable")]
         return [(float(times[i]), path, since + int(i), (int(path.edges[since + i]),)) for i in best if np.isfinite(times[i])]
 
     # the first segmentation of every row: plain sampling; its Gumbel is that of the whole mass
@@ -346,7 +366,7 @@ def _origin(lattice: Lattice, edge: int) -> int:
 
 def decode(ids: list[int] | np.ndarray, vocab: Vocabulary) -> str:
     """The text of some piece ids, without the leading mark."""
-    return b"".join([vocab.pieces[i] for i in ids]).decode("utf-8", "replace")[1:]
+    return vocab.spell(np.asarray(ids, np.int64)).tobytes()[1:].decode("utf-8", "replace")
 
 
 def sampled_segmentations(
@@ -375,8 +395,8 @@ def sampled_segmentations(
         column = batch.column("_text")
         keys = kernel.mixed(batch.column("_key").to_numpy().view(np.uint64))
         found = sample_rows(column, keys, samples, vocab)
-        texts = [b" " + t.encode() if t else b"" for t in column.to_pylist()]
-        restored = [b"".join([vocab.pieces[i] for i in f[2].tolist()]) == texts[f[0]] for f in found]
+        body, offsets = kernel.text_bytes(column)
+        restored = [np.array_equal(vocab.spell(f[2])[1:], body[offsets[f[0]] : offsets[f[0] + 1]]) for f in found]
         columns = [
             batch.column(0).take(pa.array([f[0] for f in found], pa.int64())), pa.array([f[1] for f in found], pa.int32()),
             pa.array([len(f[2]) for f in found], pa.int64()), pa.array([f[3] for f in found], pa.float64()),
