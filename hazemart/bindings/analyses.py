@@ -237,3 +237,28 @@ def _quota_share(spark, sf_dir):
 )
 def _pivot_sites(spark, sf_dir):
     return compare.sites_as_columns(measured(spark, sf_dir), "event_type", EVENT_TYPES, "ts", "q")
+
+
+@query(
+    "quantiles_by_flag",
+    """
+    SELECT l_returnflag, round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.25), 6) AS q25,
+           round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.5), 6) AS q50,
+           round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.99), 6) AS q99
+    FROM lineitem GROUP BY l_returnflag""",
+)
+def _quantiles_by_flag(spark, sf_dir):
+    """Groups with very many distinct values, cut into slices."""
+    prices = t.table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_extendedprice").cast("double").alias("price"))
+    found = ordered.exact_quantiles(prices, ["l_returnflag"], "price", {"q25": 0.25, "q50": 0.5, "q99": 0.99})
+    return found.withColumns({c: F.round(c, 6) for c in ("q25", "q50", "q99")})
+
+
+@query(
+    "rank_orders",
+    """
+    SELECT o_orderkey, CAST(rank() OVER (ORDER BY CAST(o_totalprice AS DOUBLE) DESC) AS INTEGER) AS price_rank FROM orders""",
+)
+def _rank_orders(spark, sf_dir):
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"))
+    return ordered.competition_ranks(orders, {"price_rank": "price"}).select("o_orderkey", "price_rank")

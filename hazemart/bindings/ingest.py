@@ -220,16 +220,15 @@ def _ingest_audit(spark, sf_dir):
 
 
 def order_ranges(spark, sf_dir):
-    spans = t.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
-        F.min("o_orderdate").cast("timestamp").alias("range_start"), F.max("o_orderdate").cast("timestamp").alias("range_end")
+    return t.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.min("o_orderdate").cast("timestamp").alias("range_start"), (F.max("o_orderdate").cast("timestamp") + F.expr("INTERVAL 1 DAY")).alias("range_end")
     )
-    return spans.where("range_end > range_start")
 
 
 SQL_RANGES = """
 ranges AS (
-  SELECT o_custkey, min(o_orderdate) AS range_start, max(o_orderdate) AS range_end FROM orders
-  GROUP BY o_custkey HAVING max(o_orderdate) > min(o_orderdate))
+  SELECT o_custkey, min(o_orderdate) AS range_start, max(o_orderdate) + INTERVAL 1 DAY AS range_end FROM orders
+  GROUP BY o_custkey)
 """
 
 

@@ -90,14 +90,14 @@ def _dedup_context(spark, sf_dir):
 @query(
     "dedup_keep_last",
     with_roles(SQL_EVENTS, select="""
-    SELECT hr AS period_start, hr + to_hours(CAST(floor(value / 20) AS BIGINT)) AS period_end, event_id AS seq, k % 4 AS level
-    FROM ev WHERE value >= 20
+    SELECT hr AS period_start, hr + to_hours(CAST(floor(value / 20) + 1 AS BIGINT)) AS period_end, event_id AS seq, k % 4 AS level
+    FROM ev
     QUALIFY row_number() OVER (PARTITION BY hr, floor(value / 20) ORDER BY event_id DESC) = 1"""),
 )
 def _dedup_keep_last(spark, sf_dir):
-    rows = t.events(spark, sf_dir).where("value >= 20").select(
+    rows = t.events(spark, sf_dir).select(
         F.col("hr").alias("period_start"),
-        (F.col("hr") + F.make_dt_interval(hours=F.floor(F.col("value") / 20).cast("int"))).alias("period_end"),
+        (F.col("hr") + F.make_dt_interval(hours=(F.floor(F.col("value") / 20) + 1).cast("int"))).alias("period_end"),
         F.col("event_id").alias("seq"),
         F.pmod("k", F.lit(4)).alias("level"),
     )

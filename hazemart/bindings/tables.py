@@ -104,7 +104,7 @@ def context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alarms = events(spark, sf_dir).where("event_type = 'error' AND value > 150")
+    alarms = events(spark, sf_dir).where("event_type = 'error'")
     hours = F.floor(F.col("value") / 20).cast("int")
     level = F.pmod(F.col("k"), F.lit(4)).cast("int")
     return alarms.select(
@@ -195,7 +195,7 @@ SQL_NOTICES = """
          CASE k % 4 WHEN 0 THEN 'Общий прогноз' WHEN 1 THEN 'Первый режим' WHEN 2 THEN 'Второй режим'
               ELSE 'Третий режим' END AS regime,
          'level ' || (k % 4) || ' for ' || CAST(floor(value / 20) AS INTEGER) || ' hours' AS announcement_text
-  FROM ev WHERE event_type = 'error' AND value > 150)
+  FROM ev WHERE event_type = 'error')
 , notice_steps AS (
   SELECT *, unnest(generate_series(period_start, period_end, INTERVAL 1 HOUR)) AS "timestamp" FROM notices)
 , notice_hours AS (

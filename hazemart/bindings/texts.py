@@ -69,10 +69,12 @@ def _classify_by_stem(spark, sf_dir):
     return leveled.withColumn("regime", text.regime_label(F.col("regime_level")))
 
 
+# a period of no hour is no notice, but its sentence can be read
+SQL_ALARMS = "event_type = 'error' AND value >= 20"
 SQL_SPOKEN = """
 , alarms AS (
   SELECT event_id, k, hr AS s, hr + to_hours(CAST(floor(value / 20) AS BIGINT)) AS e, CAST(k % 4 AS INTEGER) AS level
-  FROM ev WHERE event_type = 'error' AND value > 150)
+  FROM ev WHERE <which>)
 , said AS (
   SELECT event_id, k, 1 AS no, s, e, level FROM alarms
   UNION ALL SELECT event_id, k, 2, s + INTERVAL 1 DAY, e + INTERVAL 1 DAY, (level + 1) % 4 FROM alarms)
@@ -93,8 +95,8 @@ SQL_SPOKEN = """
 
 
 def notice_pages(spark, sf_dir):
-    """One HTML page per large error event with two good notices and three that must be skipped."""
-    alarms = t.events(spark, sf_dir).where("event_type = 'error' AND value > 150")
+    """One HTML page per error event with two notices, good if it lasts an hour, and three that must be skipped."""
+    alarms = t.events(spark, sf_dir).where("event_type = 'error'")
     day = F.expr("INTERVAL 1 DAY")
     start = F.col("hr")
     end = start + F.make_dt_interval(hours=F.floor(F.col("value") / 20).cast("int"))
@@ -113,7 +115,7 @@ def notice_pages(spark, sf_dir):
 
 @query(
     "notice_parse",
-    with_roles(SQL_EVENTS, SQL_SPOKEN, select="""
+    with_roles(SQL_EVENTS, SQL_SPOKEN.replace("<which>", SQL_ALARMS), select="""
     SELECT published, regime, level AS regime_level, s AS period_start, e AS period_end, sentence AS announcement_text,
            'parsed' AS source
     FROM sentences QUALIFY row_number() OVER (PARTITION BY s, e ORDER BY event_id DESC, no DESC) = 1"""),
@@ -125,16 +127,16 @@ def _notice_parse(spark, sf_dir):
 
 @query(
     "text_normalize",
-    with_roles(SQL_EVENTS, SQL_SPOKEN, select="""
+    with_roles(SQL_EVENTS, SQL_SPOKEN.replace("<which>", "true"), select="""
     SELECT event_id, substr(repeat('Внимание! ', k) || sentence, 1, 400) AS announcement_text FROM sentences WHERE no = 1"""),
 )
 def _text_normalize(spark, sf_dir):
     """Whole text read, cut behind its period, blanks collapsed, 400 characters published."""
-    alarms = t.events(spark, sf_dir).where("event_type = 'error' AND value > 150")
+    alarms = t.events(spark, sf_dir)
     end = F.col("hr") + F.make_dt_interval(hours=F.floor(F.col("value") / 20).cast("int"))
     said = notices.render_notice(F.col("hr"), F.pmod("k", F.lit(4)).cast("int"), F.col("hr"), end)
     loud = F.concat(F.repeat(F.lit("Внимание! "), F.col("k")), F.replace(said, F.lit(" "), F.lit(" \t ")), F.lit(" и далее"))
-    return alarms.select("event_id", text.announcement(loud).alias("announcement_text"))
+    return alarms.select("event_id", text.published_announcement(text.announcement(loud)).alias("announcement_text"))
 
 
 @query(

@@ -151,10 +151,11 @@ def regime_label(level: Column) -> Column:
     return F.try_element_at(labels, level.cast("string"))
 
 
-def announcement(piece: Column, length: int = NOTICE_TEXT_LENGTH) -> Column:
-    """The piece up to the end of its period, blanks collapsed, at most ``length`` characters.
+def announcement(piece: Column) -> Column:
+    """The whole piece up to the end of its period, blanks collapsed."""
+    return collapse(F.regexp_extract(piece, THROUGH_PERIOD, 0))
 
-    The length is a property of the published column, not a limit on the text that is read.
-    """
-    through_end = F.regexp_extract(piece, THROUGH_PERIOD, 0)
-    return F.substring(collapse(through_end), 1, length)
+
+def published_announcement(whole: Column) -> Column:
+    """An announcement as it is published; layers and features keep the whole text."""
+    return F.substring(whole, 1, NOTICE_TEXT_LENGTH)

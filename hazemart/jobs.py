@@ -81,6 +81,8 @@ def publish_all(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = {name: spark.read.parquet(f"{args.root}/{path}") for name, path in STAGED.items()}
     tables.update({name: spark.read.parquet(f"{args.root}/models/{name}") for name in MODEL_TABLES})
     tables["air_sites"] = tabular.read_text_table(spark, args.sites, SITE_SOURCE)
+    cut = text.published_announcement(F.col("announcement_text"))
+    tables["nmu_hourly"] = tables["nmu_hourly"].withColumn("announcement_text", cut)
     publish(tables, args.location)
 
 
@@ -131,7 +133,7 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--window", default=StreamSettings.window)
     job.add_argument("--watermark", default=StreamSettings.watermark)
     job.add_argument("--trigger-interval", default=StreamSettings.trigger_interval)
-    job.add_argument("--output-mode", default="complete", choices=["complete", "update", "append"])
+    job.add_argument("--output-mode", default=StreamSettings.output_mode, choices=["complete", "update", "append"])
     job.add_argument("--available-now", action="store_true")
     job.add_argument("--clamp", action="store_true")
     job.add_argument("--jdbc-url")

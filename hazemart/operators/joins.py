@@ -38,4 +38,5 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
         *[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys]
     )
     condition = reduce(Column.__and__, [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys])
-    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
+    joined = left.join(renamed, condition, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{k}" for k in keys])

@@ -3,8 +3,9 @@
 A group (or the whole table) is cut into slices of the value range. Slice totals are small, so
 their running sum is cheap; inside a slice the running sum is an ordinary window. Hot groups and
 tables without a key are thereby spread over many tasks, and the results are exact: the sketch
-that suggests the slice edges only decides how even the slices are. Counts per value are written
-to the shared folder once and read by the steps that follow.
+that suggests the slice edges only decides how even the slices are. Counts per value and the edges
+are written to the shared folder once and read by the steps that follow; a merged sketch depends on
+the order in which its parts arrive, so edges that were found twice could differ.
 """
 
 from __future__ import annotations
@@ -18,11 +19,9 @@ from hazemart.operators.joins import join_on_keys
 from hazemart.session import settled
 
 SLICES = 1024
-# a group with fewer values than this is one slice: sorting it takes one task no time
-WHOLE_GROUP = 100_000
 
 
-def _with_slice(df: DataFrame, keys: Sequence[str], value: str, slices: int, whole_group: int) -> DataFrame:
+def _with_slice(df: DataFrame, keys: Sequence[str], value: str, slices: int) -> DataFrame:
     """Add ``_slice``, the number of edges below ``value``, rising with it within a group.
 
     Edges are found in two steps, among every ``width``-th edge and then among the ``width`` edges
@@ -31,9 +30,9 @@ def _with_slice(df: DataFrame, keys: Sequence[str], value: str, slices: int, who
     width = max(1, int(slices**0.5))
     shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     sketch = F.array_distinct(F.percentile_approx(value, shares, F.lit(slices * 5)))
-    edges = F.when(F.count(value) > whole_group, sketch).alias("_edges")
     # every width-th edge is picked once per group, before the edges meet the rows
-    found = df.groupBy(*keys).agg(edges).withColumn("_marks", F.filter("_edges", lambda edge, i: (i + 1) % width == 0))
+    found = df.groupBy(*keys).agg(sketch.alias("_edges"))
+    found = settled(found.withColumn("_marks", F.filter("_edges", lambda edge, i: (i + 1) % width == 0)), "edges")
     if keys:
         placed = join_on_keys(df, found, keys)
     else:
@@ -52,13 +51,12 @@ def _with_slice(df: DataFrame, keys: Sequence[str], value: str, slices: int, who
 
 def running_before(
     df: DataFrame, keys: Sequence[str], value: str, amount: str, result: str, slices: int = SLICES,
-    whole_group: int = WHOLE_GROUP,
 ) -> DataFrame:
     """Add ``result``: the sum of ``amount`` over rows of the same group with a smaller ``value``.
 
     ``df`` holds each (keys, value) once. Windows without a key run over at most ``slices`` rows.
     """
-    placed = _with_slice(settled(df, "running"), keys, value, slices, whole_group)
+    placed = _with_slice(settled(df, "running"), keys, value, slices)
     at = [*keys, "_slice"]
     earlier_slices = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy(*at).agg(F.sum(amount).alias("_total"))
@@ -77,7 +75,6 @@ def running_before(
 
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float], slices: int = SLICES,
-    whole_group: int = WHOLE_GROUP,
 ) -> DataFrame:
     """Interpolated quantiles per group, one column per entry of ``quantiles``.
 
@@ -85,7 +82,7 @@ def exact_quantiles(
     are sorted. Nulls are ignored.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    placed = _with_slice(settled(counts, "counts"), keys, value, slices, whole_group)
+    placed = _with_slice(settled(counts, "counts"), keys, value, slices)
     at = [*keys, "_slice"]
     ordered = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = (

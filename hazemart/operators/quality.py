@@ -8,23 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazemart.functions.derive import count_if
+from hazemart.operators.intervals import expand_intervals
+from hazemart.operators.joins import join_on_keys
 from hazemart.session import settled
 
 
 def hourly_gaps(df: DataFrame, site: str = "site_id", when: str = "timestamp") -> DataFrame:
     """Hours between the first and last hour of the table that a site has no row for.
 
-    The table is read once, for its distinct hours. The grid is built per site row by
-    ``sequence``, so nothing is crossed.
+    The table is read once, for its distinct hours. The grid is built per site row in pieces, so
+    nothing is crossed and a stray time makes no long array. Rows without a site are a site of their own.
     """
     hours_seen = df.where(F.col(when).isNotNull()).select(site, F.date_trunc("HOUR", when).alias("hour_start")).distinct()
     observed = settled(hours_seen, "hours")
     span = observed.agg(F.min("hour_start").alias("first"), F.max("hour_start").alias("last"))
-    hours = F.sequence(
-        span.select("first").scalar(), span.select("last").scalar(), F.expr("INTERVAL 1 HOUR")
-    )
-    grid = observed.select(site).distinct().select(site, F.explode(hours).alias("hour_start"))
-    return grid.join(observed, [site, "hour_start"], "left_anti")
+    reach = observed.select(site).distinct().withColumns({
+        "_first": span.select("first").scalar(), "_after": span.select("last").scalar() + F.expr("INTERVAL 1 HOUR"),
+    })
+    grid = expand_intervals(reach, "_first", "_after", "hour_start").select(site, "hour_start")
+    return join_on_keys(grid, observed, [site, "hour_start"], "left_anti")
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -41,22 +41,20 @@ def _as_array(text: Column) -> Column:
     return F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>"))
 
 
-def record_array(payload: Column, root: str = "data", keys: Sequence[str] = RECORD_KEYS) -> Column:
-    """The array at ``root``, or the first array under one of ``keys`` below it.
-
-    Each level is parsed once, its members kept as text.
-    """
-    body = F.from_json(payload, f"`{root}` string")[root]
-    members = F.from_json(body, ", ".join(f"`{k}` string" for k in keys))
-    return F.coalesce(_as_array(body), *[_as_array(members[k]) for k in keys])
-
-
-def records(payloads: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFrame:
+def records(
+    payloads: DataFrame, payload: str, keep: Sequence[str] = (), root: str = "data", keys: Sequence[str] = RECORD_KEYS
+) -> DataFrame:
     """One row per record with its unparsed text in ``_raw`` and its place in ``record_no``.
 
-    A payload without a record array yields no rows.
+    The records are the array at ``root``, or the first array under one of ``keys`` below it. Each
+    level is parsed once and its members kept as text, in a projection of its own. A payload without a
+    record array yields no rows.
     """
-    return payloads.select(*keep, F.posexplode(record_array(F.col(payload))).alias("record_no", "_raw"))
+    outer = payloads.select(*keep, F.from_json(payload, f"`{root}` string")[root].alias("_body"))
+    inner = outer.withColumn("_members", F.from_json("_body", ", ".join(f"`{k}` string" for k in keys)))
+    texts = F.array("_body", *[F.col("_members")[k] for k in keys])
+    first = F.get(F.filter(texts, lambda text: F.ltrim(text).startswith("[")), F.lit(0))
+    return inner.select(*keep, F.posexplode(F.from_json(first, "array<string>")).alias("record_no", "_raw"))
 
 
 def first_present(record: Column, names: Sequence[str]) -> Column:

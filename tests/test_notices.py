@@ -82,10 +82,15 @@ def test_last_mention_of_a_period_wins(spark):
     assert row.announcement_text == f"20.01.2026 Второй режим НМУ {period}"
 
 
-def test_text_is_cut_behind_its_period_and_shortened(spark):
+def test_text_is_cut_behind_its_period_and_published_short(spark):
     body = "01.01.2026 НМУ " + "слово  " * 100 + "с 1 часа 2 января 2026 до 3 часов 3 января 2026 и прочее"
     (row,) = parse_notices(spark.createDataFrame([(body,)], "text string")).collect()
-    assert len(row.announcement_text) == 400 and "  " not in row.announcement_text
+    assert row.announcement_text.count("слово") == 100 and "  " not in row.announcement_text
+    assert row.announcement_text.endswith("до 3 часов 3 января 2026")
+    hours = notice_hours(parse_notices(spark.createDataFrame([(body,)], "text string")))
+    assert {r.announcement_text for r in hours.collect()} == {row.announcement_text}
+    published = hours.select(text.published_announcement(F.col("announcement_text")).alias("t")).first().t
+    assert published == row.announcement_text[:400]
     assert row.period_end == at(2026, 1, 3, 3)
 
 

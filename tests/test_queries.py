@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
+from hazemart.bindings import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -43,11 +44,11 @@ def canonical(columns, records):
     return [columns[i] for i in order], sorted(shaped, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, duck, name):
-    result = driver.queries()[name](spark, FOLDER)
+    result = QUERIES[name](spark, FOLDER)
     found = canonical(result.columns, [tuple(r) for r in result.collect()])
-    answer = duck.execute(driver.oracle_sql()[name])
+    answer = duck.execute(ORACLES[name])
     expected = canonical([d[0] for d in answer.description], answer.fetchall())
     assert found[0] == expected[0]
     assert len(found[1]) == len(expected[1])
@@ -56,11 +57,12 @@ def test_matches_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_runs(spark, name):
-    assert driver.queries()[name](spark, FOLDER).count() > 0
+    assert QUERIES[name](spark, FOLDER).count() > 0
 
 
 def test_only_models_lack_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
