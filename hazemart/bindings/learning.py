@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from hazemart.bindings import tables as t
@@ -210,3 +213,91 @@ def _ml_kmeans(spark, sf_dir):
     settings = ModelSettings()
     table = settled(features(spark, sf_dir), "features")
     return clusters.cluster_points(clusters.assign_clusters(clusters.fit_clusters(table, settings), table, settings))
+
+
+@query(
+    "ml_linear_fit",
+    with_roles(SQL_EVENTS, select="""
+    SELECT round(regr_slope(q, k), 6) AS slope, round(regr_intercept(q, k), 6) AS intercept, round(regr_r2(q, k), 6) AS r2,
+           count(*) AS n FROM ev WHERE k IS NOT NULL AND q IS NOT NULL"""),
+)
+def _ml_linear_fit(spark, sf_dir):
+    """The estimator's own coefficients, against the closed form."""
+    points = t.events(spark, sf_dir).where("k IS NOT NULL AND q IS NOT NULL").select(F.col("k").cast("double").alias("k"), "q")
+    vectors = VectorAssembler(inputCols=["k"], outputCol="x").transform(points)
+    fitted = LinearRegression(featuresCol="x", labelCol="q", solver="normal").fit(vectors)
+    row = (float(fitted.coefficients[0]), float(fitted.intercept), float(fitted.summary.r2), int(fitted.summary.numInstances))
+    found = spark.createDataFrame([row], "slope double, intercept double, r2 double, n long")
+    return found.withColumns({c: F.round(c, 6) for c in ("slope", "intercept", "r2")})
+
+
+@query(
+    "ml_kmeans_means",
+    with_roles(SQL_EVENTS, select="""
+    SELECT CAST(event_id % 2 AS INTEGER) AS side, round(avg(k + 100000 * (event_id % 2)), 6) AS k, round(avg(q), 6) AS q, count(*) AS n
+    FROM ev WHERE k IS NOT NULL AND q IS NOT NULL GROUP BY event_id % 2"""),
+)
+def _ml_kmeans_means(spark, sf_dir):
+    """Two groups far apart: the fitted centres are their means."""
+    side = F.pmod("event_id", F.lit(2))
+    points = t.events(spark, sf_dir).where("k IS NOT NULL AND q IS NOT NULL").select(
+        (F.col("k") + 100000 * side).cast("double").alias("k"), "q"
+    )
+    fitted = KMeans(featuresCol="x", k=2, seed=1).fit(VectorAssembler(inputCols=["k", "q"], outputCol="x").transform(points))
+    found = sorted(zip([[float(v) for v in c] for c in fitted.clusterCenters()], fitted.summary.clusterSizes))
+    rows = [(i, round(c[0], 6), round(c[1], 6), int(n)) for i, (c, n) in enumerate(found)]
+    return spark.createDataFrame(rows, "side int, k double, q double, n long")
+
+
+@query(
+    "ml_silhouette",
+    with_roles(SQL_EVENTS, select="""
+    , p AS (SELECT CAST(k AS DOUBLE) AS x, q AS y, k % 3 AS c FROM ev WHERE k IS NOT NULL AND q IS NOT NULL)
+    , g AS (SELECT c, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x + y * y) AS s2 FROM p GROUP BY c)
+    , d AS (SELECT p.x, p.y, p.c, g.c AS other, g.n,
+                   (p.x * p.x + p.y * p.y) * g.n + g.s2 - 2 * (p.x * g.sx + p.y * g.sy) AS total FROM p, g)
+    , s AS (SELECT x, y, max(CASE WHEN c = other THEN total / (n - 1) END) AS a, min(CASE WHEN c <> other THEN total / n END) AS b
+            FROM d GROUP BY x, y, c)
+    SELECT round(sum(((b - a) / greatest(a, b)) * w) / sum(w), 6) AS silhouette
+    FROM s JOIN (SELECT x, y, count(*) AS w FROM p GROUP BY x, y) USING (x, y)"""),
+)
+def _ml_silhouette(spark, sf_dir):
+    """Squared-distance silhouette of a fixed assignment, against its closed form."""
+    points = t.events(spark, sf_dir).where("k IS NOT NULL AND q IS NOT NULL").select(
+        F.col("k").cast("double").alias("k"), "q", F.pmod("k", F.lit(3)).cast("int").alias("cluster")
+    )
+    found = clusters.silhouette(VectorAssembler(inputCols=["k", "q"], outputCol="cluster_features").transform(points))
+    return spark.createDataFrame([(round(found, 6),)], "silhouette double")
+
+
+@query(
+    "ml_forest_bounds",
+    """
+    SELECT task, true AS every_row_scored, true AS values_in_range, true AS no_worse_than_mean FROM (VALUES
+    ('regression'), ('classification')) v(task)""",
+)
+def _ml_forest_bounds(spark, sf_dir):
+    """What must hold for the fitted models on any data."""
+    data, result = fitted_task(spark, sf_dir, "regression", "aqi")
+    scores = models.score_regression(result.models["random_forest"], data, "random_forest").where("split = 'train'")
+    train = data.where("split = 'train'").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.avg("label").alias("mean"),
+                                              F.count("*").alias("n"))
+    regression = scores.crossJoin(F.broadcast(train)).agg(
+        (F.count("predicted_aqi") == F.max("n")).alias("every_row_scored"),
+        F.bool_and(F.col("predicted_aqi").between(F.col("low") - 0.01, F.col("high") + 0.01)).alias("values_in_range"),
+        (F.sum(F.pow(F.col("actual_aqi") - F.col("predicted_aqi"), 2)) <= F.sum(F.pow(F.col("actual_aqi") - F.col("mean"), 2)))
+        .alias("no_worse_than_mean"),
+    ).select(F.lit("regression").alias("task"), "*")
+    data, result = fitted_task(spark, sf_dir, "classification", "is_pollution_peak")
+    scores = models.score_classification(result.models["random_forest"], data, "random_forest")
+    whole = data.agg(F.count("*").alias("n")).first()["n"]
+    classification = scores.agg(
+        (F.count("predicted_peak") == whole).alias("every_row_scored"),
+        F.bool_and(
+            F.col("peak_probability").between(0, 1)
+            & ((F.abs(F.col("peak_probability") - 0.5) < 0.001) | ((F.col("peak_probability") > 0.5) == (F.col("predicted_peak") == 1)))
+        ).alias("values_in_range"),
+        (F.avg((F.col("actual_peak") == F.col("predicted_peak")).cast("int"))
+         >= F.greatest(F.avg("actual_peak"), 1 - F.avg("actual_peak")) - 0.02).alias("no_worse_than_mean"),
+    ).select(F.lit("classification").alias("task"), "*")
+    return regression.union(classification)

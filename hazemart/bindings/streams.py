@@ -202,3 +202,33 @@ def _stream_late_data(spark, sf_dir):
                 found = run.latest_windows(spark, f"{root}/{mode}", mode)
                 results.append(found.select(F.lit(mode).alias("mode"), "window_start", "site_id", "site_name", "sample_count"))
     return results[0].unionByName(results[1]).unionByName(results[2])
+
+
+SQL_FINAL_COUNTS = """
+, unique_events AS (SELECT DISTINCT site_id, site_name, date_trunc('second', ts) AS event_time FROM valid)
+, newest AS (SELECT max(event_time) AS m FROM unique_events)
+, final_counts AS (
+  SELECT date_trunc('hour', event_time) AS window_start, site_id, site_name, count(*) AS sample_count
+  FROM unique_events GROUP BY 1, 2, 3)
+"""
+
+
+@query(
+    "stream_chain_dedup",
+    with_roles(SQL_MESSAGES, SQL_FINAL_COUNTS, select="""
+    SELECT f.* FROM final_counts f, newest WHERE window_start + INTERVAL 1 HOUR <= m - INTERVAL 2 HOUR"""),
+)
+def _stream_chain_dedup(spark, sf_dir):
+    """The chain of the stream job: repeated deliveries, counted once, kept by day as one row per window and site.
+
+    ``append`` holds back the windows that the watermark has not passed.
+    """
+    schema = t.table(spark, sf_dir, "events").schema
+    source = t.with_measures(streams.table_events(spark, sf_dir, "events.parquet", schema))
+    messages = as_messages(source, t.sites(spark, sf_dir), "ts")
+    copies = messages.withColumn("offset", F.explode(F.array(F.lit(5), F.lit(21), F.lit(34))))
+    settings = replace(StreamSettings(), output_mode="append")
+    path = scratch_path(spark, "stream-lake")
+    counted = ev.stream_windows(copies, settings, dedup=True)
+    run.start(counted, sinks.lake_window_sink(path), f"{path}-progress", settings).awaitTermination()
+    return spark.read.parquet(path).select("window_start", "site_id", "site_name", "sample_count")

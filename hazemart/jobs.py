@@ -83,6 +83,8 @@ def publish_all(spark: SparkSession, args: argparse.Namespace) -> None:
     tables["air_sites"] = tabular.read_text_table(spark, args.sites, SITE_SOURCE)
     cut = text.published_announcement(F.col("announcement_text"))
     tables["nmu_hourly"] = tables["nmu_hourly"].withColumn("announcement_text", cut)
+    if args.windows:
+        tables["mart_stream_aggregates"] = spark.read.parquet(args.windows)
     publish(tables, args.location)
 
 
@@ -90,14 +92,16 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     settings = StreamSettings(args.window, args.watermark, args.trigger_interval, args.output_mode)
     if args.jdbc_url and settings.output_mode != "complete":
         raise ValueError("the JDBC sink replaces its table, which needs --output-mode complete")
+    if args.dedup and settings.output_mode != "append":
+        raise ValueError("counting after deduplication needs --output-mode append")
     raw = streams.kafka_events(spark, args.servers, args.topic, args.starting_offsets)
-    valid = ev.valid_events(ev.parse_events(raw, clamp=args.clamp), settings.aqi_range)
+    windows = ev.stream_windows(raw, settings, args.clamp, args.dedup)
     outputs = [sinks.console_sink(), sinks.kafka_sink(args.servers, args.out_topic)]
     if args.jdbc_url:
         outputs.append(sinks.jdbc_snapshot_sink(args.jdbc_url, args.jdbc_table, user=args.jdbc_user, password=args.jdbc_password))
-    query = run.start(
-        ev.window_aggregates(valid, settings), sinks.fan_out(outputs), args.checkpoint, settings, args.available_now
-    )
+    if args.lake:
+        outputs.append(sinks.lake_window_sink(args.lake))
+    query = run.start(windows, sinks.fan_out(outputs), args.checkpoint, settings, args.available_now)
     query.awaitTermination()
 
 
@@ -124,6 +128,7 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--root", required=True)
     job.add_argument("--sites", required=True)
     job.add_argument("--location")
+    job.add_argument("--windows", help="the folder given to stream --lake")
     job.set_defaults(run=publish_all)
 
     job = jobs.add_parser("stream")
@@ -136,6 +141,8 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--output-mode", default=StreamSettings.output_mode, choices=["complete", "update", "append"])
     job.add_argument("--available-now", action="store_true")
     job.add_argument("--clamp", action="store_true")
+    job.add_argument("--dedup", action="store_true", help="count repeated deliveries once")
+    job.add_argument("--lake", help="folder that keeps one row per window and site")
     job.add_argument("--jdbc-url")
     job.add_argument("--jdbc-table", default="mart_stream_aggregates")
     job.add_argument("--jdbc-user")

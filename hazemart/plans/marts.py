@@ -33,20 +33,21 @@ def hourly_mart(readings: DataFrame, context: DataFrame, context_is_unique: bool
     )
 
 
-def _averages(*names: str) -> list[Column]:
-    return [F.avg(n).alias(f"avg_{n}") for n in names]
+def averages(*names: str, digits: int | None = None) -> list[Column]:
+    means = {n: F.avg(n) if digits is None else F.round(F.avg(n), digits) for n in names}
+    return [mean.alias(f"avg_{n}") for n, mean in means.items()]
 
 
-def _average_and_top(*names: str) -> list[Column]:
-    return [f(n).alias(f"{label}_{n}") for n in names for f, label in ((F.avg, "avg"), (F.max, "max"))]
+def average_and_top(*names: str, digits: int | None = None) -> list[Column]:
+    return [c for n in names for c in (*averages(n, digits=digits), F.max(n).alias(f"max_{n}"))]
 
 
-def rows_count() -> Column:
-    return F.count(F.lit(1)).alias("rows_count")
+def rows_count(name: str = "rows_count") -> Column:
+    return F.count(F.lit(1)).alias(name)
 
 
-def peak_count() -> Column:
-    return count_if(F.col("is_pollution_peak")).alias("pollution_peak_count")
+def peak_count(name: str = "pollution_peak_count") -> Column:
+    return count_if(F.col("is_pollution_peak")).alias(name)
 
 
 def missing_count() -> Column:
@@ -56,8 +57,8 @@ def missing_count() -> Column:
 def daily_mart(hourly: DataFrame) -> DataFrame:
     return hourly.groupBy("date", "site_id").agg(
         rows_count(),
-        *_average_and_top("aqi", "pm25", "pm10"),
-        *_averages("weather_temperature", "weather_humidity", "wind_speed"),
+        *average_and_top("aqi", "pm25", "pm10"),
+        *averages("weather_temperature", "weather_humidity", "wind_speed"),
         F.sum("precipitation").alias("total_precipitation"),
         peak_count(),
         count_if(F.col("has_precipitation")).alias("precipitation_hours"),
@@ -67,7 +68,7 @@ def daily_mart(hourly: DataFrame) -> DataFrame:
 def bucket_mart(hourly: DataFrame) -> DataFrame:
     """By site and wind bucket; readings without weather form the null bucket."""
     return hourly.groupBy("site_id", "wind_speed_group").agg(
-        rows_count(), *_averages("aqi", "pm25", "pm10"), peak_count()
+        rows_count(), *averages("aqi", "pm25", "pm10"), peak_count()
     )
 
 

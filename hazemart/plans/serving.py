@@ -9,36 +9,48 @@ from hazemart.functions.coerce import coerce_to
 from hazemart.operators.cleaning import CONTEXT_COLUMNS, READING_COLUMNS, clean_context, clean_readings
 from hazemart.operators.notices import NOTICE_HOUR_COLUMNS, notice_hours
 from hazemart.plans import marts
-from hazemart.plans.views import serving_views
+from hazemart.plans.views import serving_views, stream_views, view_sql
 from hazemart.sources import sinks
+from hazemart.streaming.events import WINDOW_COLUMNS
 
-_INT = {"hour", "month", "regime_level", "cluster", "actual_peak", "predicted_peak", "project_id"}
-_LONG = {
-    "rows_count", "pollution_peak_count", "precipitation_hours", "missing_weather_rows",
-    "missing_pollution_rows", "site_count",
+# The columns of the serving tables and their types.
+_COLUMN_TYPES = {
+    "int": (
+        "site_id", "hour", "month", "regime_level", "cluster", "actual_peak", "predicted_peak", "project_id",
+    ),
+    "bigint": (
+        "rows_count", "pollution_peak_count", "precipitation_hours", "missing_weather_rows", "missing_pollution_rows",
+        "site_count", "peak_count", "sample_count",
+    ),
+    "string": (
+        "site_name", "project_name", "project_short_name", "raw_json", "regime", "announcement_text", "wind_speed_group",
+        "model", "task", "metric", "feature",
+    ),
+    "boolean": ("is_pollution_peak", "has_missing_pollution_value", "has_precipitation", "is_nmu"),
+    "timestamp": ("timestamp", "first_timestamp", "last_timestamp", "window_start", "window_end"),
+    "date": ("date",),
+    "double": (
+        "latitude", "longitude", "aqi", "iaqi", "pm25", "pm25_mcp", "pm10", "temperature", "humidity", "pressure",
+        "air_temperature", "air_humidity", "air_pressure", "weather_temperature", "weather_humidity", "wind_speed",
+        "wind_direction", "precipitation", "rain", "snowfall", "surface_pressure", "total_precipitation", "value", "importance",
+        "actual_aqi", "predicted_aqi", "abs_error", "peak_probability", "nmu_share", "peak_share", "avg_nmu_severity",
+        "avg_aqi", "max_aqi", "avg_pm25", "max_pm25", "avg_pm10", "max_pm10", "avg_weather_temperature",
+        "avg_weather_humidity", "avg_wind_speed", "avg_surface_pressure",
+    ),
 }
-_TEXT = {
-    "site_name", "project_name", "project_short_name", "raw_json", "regime", "announcement_text",
-    "wind_speed_group", "model", "task", "metric", "feature",
+_SPARK_TYPES = {
+    "int": T.IntegerType(), "bigint": T.LongType(), "string": T.StringType(), "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(), "date": T.DateType(), "double": T.DoubleType(),
 }
-_BOOL = {"is_pollution_peak", "has_missing_pollution_value", "has_precipitation", "is_nmu"}
-_TIME = {"timestamp", "first_timestamp", "last_timestamp"}
+_TYPES = {column: name for name, columns in _COLUMN_TYPES.items() for column in columns}
 
 
-def _type_of(column: str) -> T.DataType:
-    if column == "date":
-        return T.DateType()
-    for names, data_type in (
-        (_INT | {"site_id"}, T.IntegerType()), (_LONG, T.LongType()), (_TEXT, T.StringType()),
-        (_BOOL, T.BooleanType()), (_TIME, T.TimestampType()),
-    ):
-        if column in names:
-            return data_type
-    return T.DoubleType()
-
-
-def _schema(columns, **other: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(c, other.get(c, _type_of(c))) for c in columns])
+def _schema(columns, **other: str) -> T.StructType:
+    """The declared type of every column; a name without one is an error."""
+    unknown = [c for c in columns if c not in _TYPES and c not in other]
+    if unknown:
+        raise KeyError(f"no type is declared for: {', '.join(unknown)}")
+    return T.StructType([T.StructField(c, _SPARK_TYPES[other.get(c, _TYPES.get(c))]) for c in columns])
 
 
 SERVING_SCHEMAS = {
@@ -70,8 +82,9 @@ SERVING_SCHEMAS = {
     "ml_feature_importance": _schema(["task", "model", "feature", "importance"]),
     "ml_clusters": _schema(
         ["site_id", "timestamp", "date", "hour", "cluster", "aqi", "pm25", "weather_temperature", "wind_speed", "is_nmu"],
-        is_nmu=T.IntegerType(),
+        is_nmu="int",
     ),
+    "mart_stream_aggregates": _schema(WINDOW_COLUMNS),
     "ml_cluster_profile": _schema(
         ["cluster", "rows_count", "avg_aqi", "avg_pm25", "avg_pm10", "avg_weather_temperature", "avg_weather_humidity",
          "avg_wind_speed", "avg_surface_pressure", "avg_nmu_severity", "nmu_share", "peak_share"]
@@ -115,8 +128,18 @@ def build_layers(
 
 
 def publish(tables: dict[str, DataFrame], location: str | None = None) -> None:
-    """Coerce and replace the serving tables, then the views over them."""
+    """Coerce and replace the serving tables, then the views over them, in the catalog of the session.
+
+    A view that only renames, joins names or marks rows is a catalog view; one that groups is a table,
+    replaced together with what it reads. With the windows of the stream their views are published too.
+    """
     shaped = {name: serving_table(name, df) for name, df in tables.items()}
     sinks.publish_tables(shaped, location)
     spark = next(iter(tables.values())).sparkSession
-    sinks.publish_views(serving_views({name: spark.table(name) for name in shaped}))
+    stored = {name: spark.table(name) for name in shaped}
+    views = serving_views(stored)
+    if "mart_stream_aggregates" in stored:
+        views |= stream_views(stored["mart_stream_aggregates"])
+    texts = view_sql({name: table.columns for name, table in stored.items()})
+    sinks.publish_views(spark, {name: texts[name] for name in views if name in texts})
+    sinks.publish_tables({name: df for name, df in views.items() if name not in texts}, location)

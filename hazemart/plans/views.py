@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hazemart.operators.compare import notice_periods
 from hazemart.operators.joins import attach_names
-from hazemart.plans.marts import _average_and_top, _averages, missing_count, peak_count, rows_count
+from hazemart.plans.marts import average_and_top, averages, missing_count, peak_count, rows_count
 
 
 def named(df: DataFrame, sites: DataFrame) -> DataFrame:
@@ -24,8 +24,8 @@ def named(df: DataFrame, sites: DataFrame) -> DataFrame:
 def daily_by_site(readings: DataFrame, sites: DataFrame) -> DataFrame:
     grouped = readings.groupBy("date", "site_id").agg(
         rows_count(),
-        *_average_and_top("aqi", "pm25", "pm10"),
-        *_averages("temperature", "humidity", "pressure"),
+        *average_and_top("aqi", "pm25", "pm10"),
+        *averages("temperature", "humidity", "pressure"),
         peak_count(),
         missing_count(),
     )
@@ -34,7 +34,7 @@ def daily_by_site(readings: DataFrame, sites: DataFrame) -> DataFrame:
 
 def hourly_profile(readings: DataFrame, sites: DataFrame) -> DataFrame:
     grouped = readings.groupBy("site_id", "hour").agg(
-        rows_count(), *_averages("aqi", "pm25", "pm10", "temperature"), peak_count()
+        rows_count(), *averages("aqi", "pm25", "pm10", "temperature"), peak_count()
     )
     return named(grouped, sites)
 
@@ -44,7 +44,7 @@ def site_summary(readings: DataFrame, sites: DataFrame) -> DataFrame:
         rows_count(),
         F.min("timestamp").alias("first_timestamp"),
         F.max("timestamp").alias("last_timestamp"),
-        *_average_and_top("aqi", "pm25", "pm10"),
+        *average_and_top("aqi", "pm25", "pm10"),
         peak_count(),
         missing_count(),
     )
@@ -98,5 +98,29 @@ def serving_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def view_sql(columns: dict[str, list[str]]) -> dict[str, str]:
+    """SELECT statements of the views that do not group, from the columns of the serving tables by name."""
+
+    def with_site(table: str, more: str = "") -> str:
+        order = ", ".join(f"t.{c}, s.site_name" if c == "site_id" else f"t.{c}" for c in columns[table])
+        return f"SELECT {order}{more} FROM {table} t LEFT JOIN air_sites s ON t.site_id = s.site_id"
+
+    correct = ", CASE WHEN t.actual_peak = t.predicted_peak THEN 1 ELSE 0 END AS is_correct"
+    texts = {
+        "v_air_weather_daily_by_site": ("mart_air_weather_daily", ""), "v_pollution_by_wind": ("mart_pollution_by_wind", ""),
+        "v_ml_regression": ("ml_regression_predictions", ""), "v_ml_clusters": ("ml_clusters", ""),
+        "v_ml_classification": ("ml_classification_predictions", correct),
+    }
+    whole = {
+        "v_data_quality_summary": "mart_data_quality_summary", "v_ml_cluster_profile": "ml_cluster_profile",
+        "v_ml_metrics": "ml_metrics", "v_ml_feature_importance": "ml_feature_importance",
+        "v_stream_aggregates": "mart_stream_aggregates",
+    }
+    return {
+        **{view: with_site(table, more) for view, (table, more) in texts.items() if table in columns},
+        **{view: f"SELECT * FROM {table}" for view, table in whole.items() if table in columns},
+    }
+
+
 def stream_views(windows: DataFrame) -> dict[str, DataFrame]:
     return {"v_stream_aggregates": windows, "v_stream_site_summary": stream_site_summary(windows)}

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hazemart.session import settled
+
 
 def write_staging(df: DataFrame, path: str, partition: str | None = "date") -> None:
     """Parquet layer. With ``partition`` only the days present in ``df`` are replaced.
@@ -71,6 +74,31 @@ def parquet_batch_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def lake_window_sink(
+    path: str, key: Sequence[str] = ("window_start", "site_id", "site_name"), when: str = "window_start"
+) -> Callable[[DataFrame, int], None]:
+    """One row per ``key`` below ``path``, by day; the row of the latest micro-batch wins.
+
+    A micro-batch reads and replaces only the days it touches, and running one again changes nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumns({"batch_id": F.lit(batch_id).cast("long"), "day": F.to_date(when)})
+        spark = batch.sparkSession
+        try:
+            stored = spark.read.schema(rows.schema).parquet(path)
+        except AnalysisException:  # nothing written yet
+            stored = None
+        if stored is not None:
+            rows = rows.unionByName(stored.join(rows.select("day").distinct(), "day", "left_semi").select(*rows.columns))
+        newest = Window.partitionBy(*key).orderBy(F.col("batch_id").desc())
+        merged = rows.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+        # the days that are replaced are read for the merge, so that is finished first
+        write_staging(settled(merged, "windows"), path, "day")
+
+    return write
+
+
 def top_rows(df: DataFrame, order: Sequence[str] = ("window_start", "site_id"), n: int = 30) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
@@ -106,6 +134,7 @@ def publish_tables(tables: dict[str, DataFrame], location: str | None = None) ->
         writer.saveAsTable(name)
 
 
-def publish_views(views: dict[str, DataFrame]) -> None:
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
+def publish_views(spark: SparkSession, views: dict[str, str]) -> None:
+    """Replace catalog views by name, each given as its SELECT statement."""
+    for name, body in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
