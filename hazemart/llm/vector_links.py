@@ -81,9 +81,7 @@ def dual_traversal(tree: Tree, leaf: np.ndarray, low: np.ndarray, high: np.ndarr
         pick = np.arange(int(fan.sum())) - np.repeat(np.cumsum(fan) - fan, fan)
         pa_, pb = np.repeat(a, fan), np.repeat(b, fan)
         a, b = order[begin[pa_] + pick // count[pb]], order[begin[pb] + pick % count[pb]]
-        a, b = a[a <= b], b[a <= b]
-        a, b = np.concatenate([a, b]), np.concatenate([b, a])  # children of one pair may come in either order
-        a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)  # children come in either order
         centre = tree.centres[tree.levels[depth]]
         between = _pair_distances(centre, a, b)
         stay = between - cover[depth][a] - cover[depth][b] <= reach + SLACK
