@@ -72,10 +72,16 @@ def unescape(text: Column) -> Column:
     return F.when(text.contains("&"), joined).otherwise(text)
 
 
+# fixed patterns of page text
+HIDDEN_PARTS = r"(?is)<(script|style)[^>]*>.*?</\1>"
+TAGS = r"<[^>]+>"
+# end of fixed patterns
+
+
 def html_to_text(html: Column) -> Column:
     """Visible text: no scripts, styles or tags, references decoded, blanks collapsed."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
-    bare = F.regexp_replace(bare, r"<[^>]+>", " ")
+    bare = F.regexp_replace(html, HIDDEN_PARTS, " ")
+    bare = F.regexp_replace(bare, TAGS, " ")
     return F.trim(F.regexp_replace(unescape(bare), BLANKS, " "))
 
 

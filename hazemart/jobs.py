@@ -1,5 +1,6 @@
 """Entry points for ``spark-submit``: layers, models, serving tables and the stream.
 
+    spark-submit hazemart/jobs.py payloads --kind readings --files F --output R
     spark-submit hazemart/jobs.py layers --readings R --context C --notices N --root DIR
     spark-submit hazemart/jobs.py notices --pages P --output N
     spark-submit hazemart/jobs.py train --root DIR
@@ -18,11 +19,12 @@ from hazemart import config
 from hazemart.config import ModelSettings, StreamSettings
 from hazemart.functions import coerce, text
 from hazemart.ml.models import train_all
+from hazemart.operators.cleaning import cleaning_audit
 from hazemart.operators.notices import NOTICE_COLUMNS, parse_notices, seed_notices
 from hazemart.plans.features import feature_table
 from hazemart.plans.serving import SERVING_SCHEMAS, build_layers, publish
-from hazemart.session import build_session, settled
-from hazemart.sources import ingest, sinks, streams, tabular
+from hazemart.session import build_session, scratch_space, settled
+from hazemart.sources import ingest, payload, sinks, streams, tabular
 from hazemart.streaming import events as ev
 from hazemart.streaming import run
 
@@ -50,14 +52,24 @@ def read_notices(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def payloads(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Saved JSON payloads, one per file, to the raw table the layers job reads."""
+    files = spark.read.text(args.files, wholetext=True)
+    if args.kind == "readings":
+        rows = payload.resolve_aliases(payload.records(files, "value"), "_raw", payload.READING_ALIASES, keep=["_raw"])
+        rows = rows.select(*READING_SOURCE)
+    else:
+        rows = payload.parallel_arrays(files, "value", list(config.CONTEXT_SOURCE.values())).select(*CONTEXT_SOURCE)
+    sinks.export_csv(rows, args.output)
+
+
 def layers(spark: SparkSession, args: argparse.Namespace) -> None:
-    build_layers(
-        spark,
-        tabular.read_text_table(spark, args.readings, READING_SOURCE),
-        tabular.read_text_table(spark, args.context, CONTEXT_SOURCE),
-        read_notices(spark, args.notices),
-        args.root,
+    readings = tabular.read_text_table(spark, args.readings, READING_SOURCE)
+    built = build_layers(
+        spark, readings, tabular.read_text_table(spark, args.context, CONTEXT_SOURCE), read_notices(spark, args.notices), args.root,
     )
+    audit = cleaning_audit(readings, built["air_cleaned"]).first()
+    print(f"readings: {audit.raw_rows} raw, {audit.cleaned_rows} cleaned, {audit.removed_rows} removed", flush=True)
 
 
 def notices(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -109,6 +121,12 @@ def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
 
+    job = jobs.add_parser("payloads")
+    job.add_argument("--kind", required=True, choices=["readings", "context"])
+    job.add_argument("--files", required=True)
+    job.add_argument("--output", required=True)
+    job.set_defaults(run=payloads)
+
     job = jobs.add_parser("layers")
     for name in ("--readings", "--context", "--notices", "--root"):
         job.add_argument(name, required=True)
@@ -156,7 +174,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"hazemart-{args.job}")
     spark.sparkContext.setLogLevel("WARN")
     try:
-        args.run(spark, args)
+        with scratch_space(spark):
+            args.run(spark, args)
     finally:
         spark.stop()
 

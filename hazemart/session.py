@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_open_spaces: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[None]:
+    """Removes what :func:`settled` wrote inside the block once the block is left.
+
+    For a job whose results are written by then; a frame that is still to be read must not leave it.
+    """
+    _open_spaces.append([])
+    try:
+        yield
+    finally:
+        for path in _open_spaces.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settled(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
@@ -67,5 +87,7 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     the lineage, so a lost executor costs a read.
     """
     path = scratch_path(df.sparkSession, label)
+    if _open_spaces:
+        _open_spaces[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from hazemart import config, jobs
+from hazemart import config, jobs, session
 from hazemart.session import scratch_path
 from hazemart.sources import sinks
 
@@ -57,6 +57,48 @@ def test_raw_files_to_views(spark, root):
     assert spark.table("v_ml_regression").where("site_name = 'zero'").count() == 240
 
 
+def test_saved_payloads_become_raw_tables(spark, root):
+    body = '{"data": {"items": [{"site": 5, "date": "2026-04-01 00:00:00", "aqi": "1,5", "t": 3}, {"site_id": 6, "time": "x", "h": null}]}}'
+    weather = '{"hourly": {"time": ["2026-04-01T00:00"], "temperature_2m": [1.5], "rain": []}}'
+    for name, text in (("p", body), ("w", weather)):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{root}/in/{name}")
+    submit(spark, "payloads", "--kind", "readings", "--files", f"{root}/in/p", "--output", f"{root}/in/p-rows")
+    submit(spark, "payloads", "--kind", "context", "--files", f"{root}/in/w", "--output", f"{root}/in/w-rows")
+    rows = jobs.tabular.read_text_table(spark, f"{root}/in/p-rows", jobs.READING_SOURCE).orderBy("site_id").collect()
+    assert [(r.site_id, r.time, r.aqi, r.temperature, r.humidity) for r in rows] == [("5", "2026-04-01 00:00:00", "1,5", "3", None), ("6", "x", None, None, None)]
+    (context,) = jobs.tabular.read_text_table(spark, f"{root}/in/w-rows", jobs.CONTEXT_SOURCE).collect()
+    assert (context.time, context.temperature_2m, context.rain) == ("2026-04-01T00:00", "1.5", None)
+
+
+def test_views_outlive_the_session(spark, root):
+    """A new session on the same catalog reads every view that the publish job left."""
+    fresh = spark.newSession()
+    names = {t.name for t in fresh.catalog.listTables() if t.name.startswith("v_")}
+    assert len(names) == 13 and not any(t.isTemporary for t in fresh.catalog.listTables() if t.name in names)
+    for name in names:
+        assert fresh.table(name).count() > 0 or name == "v_ml_feature_importance"
+
+
+def test_stream_views_are_published(spark, root):
+    windows = spark.createDataFrame(
+        [("2026-04-01 00:00:00", "2026-04-01 01:00:00", 0, "zero", 1.0, 2.0, 3.0, 1, 4)], list(jobs.ev.WINDOW_COLUMNS)
+    ).withColumns({c: F.col(c).cast("timestamp") for c in ("window_start", "window_end")})
+    sinks.lake_window_sink(f"{root}/lake")(windows, 0)
+    sinks.lake_window_sink(f"{root}/lake")(windows.withColumn("sample_count", F.lit(9).cast("long")), 1)
+    sinks.lake_window_sink(f"{root}/lake")(windows.withColumn("sample_count", F.lit(9).cast("long")), 1)
+    submit(spark, "publish", "--root", root, "--sites", f"{root}/in/sites", "--location", f"{root}/serving", "--windows", f"{root}/lake")
+    fresh = spark.newSession()
+    assert [r.sample_count for r in fresh.table("v_stream_aggregates").collect()] == [9]
+    assert fresh.table("v_stream_site_summary").first().total_samples == 9
+
+
+def test_scratch_space_removes_what_was_settled(spark):
+    with session.scratch_space(spark):
+        path = session.settled(spark.range(3).toDF("x"), "gone").inputFiles()[0].rpartition("/")[0]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()
+
+
 def test_pages_without_notices_fall_back(spark, root):
     spark.createDataFrame([("u", "<p>nothing</p>")], "url string, html string").write.parquet(f"{root}/in/empty")
     submit(spark, "notices", "--pages", f"{root}/in/empty", "--output", f"{root}/in/seeds")
