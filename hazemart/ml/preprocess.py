@@ -60,24 +60,20 @@ def tokens(text: Column) -> Column:
 def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     """Exact-vocabulary term weights: tf * ln((documents + 1) / (document frequency + 1)).
 
-    ``key`` is unique, one row per document. Terms are therefore counted inside the row, as runs of
-    its sorted tokens, and the document frequency is combined on the map side, so (document, term)
-    pairs meet no exchange but that of the join by term.
+    ``key`` is unique, one row per document. The document frequency therefore needs no grouping by
+    document: it counts the distinct terms of each row, combined on the map side, so only the
+    vocabulary is shuffled however often a term occurs. Counting terms inside the row, as runs of its
+    sorted tokens, spares the exchange of the counts but takes twice the time: 32 s against 15 s at sf0.1.
     """
-    words = df.select(key, F.sort_array(tokens(F.col(text))).alias("_terms"))
-    last = F.size("_terms") - 1
-    begins = F.filter(
-        F.sequence(F.lit(0), last), lambda i: (i == 0) | (F.get("_terms", i) != F.get("_terms", i - 1))
+    words = df.select(key, tokens(F.col(text)).alias("terms"))
+    counts = (
+        words.select(key, F.explode("terms").alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     )
-    runs = words.where(F.size("_terms") > 0).withColumn("_begins", begins)
-    term = F.transform(
-        "_begins", lambda at, n: F.struct(
-            F.get("_terms", at).alias("term"),
-            (F.coalesce(F.get("_begins", n + 1), F.size("_terms")) - at).cast("long").alias("tf"),
-        )
+    frequency = (
+        words.select(F.explode(F.array_distinct("terms")).alias("term"))
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"))
     )
-    counts = runs.select(key, F.inline(term))
-    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     documents = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return counts.join(frequency, "term").select(
         key, "term", "tf", "df", (F.col("tf") * F.log((documents + 1) / (F.col("df") + 1))).alias("tfidf")
