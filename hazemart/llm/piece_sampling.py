@@ -29,11 +29,15 @@ from pyspark.sql import types as T
 from hazemart.llm import kernel
 
 SAMPLES = 3
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 FILTER_BITS = 20
+PREFIX_BITS = 22
+CACHED_EDGES = 2_000_000
 SPACE, LINE = 32, 10
 #: logarithms of exponential waits made from 53 random bits lie between -37 and 4
 NOISE_SPAN = 42.0
+#: choices that are looked at first; nearly always enough
+REACH = 640
 
 
 @dataclass
@@ -48,6 +52,7 @@ class Vocabulary:
     byte_weight: float
     longest: int
     maybe: np.ndarray
+    prefixes: np.ndarray
     body: np.ndarray
     bounds: np.ndarray
 
@@ -88,9 +93,12 @@ def vocabulary(path: str) -> Vocabulary:
     ranks = -np.array([model.get_score(int(i)) for i in ids])
     maybe = np.zeros(1 << FILTER_BITS, bool)
     maybe[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+    heads = sorted({pieces[i][:n] for i in usable for n in range(1, len(pieces[i]))})
+    prefixes = np.zeros(1 << PREFIX_BITS, bool)
+    prefixes[(_span_hash(heads) >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)] = True
     return Vocabulary(
         pieces, hashes[order], ids, -np.log(ranks + 2.0), byte_ids, -float(np.log(2.0 - lowest)),
-        max(len(pieces[i]) for i in usable), maybe, np.frombuffer(b"".join(pieces), np.uint8),
+        max(len(pieces[i]) for i in usable), maybe, prefixes, np.frombuffer(b"".join(pieces), np.uint8),
         np.r_[0, np.cumsum([len(p) for p in pieces])],
     )
 
@@ -101,6 +109,7 @@ class Lattice:
 
     first: np.ndarray
     degree: np.ndarray
+    source: np.ndarray
     target: np.ndarray
     piece: np.ndarray
     log_p: np.ndarray
@@ -131,7 +140,7 @@ def build_lattice(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, voc
         sums = np.zeros(total + 1, np.uint64)
         np.cumsum(np.where(inner, kernel._CODES[char] * power[:-1], np.uint64(0)), dtype=np.uint64, out=sums[1:])
         live = np.flatnonzero(head)
-        froms, tos, pieces, weights = [], [], [], []
+        found = []  # (starts, sizes, ids, weights) by size
         for size in range(1, vocab.longest + 1):
             live = live[left[live] >= size]
             if not len(live):
@@ -140,30 +149,32 @@ def build_lattice(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, voc
             hit = np.flatnonzero(vocab.maybe[(code >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
             at = np.minimum(np.searchsorted(vocab.hashes, code[hit]), len(vocab.hashes) - 1)
             good = vocab.hashes[at] == code[hit]
-            froms.append(live[hit[good]])
-            tos.append(live[hit[good]] + size)
-            pieces.append(vocab.ids[at[good]])
-            weights.append(vocab.weights[at[good]])
-    froms, tos = np.concatenate([[], *froms]).astype(np.int64), np.concatenate([[], *tos]).astype(np.int64)
-    pieces, weights = np.concatenate([[], *pieces]).astype(np.int32), np.concatenate([[], *weights])
+            found.append((live[hit[good]], size, vocab.ids[at[good]], vocab.weights[at[good]]))
+            live = live[vocab.prefixes[(code >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)]]
     # characters without a piece of their own become bytes
     lead = np.where(char < 0x80, 1, np.where(char < 0xE0, 2, np.where(char < 0xF0, 3, 4)))
     covered = np.zeros(total, bool)
-    own = froms[tos - froms == lead[froms]]
-    covered[own] = True
+    for start, size, _, _ in found:
+        covered[start[lead[start] == size]] = True
     owner = np.maximum.accumulate(np.where(head | ~inner, np.arange(total), 0))
     loose = np.flatnonzero(inner & ~covered[owner])
-    froms, tos = np.concatenate([froms, loose]), np.concatenate([tos, loose + 1])
-    pieces = np.concatenate([pieces, vocab.byte_ids[char[loose]]])
-    weights = np.concatenate([weights, np.full(len(loose), vocab.byte_weight)])
-    order = np.lexsort((tos, froms))
-    froms, tos, pieces, weights = froms[order], tos[order], pieces[order], weights[order]
-    degree = np.bincount(froms, minlength=total)
-    first = np.cumsum(degree) - degree
+    found.append((loose, 1, vocab.byte_ids[char[loose]], np.full(len(loose), vocab.byte_weight)))
+    # edges go to their start's range, shorter ones first: a position never starts two of one size
+    degree = sum(np.bincount(start, minlength=total) for start, *_ in found).astype(np.int32)
+    first = (np.cumsum(degree) - degree).astype(np.int32)
+    count = int(degree.sum())
+    froms, tos, pieces, weights = np.empty(count, np.int32), np.empty(count, np.int32), np.empty(count, np.int32), np.empty(count)
+    free = first.copy()
+    for start, size, ids, weight in found:
+        place = free[start]
+        free[start] += 1
+        froms[place], tos[place], pieces[place], weights[place] = start, start + size, ids, weight
     # backward sums, all positions with the same distance to their unit's end at once
     back = np.zeros(total)
-    log_p = np.empty(len(froms))
+    log_p = np.empty(count)
     distance = left[froms]
+    if len(lengths) and lengths.max() < 1 << 16:
+        distance = distance.astype(np.uint16)  # sorted by counting
     by_distance = np.argsort(distance, kind="stable")
     cuts = np.searchsorted(distance[by_distance], np.arange(1, int(lengths.max(initial=0)) + 2))
     for low, high in zip(cuts[:-1], cuts[1:], strict=True):
@@ -183,7 +194,42 @@ def build_lattice(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, voc
     before = np.r_[0.0, share][first]
     running = share - before[froms]
     running[(first + degree - 1)[degree > 0]] = 2.0  # the last edge takes what rounding leaves
-    return Lattice(first, degree, tos, pieces, log_p, running), begin
+    return Lattice(first, degree, froms, tos, pieces, log_p, running.astype(np.float32)), begin
+
+
+class LatticeCache:
+    """Lattices of the units met first in a worker, up to ``CACHED_EDGES``; those are the frequent ones."""
+
+    def __init__(self, vocab: Vocabulary):
+        self._vocab = vocab
+        self._lattice, self._begin = build_lattice(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), vocab)
+        self._codes = np.zeros(0, np.uint64)
+
+    def of(self, body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[Lattice, np.ndarray]:
+        """A lattice that holds some different units, and the first position of each."""
+        at = np.minimum(np.searchsorted(self._codes, codes), max(0, len(self._codes) - 1))
+        known = self._codes[at] == codes if len(self._codes) else np.zeros(len(codes), bool)
+        root = np.empty(len(codes), np.int64)
+        root[known] = self._begin[at[known]]
+        new = np.flatnonzero(~known)
+        own, begin = build_lattice(body, starts[new], lengths[new], self._vocab)
+        nodes, edges = len(self._lattice.first), len(self._lattice.target)
+        both = Lattice(
+            np.concatenate([self._lattice.first, own.first + np.int32(edges)]), np.concatenate([self._lattice.degree, own.degree]),
+            np.concatenate([self._lattice.source, own.source + np.int32(nodes)]), np.concatenate([self._lattice.target, own.target + np.int32(nodes)]), np.concatenate([self._lattice.piece, own.piece]),
+            np.concatenate([self._lattice.log_p, own.log_p]), np.concatenate([self._lattice.running, own.running]),
+        )
+        root[new] = begin + nodes
+        if len(both.target) <= CACHED_EDGES:
+            order = np.argsort(merged := np.concatenate([self._codes, codes[new]]))
+            self._begin = np.concatenate([self._begin, root[new]])[order]
+            self._codes, self._lattice = merged[order], both
+        return both, root
+
+
+@functools.lru_cache(maxsize=2)
+def lattice_cache(path: str) -> LatticeCache:
+    return LatticeCache(vocabulary(path))
 
 
 def _draw(lattice: Lattice, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +276,22 @@ def _units(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return full, starts, np.diff([*starts, len(full)]), np.searchsorted(base, starts, side="right") - 1
 
 
-def sample_rows(column: pa.Array, keys: np.ndarray, samples: int, vocab: Vocabulary) -> list[tuple[int, int, np.ndarray, float, float]]:
+class Path:
+    """Edges of one segmentation of a row with the unit of each."""
+
+    # kept at module level: a class made per call would hold its slice's arrays until a cycle collection
+
+    def __init__(self, lattice: Lattice, edges: np.ndarray, units: np.ndarray):
+        self.lattice, self.edges, self.units = lattice, edges.astype(np.int32), units.astype(np.int32)
+
+    def before(self, choice: int) -> float:
+        """Log probability of the choices ahead of one."""
+        return float(self.lattice.log_p[self.edges[:choice]].sum())
+
+
+def sample_rows(
+    column: pa.Array, keys: np.ndarray, samples: int, vocab: Vocabulary, cache: LatticeCache | None = None
+) -> list[tuple[int, int, np.ndarray, float, float]]:
     """(row, number from 1, piece ids, log probability, log inclusion probability) in order of the search."""
     body, offsets = kernel.text_bytes(column)
     count = len(offsets) - 1
@@ -242,84 +303,120 @@ def sample_rows(column: pa.Array, keys: np.ndarray, samples: int, vocab: Vocabul
     if not len(starts):
         return out
     codes = kernel.word_hashes(full, starts, starts + lengths)
-    _, sample, shared = np.unique(codes, return_index=True, return_inverse=True)
-    lattice, begin = build_lattice(full, starts[sample], lengths[sample], vocab)
+    coded = pa.array(codes).dictionary_encode()
+    shared, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    sample = np.empty(len(distinct), np.int64)
+    sample[shared[::-1]] = np.arange(len(codes))[::-1]
+    lattice, begin = (cache or LatticeCache(vocab)).of(full, starts[sample], lengths[sample], distinct)
     root = begin[shared]
     bounds = np.searchsorted(rows, np.arange(count + 1))
     place = (np.arange(len(starts)) - bounds[rows]).astype(np.uint64)
 
-    def noise(row: np.ndarray, number: int, where: np.ndarray, salt: int) -> np.ndarray:
+    def noise_seed(row: np.ndarray | int, number: int, salt: int) -> np.ndarray:
         with np.errstate(over="ignore"):
-            seed = kernel.mixed(keys[row] + np.uint64(number) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt))
-            return kernel.mixed(seed + where * np.uint64(0xBF58476D1CE4E5B9))
-
-    class Path:
-        """Edges of one segmentation of a row with the unit of each."""
+            return kernel.mixed(keys[row] + np.uint64((number * 0x9E3779B97F4A7C15 + salt) % (1 << 64)))
 
-        def __init__(self, edges: np.ndarray, units: np.ndarray):
-            self.edges, self.units = edges, units
-            self.log_p = lattice.log_p[edges]
-            self.before = np.cumsum(self.log_p) - self.log_p
+    def noise(row: np.ndarray | int, number: int, where: np.ndarray, salt: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return kernel.mixed(noise_seed(row, number, salt) + where * np.uint64(0xBF58476D1CE4E5B9))
 
     def alternatives(path: Path, row: int, number: int, since: int, bound: float, want: int) -> list[tuple]:
         """The ``want`` earliest groups of siblings of the choices from ``since`` on, as (log time, path, choice, excluded)."""
         # waits span less than NOISE_SPAN, so choices with a mass that far below others cannot be among the earliest
-        reach, total = 256, len(path.edges) - since
+        ahead = path.before(since)
+        reach, total = REACH, len(path.edges) - since
         while True:
             stop = min(total, reach)
-            tail = path.log_p[since : since + stop]
-            mass = path.before[since : since + stop] + np.log(np.maximum(-np.expm1(tail), 1e-300))
+            tail = lattice.log_p[path.edges[since : since + stop]]
+            through = ahead + np.cumsum(tail)
+            mass = through - tail + np.log(np.maximum(-np.expm1(tail), 1e-300))
             mass[tail >= 0] = -np.inf
             if stop == total:
                 break
             least = np.partition(mass, stop - want)[stop - want]
-            if path.before[since + stop] < least - NOISE_SPAN:
+            if through[-1] < least - NOISE_SPAN:
                 break
             reach *= 4
-        u = kernel.uniform(noise(np.full(stop, row), number, np.arange(since, since + stop, dtype=np.uint64), 2))
+        u = kernel.uniform(noise(row, number, np.arange(since, since + stop, dtype=np.uint64), 2))
         times = np.logaddexp(bound, np.log(np.maximum(-np.log(u), 1e-300)) - mass)
         best = np.argpartition(times, want - 1)[:want] if want < stop else np.arange(stop)
         best = best[np.argsort(times[best], kind="stable")]
         return [(float(times[i]), path, since + int(i), (int(path.edges[since + i]),)) for i in best if np.isfinite(times[i])]
 
+    def all_alternatives(wanted: list[tuple[Path, int, int, int, float, int]]) -> list[list[tuple]]:
+        """``alternatives`` of several rows at once, over the first ``REACH`` choices; the few that need more go one by one."""
+        if not wanted:
+            return []
+        edge = np.zeros((len(wanted), REACH), np.int32)
+        length = np.empty(len(wanted), np.int64)
+        for k, (path, _, _, since, _, _) in enumerate(wanted):
+            part = path.edges[since : since + REACH]
+            edge[k, : len(part)] = part
+            length[k] = len(path.edges) - since
+        there = np.arange(REACH)[None, :] < length[:, None]
+        tail = np.where(there, lattice.log_p[edge], 0.0)
+        through = np.array([w[0].before(w[3]) for w in wanted])[:, None] + np.cumsum(tail, axis=1)
+        mass = through - tail + np.log(np.maximum(-np.expm1(tail), 1e-300))
+        mass[tail >= 0] = -np.inf
+        most = min(REACH, max(w[5] for w in wanted))
+        least = -np.partition(-mass, most - 1, axis=1)[:, most - 1]
+        enough = (length <= REACH) | ((through[:, -1] < least - NOISE_SPAN) & (max(w[5] for w in wanted) <= REACH))
+        with np.errstate(over="ignore"):
+            seeds = noise_seed(np.array([w[1] for w in wanted]), wanted[0][2], 2)  # all of one round
+            where = np.array([w[3] for w in wanted])[:, None] + np.arange(REACH)[None, :]
+            u = kernel.uniform(kernel.mixed(seeds[:, None] + where.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)))
+        times = np.logaddexp(np.array([w[4] for w in wanted])[:, None], np.log(np.maximum(-np.log(u), 1e-300)) - mass)
+        best = np.argpartition(times, most - 1, axis=1)[:, :most]
+        out = []
+        for k, (path, row, number, since, bound, want) in enumerate(wanted):
+            if not enough[k]:
+                out.append(alternatives(path, row, number, since, bound, want))
+                continue
+            order = sorted((float(times[k, i]), int(i)) for i in best[k] if np.isfinite(times[k, i]))[:want]
+            out.append([(t, path, since + i, (int(path.edges[since + i]),)) for t, i in order])
+        return out
+
     # the first segmentation of every row: plain sampling; its Gumbel is that of the whole mass
     edges, steps = _draw(lattice, root, noise(rows, 1, place, 1))
     unit_of = np.repeat(np.arange(len(starts)), steps)
     cuts = np.searchsorted(unit_of, bounds)
-    active, agendas, taken = [], {}, {}
+    active, agendas, taken, wanted = [], {}, {}, []
+    bounds_u = kernel.uniform(noise(np.arange(count), 1, np.zeros(count, np.uint64), 3))
     for row in np.flatnonzero(np.diff(bounds) > 0):
         row = int(row)
-        path = Path(edges[cuts[row] : cuts[row + 1]], unit_of[cuts[row] : cuts[row + 1]])
-        u = kernel.uniform(noise(np.array([row]), 1, np.array([0], np.uint64), 3))[0]
-        bound = float(np.log(max(-np.log(u), 1e-300)))
-        heap = [(t, n, p, c, x) for n, (t, p, c, x) in enumerate(alternatives(path, row, 1, 0, bound, samples))]
-        heapq.heapify(heap)
-        agendas[row], taken[row] = heap, [path]
+        path = Path(lattice, edges[cuts[row] : cuts[row + 1]], unit_of[cuts[row] : cuts[row + 1]])
+        bound = float(np.log(max(-np.log(bounds_u[row]), 1e-300)))
+        taken[row] = [path]
         active.append(row)
+        wanted.append((path, row, 1, 0, bound, samples))
+    for (path, row, *_), found in zip(wanted, all_alternatives(wanted), strict=True):
+        agendas[row] = [(t, n, p, c, x) for n, (t, p, c, x) in enumerate(found)]
+        heapq.heapify(agendas[row])
     serial = samples
     for number in range(2, samples + 1):
         plans = []
-        for row in active:
-            if not agendas[row]:
-                continue
+        open_rows = [row for row in active if agendas[row]]
+        if not open_rows:
+            break
+        draws = [kernel.uniform(noise(np.array(open_rows), number, np.full(len(open_rows), n, np.uint64), n + 3)) for n in (1, 2)]
+        for row, u in zip(open_rows, draws[0], strict=True):
             bound, _, path, choice, excluded = heapq.heappop(agendas[row])
-            node = _origin(lattice, int(path.edges[choice]))
+            node = int(lattice.source[path.edges[choice]])
             options = [e for e in range(int(lattice.first[node]), int(lattice.first[node] + lattice.degree[node])) if e not in excluded]
             odds = np.exp(lattice.log_p[options] - lattice.log_p[options].max())
-            u = kernel.uniform(noise(np.array([row]), number, np.array([1], np.uint64), 4))[0]
             chosen = options[min(int(np.searchsorted(np.cumsum(odds), u * odds.sum())), len(options) - 1)]
             plans.append((row, bound, path, choice, excluded, chosen))
-        if not plans:
-            break
         # all completions of this round in one draw: the rest of the unit, then the units after it
-        nodes, keys_of, sizes = [], [], []
+        nodes, places, sizes = [], [], []
         for row, _, path, choice, _, chosen in plans:
             unit = int(path.units[choice])
             last = int(bounds[row + 1])
-            nodes.append(np.r_[lattice.target[chosen], root[unit + 1 : last]])
-            keys_of.append(noise(np.full(last - unit, row), number, place[unit:last], 1))
+            nodes += [lattice.target[chosen : chosen + 1], root[unit + 1 : last]]
+            places.append(place[unit:last])
             sizes.append(last - unit)
-        drawn, steps = _draw(lattice, np.concatenate(nodes), np.concatenate(keys_of))
+        owners = np.repeat(np.array(open_rows), sizes)
+        drawn, steps = _draw(lattice, np.concatenate(nodes), noise(owners, number, np.concatenate(places), 1))
+        wanted = []
         ends = np.cumsum(sizes)
         edge_ends = np.r_[0, np.cumsum(steps)]
         for k, (row, bound, path, choice, excluded, chosen) in enumerate(plans):
@@ -327,25 +424,26 @@ def sample_rows(column: pa.Array, keys: np.ndarray, samples: int, vocab: Vocabul
             unit = int(path.units[choice])
             tail = drawn[edge_ends[low] : edge_ends[high]]
             tail_units = np.repeat(np.arange(unit, unit + sizes[k]), steps[low:high])
-            new = Path(np.concatenate([path.edges[:choice], [chosen], tail]), np.concatenate([path.units[:choice], [unit], tail_units]))
+            new = Path(lattice, np.concatenate([path.edges[:choice], [chosen], tail]), np.concatenate([path.units[:choice], [unit], tail_units]))
             heap = agendas[row]
             gone = (*excluded, chosen)
-            node = _origin(lattice, chosen)
+            node = int(lattice.source[chosen])
             options = [e for e in range(int(lattice.first[node]), int(lattice.first[node] + lattice.degree[node])) if e not in gone]
             if options:
-                mass = path.before[choice] + float(np.logaddexp.reduce(lattice.log_p[options]))
-                u = kernel.uniform(noise(np.array([row]), number, np.array([2], np.uint64), 5))[0]
-                time = float(np.logaddexp(bound, np.log(max(-np.log(u), 1e-300)) - mass))
+                mass = path.before(choice) + float(np.logaddexp.reduce(lattice.log_p[options]))
+                time = float(np.logaddexp(bound, np.log(max(-np.log(draws[1][k]), 1e-300)) - mass))
                 heapq.heappush(heap, (time, serial, path, choice, gone))
                 serial += 1
-            for time, p, c, x in alternatives(new, row, number, choice + 1, bound, samples):
-                heapq.heappush(heap, (time, serial, p, c, x))
-                serial += 1
+            wanted.append((new, row, number, choice + 1, bound, samples - number + 1))
             taken[row].append(new)
+        for (_, row, *_), found in zip(wanted, all_alternatives(wanted), strict=True):
+            for time, p, c, x in found:
+                heapq.heappush(agendas[row], (time, serial, p, c, x))
+                serial += 1
     for row in active:
         limit = agendas[row][0][0] if agendas[row] else np.inf  # log time of the value after the last one taken
         for number, path in enumerate(taken[row], 1):
-            log_p = float(path.log_p.sum())
+            log_p = path.before(len(path.edges))
             rate = log_p + limit
             inclusion = 0.0 if rate > 30 else float(np.log(-np.expm1(-np.exp(rate)))) if rate > -30 else rate
             out.append((row, number, lattice.piece[path.edges], log_p, inclusion))
@@ -360,10 +458,6 @@ def _row_of(offsets: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.nda
     return filled[np.searchsorted(begin, starts, side="right") - 1] if len(filled) else rows
 
 
-def _origin(lattice: Lattice, edge: int) -> int:
-    return int(np.searchsorted(lattice.first, edge, side="right") - 1)
-
-
 def decode(ids: list[int] | np.ndarray, vocab: Vocabulary) -> str:
     """The text of some piece ids, without the leading mark."""
     return vocab.spell(np.asarray(ids, np.int64)).tobytes()[1:].decode("utf-8", "replace")
@@ -394,7 +488,7 @@ def sampled_segmentations(
         vocab = vocabulary(model)
         column = batch.column("_text")
         keys = kernel.mixed(batch.column("_key").to_numpy().view(np.uint64))
-        found = sample_rows(column, keys, samples, vocab)
+        found = sample_rows(column, keys, samples, vocab, lattice_cache(model))
         body, offsets = kernel.text_bytes(column)
         restored = [np.array_equal(vocab.spell(f[2])[1:], body[offsets[f[0]] : offsets[f[0] + 1]]) for f in found]
         columns = [
@@ -412,11 +506,17 @@ def sampled_segmentations(
 def digest(ids: np.ndarray) -> int:
     """A 64-bit hash of a sequence of ids."""
     with np.errstate(over="ignore"):
-        place = np.arange(1, len(ids) + 1, dtype=np.uint64)
-        total = kernel.mixed(ids.astype(np.uint64) + kernel.mixed(place)).sum(dtype=np.uint64)
+        total = kernel.mixed(ids.astype(np.uint64) + _places(1 << max(10, len(ids).bit_length()))[: len(ids)]).sum(dtype=np.uint64)
     return int(np.asarray(total, np.uint64).view(np.int64))
 
 
+@functools.lru_cache(maxsize=8)
+def _places(count: int) -> np.ndarray:
+    """A code for each place in a sequence."""
+    with np.errstate(over="ignore"):
+        return kernel.mixed(np.arange(1, count + 1, dtype=np.uint64))
+
+
 def decoded(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with a column text in place of any of that name: the text of its piece ids; null ids give null."""
     columns = [c for c in encoded.columns if c != "text"]
