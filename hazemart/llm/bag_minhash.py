@@ -7,8 +7,8 @@ occurrence share its points, so a register's earliest point agrees between two b
 the probability of their weighted Jaccard similarity. Only points up to a horizon are made; most
 shingles have none and cost one hash.
 
-Signatures are banded. Exact copies are one class and enter once. In a bucket every text is compared
-with a leader, then texts still apart with further leaders, and at last all pairs of a bucket that
+Signatures are banded. Exact copies are one class and enter once. Every text is compared with the leader
+of each of its buckets, texts still apart with further leaders, and at last all pairs of a bucket that
 are not yet connected; so a bucket of many near copies costs a multiple of its size and no link
 between separate components is lost. Every candidate is verified by the exact multiset overlap.
 """
@@ -25,14 +25,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazemart.llm import kernel
-from hazemart.llm.components import components
+from hazemart.llm.components import components, forest
 from hazemart.session import settled
 
 WIDTH = 5
 SIMILARITY = 0.8
-BANDS = 20
-ROWS = 4
-LEADER_ROUNDS = 6
+BANDS = 28
+ROWS = 6
+#: all pairs of a bucket that are not connected are compared once they are at most so many per text
+OPEN_PAIRS = 8
+LEADER_ROUNDS = 4
 
 
 def bags(column: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -117,7 +119,7 @@ def _features(docs: DataFrame, width: int, bands: int, per_band: int) -> DataFra
             kernel.lists(key[has].reshape(-1).view(np.int64), has * bands, pa.int64()),
         ], names=schema.names)
 
-    return kernel.arrow_map(docs, sign, schema, "_text", 1 << 19)
+    return kernel.arrow_map(docs, sign, schema, "_text", 2 << 20)
 
 
 def overlap(left: pa.Array, right: pa.Array, width: int = WIDTH) -> np.ndarray:
@@ -136,22 +138,38 @@ def overlap(left: pa.Array, right: pa.Array, width: int = WIDTH) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose texts reach ``similarity``."""
-    kind = pairs.schema["a"].dataType
+    """Links (a, b) with the same components as all ``pairs`` (member, leader) whose texts reach ``similarity``.
+
+    Pairs are dealt by member at last, so a task sees all leaders of a member and returns one link for
+    each text at most.
+    """
+    kind = pairs.schema["member"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
     both = (
-        pairs.join(texts.select(F.col("_id").alias("b"), F.col("_text").alias("_right")), "b")
-        .join(texts.select(F.col("_id").alias("a"), F.col("_text").alias("_left")), "a")
-        .select("a", "b", "_left", "_right")
+        pairs.distinct().join(texts.select(F.col("_id").alias("leader"), F.col("_text").alias("_right")), "leader")
+        .join(texts.select(F.col("_id").alias("member"), F.col("_text").alias("_left")), "member")
+        .select("member", "leader", "_left", "_right")
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good = []
         for wide in batches:
             for part in kernel.slices([wide], "_right", 1 << 18):
                 for batch in kernel.slices([part], "_left", 1 << 18):
-                    good = overlap(batch.column("_left"), batch.column("_right"), width) >= similarity
-                    if good.any():
-                        yield batch.select(["a", "b"]).filter(pa.array(good))
+                    same = overlap(batch.column("_left"), batch.column("_right"), width) >= similarity
+                    good.append(batch.select(["member", "leader"]).filter(pa.array(same)))
+        if not good or not sum(g.num_rows for g in good):
+            return
+        links = pa.Table.from_batches(good).combine_chunks()
+        ends = pa.concat_arrays([links.column(k).chunk(0) for k in range(2)])
+        coded = ends.dictionary_encode()
+        code = coded.indices.to_numpy()
+        root = forest(code[: links.num_rows], code[links.num_rows :], len(coded.dictionary))
+        joined = np.flatnonzero(root != np.arange(len(root)))
+        if len(joined):
+            yield pa.RecordBatch.from_arrays(
+                [coded.dictionary.take(pa.array(joined)), coded.dictionary.take(pa.array(root[joined]))], names=["a", "b"]
+            )
 
     return both.mapInArrow(verify, schema)
 
@@ -174,51 +192,45 @@ def near_duplicates(
     known = found.where(F.col("_id").isNotNull() & F.col("_low").isNotNull())
     classes = known.groupBy("_low", "_high").agg(F.min("_id").alias("_class"))
     copies = settled(
-        known.join(classes, ["_low", "_high"]).select("_id", F.col("_class"), "_bands").withColumn(
-            "_bands", F.when(F.col("_id") == F.col("_class"), F.col("_bands"))
+        known.join(classes, ["_low", "_high"]).select(
+            "_id", "_class", F.when(F.col("_id") == F.col("_class"), F.col("_bands")).alias("_bands")
         ), "copies",
     )
-    members = copies.where(F.col("_bands").isNotNull()).select("_id", F.explode("_bands").alias("_bucket")).distinct()
-    crowded = members.groupBy("_bucket").count().where(F.col("count") > 1).select("_bucket")
-    members = settled(members.join(crowded, "_bucket"), "buckets")
+    members = copies.where(F.col("_bands").isNotNull()).select("_id", F.explode("_bands").alias("_bucket"))
+    crowded = members.groupBy("_bucket").agg(F.count("*").alias("n"), F.min_by("_id", F.xxhash64("_id", F.lit(0))).alias("_leader"))
+    members = settled(members.join(crowded.where(F.col("n") > 1), "_bucket").select("_bucket", "_id", "_leader"), "buckets")
     texts = settled(source.join(members.select("_id").distinct(), "_id", "left_semi").dropDuplicates(["_id"]), "texts")
-    empty = members.select(F.col("_id").alias("a"), F.col("_id").alias("b")).limit(0)
-    links, labels = empty, members.select(F.col("_id").alias("node"), F.col("_id").alias("component")).distinct()
-    open_members, compared = members, empty
-    for turn in range(LEADER_ROUNDS):
-        placed = settled(open_members.join(labels.withColumnRenamed("node", "_id"), "_id"), "placed")
+    pairs = members.where(F.col("_id") != F.col("_leader")).select(F.col("_id").alias("member"), F.col("_leader").alias("leader"))
+    links = settled(_verified(pairs, texts, width, similarity), "verified")
+    for turn in range(1, LEADER_ROUNDS + 1):
+        labels = components(links).withColumnRenamed("node", "_id")
+        placed = members.select("_bucket", "_id").join(labels, "_id", "left").withColumn(
+            "component", F.coalesce("component", "_id")
+        )
         # buckets that still hold texts of several components
-        mixed = placed.groupBy("_bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        mixed = mixed.where(F.col("low") < F.col("high")).select("_bucket")
-        placed = settled(placed.join(mixed, "_bucket"), "placed")
-        sizes = placed.groupBy("_bucket", "component").count()
-        work, size = sizes.groupBy("_bucket").agg(
-            F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("within")
-        ).agg(F.sum((F.col("n") * F.col("n") - F.col("within")) / 2), F.sum("n")).first()
+        mixed = placed.groupBy("_bucket", "component").agg(
+            F.count("*").alias("n"), F.min_by("_id", F.xxhash64("_id", F.lit(turn))).alias("_leader")
+        ).groupBy("_bucket").agg(
+            F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"),
+            F.min_by(F.struct("_leader", "component"), F.xxhash64("_leader", F.lit(turn))).alias("lead"),
+        ).where(F.col("parts") > 1)
+        placed = settled(placed.join(mixed.drop("parts"), "_bucket"), "placed")
+        work, size = placed.agg(F.sum((F.col("n") - F.col("within") / F.col("n")) / 2), F.count("*")).first()
         if not size:
-            pairs = None
             break
-        last = work <= 4 * size or turn == LEADER_ROUNDS - 1
+        last = work <= OPEN_PAIRS * size or turn == LEADER_ROUNDS
         if last:
             # every pair of a bucket that is not connected yet
-            left = placed.select("_bucket", F.col("_id").alias("a"), F.col("component").alias("ca"))
-            right = placed.select("_bucket", F.col("_id").alias("b"), F.col("component").alias("cb"))
-            pairs = left.join(right, "_bucket").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b")
+            left = placed.select("_bucket", F.col("_id").alias("member"), F.col("component").alias("_own"))
+            right = placed.select("_bucket", F.col("_id").alias("leader"), F.col("component").alias("_other"))
+            apart = (F.col("member") > F.col("leader")) & (F.col("_own") != F.col("_other"))
+            pairs = left.join(right, "_bucket").where(apart).select("member", "leader")
         else:
-            leaders = placed.groupBy("_bucket").agg(
-                F.min_by(F.struct("_id", "component"), F.xxhash64("_id", F.lit(turn))).alias("leader")
-            )
-            pairs = placed.join(leaders, "_bucket").where(F.col("component") != F.col("leader.component")).select(
-                F.least("_id", "leader._id").alias("a"), F.greatest("_id", "leader._id").alias("b")
-            )
-        pairs = pairs.distinct().join(compared, ["a", "b"], "left_anti")
-        pairs = settled(pairs, "pairs")
+            apart = placed.where(F.col("component") != F.col("lead.component"))
+            pairs = apart.select(F.col("_id").alias("member"), F.col("lead._leader").alias("leader"))
         links = settled(_verified(pairs, texts, width, similarity).union(links), "verified")
         if last:
             break
-        compared = compared.union(pairs)
-        open_members = placed.select("_bucket", "_id")
-        labels = settled(_labelled(members, links), "labels")
     final = components(links).withColumnRenamed("node", "_class")
     placed = copies.select("_id", "_class").distinct().join(final, "_class", "left").select(
         "_id", F.coalesce("component", "_class").alias("class_id")
@@ -229,8 +241,3 @@ def near_duplicates(
         F.col("_id").alias(id_col), "class_id", F.coalesce(F.col("_id") == F.col("class_id"), F.lit(True)).alias("kept")
     )
 
-
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    known = components(links)
-    nodes = members.select(F.col("_id").alias("node")).distinct()
-    return nodes.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -12,32 +12,27 @@ from hazemart.session import settled
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); the component is its smallest node.
 
-    Alternates large-star and small-star steps, which end in a star around the smallest node after
-    a logarithmic number of rounds. Each round is written to the shared folder. The smallest
-    neighbour of a node is a map-side aggregate, so a node with very many links costs one row per task.
+    Each round a node takes the smallest label among its own and its neighbours', then the label of that
+    label, so paths halve. A round is written to the shared folder. The smallest label is a map-side
+    aggregate, so a node with very many links costs one row per task.
     """
-    pairs = settled(
-        edges.where(F.col("a") != F.col("b"))
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
+    links = edges.where(F.col("a") != F.col("b"))
+    both = settled(
+        links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select(F.col("b"), F.col("a"))), "links"
     )
-    state = None
+    labels = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    labels = settled(labels.withColumn("component", F.least("node", "component")), "labels")
     while True:
-        # every larger neighbour of u moves to the smallest of u and its neighbours
-        both = pairs.select("u", "v").union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where(F.col("u") != F.col("v")).distinct()
-        # u and its smaller neighbours move to the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m"))
-        pairs = settled(small.where(F.col("u") != F.col("v")).distinct(), "links")
-        now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        if now == state:
-            break
-        state = now
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        pairs.select(F.col("v"), F.col("v")).distinct()
-    )
+        near = both.join(labels.select(F.col("node").alias("v"), "component"), "v").select(F.col("u").alias("node"), "component")
+        own = labels.withColumn("old", F.col("component"))
+        least = own.unionByName(near, allowMissingColumns=True).groupBy("node").agg(
+            F.min("component").alias("label"), F.max("old").alias("old")
+        )
+        jump = least.select(F.col("node").alias("label"), F.col("label").alias("component"))
+        moved = settled(least.join(jump, "label").select("node", "component", "old"), "labels")
+        labels = moved.select("node", "component")
+        if not moved.where(F.col("component") != F.col("old")).limit(1).count():
+            return labels
 
 
 def forest(first: np.ndarray, second: np.ndarray, count: int) -> np.ndarray:
