@@ -85,6 +85,10 @@ def cleaning_audit(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
 
 
 def observed(df: DataFrame, label: str = "rows") -> tuple[DataFrame, Observation]:
-    """The same rows with a counter that fills while an action runs, at no extra pass."""
+    """The same rows with a counter that fills while an action runs, at no extra pass.
+
+    A session that has observed cannot evaluate Spark ML's model summaries any more (its observation
+    manager does not serialize), so models are fitted in another one.
+    """
     counter = Observation(label)
     return df.observe(counter, F.count(F.lit(1)).alias(label)), counter

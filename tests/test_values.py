@@ -124,6 +124,8 @@ def test_severity_and_fill(spark):
 def test_audit_and_observation(spark):
     raw = spark.createDataFrame([reading(), reading(), reading(time="?")], RAW)
     assert tuple(cleaning_audit(raw, clean_readings(raw)).first()) == (3, 1, 2)
-    counted, counter = observed(clean_readings(raw), "cleaned")
+    # an observation makes its session unfit for Spark ML's summaries, so it gets one of its own
+    own = spark.newSession().createDataFrame([reading(), reading(), reading(time="?")], RAW)
+    counted, counter = observed(clean_readings(own), "cleaned")
     counted.write.format("noop").mode("overwrite").save()
     assert counter.get == {"cleaned": 1}
