@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,7 @@ ROWS = 6
 #: all pairs of a bucket that are not connected are compared once they are at most so many per text
 OPEN_PAIRS = 8
 LEADER_ROUNDS = 4
+LABEL_ROUNDS = 5
 
 
 def bags(column: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -163,13 +165,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
         links = pa.Table.from_batches(good).combine_chunks()
         ends = pa.concat_arrays([links.column(k).chunk(0) for k in range(2)])
         coded = ends.dictionary_encode()
-        code = coded.indices.to_numpy()
-        root = forest(code[: links.num_rows], code[links.num_rows :], len(coded.dictionary))
+        # numbered by size, so that the smallest text of a component is its root
+        order = pc.array_sort_indices(coded.dictionary)
+        ids, number = coded.dictionary.take(order), np.empty(len(order), np.int64)
+        number[order.to_numpy()] = np.arange(len(order))
+        code = number[coded.indices.to_numpy()]
+        root = forest(code[: links.num_rows], code[links.num_rows :], len(ids))
         joined = np.flatnonzero(root != np.arange(len(root)))
         if len(joined):
-            yield pa.RecordBatch.from_arrays(
-                [coded.dictionary.take(pa.array(joined)), coded.dictionary.take(pa.array(root[joined]))], names=["a", "b"]
-            )
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(joined)), ids.take(pa.array(root[joined]))], names=["a", "b"])
 
     return both.mapInArrow(verify, schema)
 
@@ -203,7 +207,8 @@ def near_duplicates(
     pairs = members.where(F.col("_id") != F.col("_leader")).select(F.col("_id").alias("member"), F.col("_leader").alias("leader"))
     links = settled(_verified(pairs, texts, width, similarity), "verified")
     for turn in range(1, LEADER_ROUNDS + 1):
-        labels = components(links).withColumnRenamed("node", "_id")
+        # labels need not be final here: texts that are connected but labelled apart are compared once more
+        labels = components(links, LABEL_ROUNDS).withColumnRenamed("node", "_id")
         placed = members.select("_bucket", "_id").join(labels, "_id", "left").withColumn(
             "component", F.coalesce("component", "_id")
         )

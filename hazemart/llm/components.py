@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from hazemart.session import settled
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); the component is its smallest node.
 
+    With ``rounds`` it stops early: equal labels still mean connected, different ones not yet that they are apart.
+
     Each round a node takes the smallest label among its own and its neighbours', then the label of that
     label, so paths halve. A round is written to the shared folder. The smallest label is a map-side
     aggregate, so a node with very many links costs one row per task.
@@ -22,6 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     labels = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     labels = settled(labels.withColumn("component", F.least("node", "component")), "labels")
+    done = 0
     while True:
         near = both.join(labels.select(F.col("node").alias("v"), "component"), "v").select(F.col("u").alias("node"), "component")
         own = labels.withColumn("old", F.col("component"))
@@ -31,7 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
         jump = least.select(F.col("node").alias("label"), F.col("label").alias("component"))
         moved = settled(least.join(jump, "label").select("node", "component", "old"), "labels")
         labels = moved.select("node", "component")
-        if not moved.where(F.col("component") != F.col("old")).limit(1).count():
+        done += 1
+        if done == rounds or not moved.where(F.col("component") != F.col("old")).limit(1).count():
             return labels
 
 
