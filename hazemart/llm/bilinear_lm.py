@@ -1,19 +1,25 @@
-"""Text probabilities by a log-bilinear model over word classes, trained with noise-contrastive estimation.
-
-The corpus gives two tables by aggregation: the count of every token and the counts of class trigrams.
-Classes are the most frequent tokens by themselves, the rest by the hash of their last two bytes, and
-the end of text. The model predicts the next class from the two before it: their vectors, each moved by
-the matrix of its position, are added and multiplied with the vectors of all classes. It is trained in
-numpy on the trigram counts, a table whose size does not depend on the corpus. A product over all
-classes normalises it, and within a class a token has its share of the class's counts, so
+"""Text probabilities by a log-bilinear model over words in a tree of classes, trained with noise-contrastive estimation.
+
+A unit is one of the ``LEXICON`` most frequent tokens, the rare tokens of one shape (the hash of the last
+two bytes), or the end of text. Every unit has an input vector of its own: the vectors of the two units
+before, each moved by the matrix of its position, are added. The next unit is predicted in three steps
+with output vectors of their own: its class (the most frequent tokens by themselves, the rest by shape,
+the end), its group of about ``GROUP`` units within the class, and the unit within the group. Each step
+is normalised over what it chooses from, and a rare token has its share of the rare tokens' counts, so
 probabilities of tokens add up to one.
 
-Scoring reads each text once. Counts of the ``LEXICON`` most frequent tokens travel to the tasks; the
-others meet their counts in a join by token, in which no token is frequent.
+A model of the classes alone, fitted in numpy on class trigram counts, is where training starts. Every
+partition then takes its own tokens once, each occurrence one example, so steps grow with the corpus;
+the changes are averaged by unit, weighted by how often a partition trained it. So the weights depend
+slightly on how the input is cut into partitions.
+
+Scoring reads each text once. Weights and counts of the units travel to the tasks; rare tokens meet
+their counts in a join by token, in which no token is frequent.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -38,6 +44,13 @@ RATE = 0.1
 #: the code of the end of a text; words have other codes with all but certainty
 END = np.uint64(0x5DEECE66D2B79F1B)
 COUNT_BYTES = 2 << 20
+GROUP = 64
+#: examples of a step in a partition, noise of a step for each of class, group and unit, first step width
+STREAM_BATCH = 2048
+STREAM_NOISE = (32, 32, 64)
+STREAM_RATE = 0.1
+#: units whose changes travel as one row
+BLOCK = 256
 
 
 @dataclass
@@ -129,40 +142,273 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 @dataclass
-class Scorer:
-    """What the tasks need: the lexicon sorted by code, class of its own or -1, class totals and the weights."""
+class Tree:
+    """Units and where they stand. Lexicon by code, then a rare unit for each shape, then the end."""
 
     codes: np.ndarray
     counts: np.ndarray
-    own: np.ndarray
-    class_base: np.ndarray
-    weights: Weights | None = None
-    table: np.ndarray | None = field(default=None, repr=False)
-
-    def known(self, codes: np.ndarray) -> np.ndarray:
-        """Position in the lexicon or -1."""
+    #: by unit: class, group, and mass (count, or what the rare tokens of a shape have together)
+    classes: np.ndarray
+    groups: np.ndarray
+    mass: np.ndarray
+    #: units in the order of their groups, where each group starts in it, and where each class starts in the groups
+    order: np.ndarray
+    group_starts: np.ndarray
+    class_starts: np.ndarray
+
+    @property
+    def end(self) -> int:
+        return len(self.codes) + SHAPES
+
+    def units(self, codes: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+        rare = np.where(shapes < 0, self.end, len(self.codes) + shapes)
         if not len(self.codes):
-            return np.full(len(codes), -1)
+            return rare
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[at] == codes, at, -1)
+        return np.where((self.codes[at] == codes) & (shapes >= 0), at, rare)
 
-    def classes(self, at: np.ndarray, shapes: np.ndarray) -> np.ndarray:
-        own = np.where(at >= 0, self.own[at], -1) if len(self.own) else np.full(len(at), -1)
-        return np.where(shapes < 0, END_CLASS, np.where(own >= 0, own, OWN_CLASSES + shapes))
-
-    def cells(self, classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Trigram cells; before a text stand two ends."""
+    def context(self, units: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+        """The units two back and one back; before a text stand two ends."""
         back = []
-        for distance in (1, 2):
-            earlier = np.full(len(classes), END_CLASS)
-            earlier[distance:] = np.where(rows[distance:] == rows[:-distance], classes[:-distance], END_CLASS)
+        for distance in (2, 1):
+            earlier = np.full(len(units), self.end)
+            earlier[distance:] = np.where(rows[distance:] == rows[:-distance], units[:-distance], self.end)
             back.append(earlier)
-        return (back[1] * CLASSES + back[0]) * CLASSES + classes
+        return back
+
+    def cells(self, units: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        two, one = (self.classes[u] for u in self.context(units, rows))
+        return (two * CLASSES + one) * CLASSES + self.classes[units]
+
+
+def tree(codes: np.ndarray, shapes: np.ndarray, counts: np.ndarray, shape_totals: dict[int, tuple[int, int]]) -> Tree:
+    """From the lexicon by falling count and (tokens, distinct tokens) of every shape."""
+    words = shapes >= 0
+    ends = counts[~words].sum() + shape_totals.get(-1, (0, 0))[0] * (not (~words).any())
+    codes, shapes, counts = codes[words], shapes[words].astype(np.int64), counts[words]
+    rank = np.arange(len(codes))
+    classes = np.where(rank < OWN_CLASSES, rank, OWN_CLASSES + shapes)
+    by_code = np.argsort(codes.view(np.uint64))
+    codes, shapes, counts, classes = codes.view(np.uint64)[by_code], shapes[by_code], counts[by_code], classes[by_code]
+    n, v = (np.array([shape_totals.get(s, (0, 0))[k] for s in range(SHAPES)], np.float64) for k in (0, 1))
+    rare = n - np.bincount(shapes, counts, SHAPES) + 0.1 * (v - np.bincount(shapes, minlength=SHAPES) + 1)
+    classes = np.concatenate([classes, OWN_CLASSES + np.arange(SHAPES), [END_CLASS]])
+    mass = np.concatenate([counts + 0.1, rare, [ends + 0.1]])
+    # within a class by falling mass, the rare unit last in a group of its own
+    is_rare = np.r_[np.zeros(len(codes), bool), np.ones(SHAPES, bool), False]
+    order = np.lexsort((-mass, is_rare, classes))
+    sizes = np.bincount(classes, minlength=CLASSES)
+    place = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    new = (place % GROUP == 0) | is_rare[order]
+    group_starts = np.flatnonzero(new)
+    groups = np.empty(len(order), np.int64)
+    groups[order] = np.cumsum(new) - 1
+    class_starts = np.searchsorted(classes[order][group_starts], np.arange(CLASSES + 1))
+    return Tree(codes, counts, classes, groups, mass, order, np.r_[group_starts, len(order)], class_starts)
+
+
+@dataclass
+class Network:
+    """Weights of a tree; outputs and biases of classes, groups and units (units in the order of their groups)."""
+
+    vectors: np.ndarray
+    positions: np.ndarray
+    outputs: list[np.ndarray]
+    biases: list[np.ndarray]
+
+    def hidden(self, context: list[np.ndarray]) -> np.ndarray:
+        return sum(self.vectors[c] @ p for c, p in zip(context, self.positions, strict=True))
+
+
+def network(shape: Tree, start: Weights) -> Network:
+    """The model of the classes as one of units: inputs as the class, shares within a class as the masses."""
+    group = np.add.reduceat(shape.mass[shape.order], shape.group_starts[:-1])
+    zeros = lambda n: np.zeros((n, WIDTH), np.float32)
+    bias = lambda mass: np.log(mass / mass.sum()).astype(np.float32)
+    return Network(
+        start.vectors.astype(np.float32)[shape.classes], start.positions.astype(np.float32),
+        [start.outputs.astype(np.float32), zeros(len(group)), zeros(len(shape.order))],
+        [start.bias.astype(np.float32), bias(group), bias(shape.mass[shape.order])],
+    )
+
+
+def _grouped(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ``at``, the sums of their ``rows``, and how many there were."""
+    sort = np.argsort(at, kind="stable")
+    ordered = at[sort]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    return ordered[first], np.add.reduceat(rows[sort], first), np.diff(np.r_[first, len(at)])
+
+
+class Learner:
+    """Steps over the examples of one partition, from common weights; ``changes`` are what it moved."""
+
+    def __init__(self, shape: Tree, start: Network):
+        self.shape, self.start = shape, start
+        self.now = Network(start.vectors.copy(), start.positions.copy(), [x.copy() for x in start.outputs], start.biases)
+        self.random = np.random.default_rng(11)
+        self.tables = [self.now.vectors, *self.now.outputs]
+        self.squares = [np.ones(len(x), np.float32) for x in self.tables]
+        self.times = [np.zeros(len(x), np.int64) for x in self.tables]
+        self.square = np.ones_like(start.positions)
+        self.examples = 0
+        self.rank = np.empty(len(shape.order), np.int64)
+        self.rank[shape.order] = np.arange(len(shape.order))
+        shares = [np.exp(b.astype(np.float64)) for b in start.biases]
+        self.running = [np.cumsum(x / x.sum()) for x in shares]
+
+    def _move(self, table: int, at: np.ndarray, rows: np.ndarray) -> None:
+        found, slope, times = _grouped(at, rows)
+        square = self.squares[table]
+        square[found] += (slope * slope).mean(axis=1)
+        self.tables[table][found] -= STREAM_RATE * slope / np.sqrt(square[found])[:, None]
+        self.times[table][found] += times
+
+    def _step(self, context: list[np.ndarray], target: np.ndarray) -> None:
+        now, shape = self.now, self.shape
+        inputs = [now.vectors[c] for c in context]
+        hidden = sum(x @ p for x, p in zip(inputs, now.positions, strict=True))
+        d_hidden = np.zeros_like(hidden)
+        classes = shape.classes[target]
+        inner = np.flatnonzero((classes >= OWN_CLASSES) & (classes < END_CLASS))  # the others are alone in their class
+        for level, truth in enumerate((classes, shape.groups[target], self.rank[target])):
+            rows = slice(None) if level == 0 else inner
+            truth, seen = truth[rows], hidden[rows]
+            if not len(truth):
+                continue
+            outputs, bias, k = now.outputs[level], now.biases[level], STREAM_NOISE[level]
+            noise = np.minimum(np.searchsorted(self.running[level], self.random.random(k)), len(bias) - 1)
+            # the bias is the logarithm of the noise, so only log(k) of the offset is left
+            offset = np.float32(np.log(k))
+            true_rows, noise_rows = outputs[truth], outputs[noise]
+            up = -1.0 / (1.0 + np.exp(np.clip(np.einsum("ij,ij->i", seen, true_rows) - offset, -30, 30)))
+            down = 1.0 / (1.0 + np.exp(np.clip(offset - seen @ noise_rows.T, -30, 30)))
+            d_hidden[rows] += up[:, None] * true_rows + down @ noise_rows
+            self._move(level + 1, np.r_[truth, noise], np.concatenate([up[:, None] * seen, down.T @ seen]))
+        slopes = np.stack([x.T @ d_hidden for x in inputs])
+        self._move(0, np.concatenate(context), np.concatenate([d_hidden @ p.T for p in now.positions]))
+        self.square += slopes * slopes
+        now.positions -= STREAM_RATE * slopes / np.sqrt(self.square)
+
+    def learn(self, units: np.ndarray, rows: np.ndarray) -> None:
+        context = self.shape.context(units, rows)
+        mixed = self.random.permutation(len(units))
+        for low in range(0, len(units), STREAM_BATCH):
+            some = mixed[low : low + STREAM_BATCH]
+            self._step([c[some] for c in context], units[some])
+        self.examples += len(units)
+
+    def changes(self) -> Iterator[tuple[int, int, bytes, bytes]]:
+        """Table, block, times and times x change of the rows that were trained; table -1 has the positions."""
+        if not self.examples:
+            return
+        moved = (self.now.positions - self.start.positions) * np.float32(self.examples)
+        yield -1, 0, np.array([self.examples], np.float32).tobytes(), moved.astype(np.float32).tobytes()
+        for table, (after, before) in enumerate(zip(self.tables, [self.start.vectors, *self.start.outputs], strict=True)):
+            for low in range(0, len(after), BLOCK):
+                times = self.times[table][low : low + BLOCK].astype(np.float32)
+                if times.any():
+                    moved = (after[low : low + BLOCK] - before[low : low + BLOCK]) * times[:, None]
+                    yield table, low // BLOCK, times.tobytes(), moved.astype(np.float32).tobytes()
+
+
+def _added(rows: Iterator[tuple[int, int, bytes, bytes]]) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """Sums of times and changes by table and block."""
+    sums: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+    for table, block, times, moved in rows:
+        n, x = np.frombuffer(times, np.float32), np.frombuffer(moved, np.float32)
+        have = sums.setdefault((table, block), (np.zeros(n.shape), np.zeros(x.shape)))
+        have[0].__iadd__(n)
+        have[1].__iadd__(x)
+    return sums
+
+
+_CHANGES = pa.schema([("table", pa.int32()), ("block", pa.int32()), ("times", pa.binary()), ("moved", pa.binary())])
+
+
+def _batches(rows: Iterator[tuple[int, int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+    for row in rows:
+        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _CHANGES, strict=True)], schema=_CHANGES)
+
+
+def averaged(training: DataFrame, shared, start: Network) -> Network:
+    """``start`` moved by the changes of all partitions, by row weighted with the examples behind them."""
+    schema = "table int, block int, times binary, moved binary"
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner = None
+        for piece in kernel.slices(batches, "_text", COUNT_BYTES):
+            learner = learner or Learner(*shared.value)
+            codes, shapes, rows = tokens(piece.column("_text"))
+            learner.learn(learner.shape.units(codes, shapes), rows)
+        if learner is not None:
+            yield from _batches(learner.changes())
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _added(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        yield from _batches((*key, n.astype(np.float32).tobytes(), x.astype(np.float32).tobytes()) for key, (n, x) in sums.items())
+
+    changes = training.select("_text").mapInArrow(learn, schema)
+    out = Network(start.vectors.copy(), start.positions.copy(), [x.copy() for x in start.outputs], start.biases)
+    tables = [out.vectors, *out.outputs]
+    for r in changes.repartition("table", "block").mapInArrow(add, schema).collect():
+        n, x = np.frombuffer(r["times"], np.float32), np.frombuffer(r["moved"], np.float32)
+        if r["table"] < 0:
+            out.positions += x.reshape(out.positions.shape) / n[0]
+        else:
+            low = r["block"] * BLOCK
+            tables[r["table"]][low : low + len(n)] += x.reshape(-1, WIDTH) / np.maximum(n, 1)[:, None]
+    return out
+
+
+def _choices(hidden: np.ndarray, parents: np.ndarray, chosen: np.ndarray, starts: np.ndarray, outputs: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Natural logarithms of choosing ``chosen`` among the children of each parent, which lie between its starts."""
+    out = np.zeros(len(parents), np.float32)
+    if not len(parents):
+        return out
+    sort = np.argsort(parents, kind="stable")
+    edges = np.flatnonzero(np.r_[True, parents[sort][1:] != parents[sort][:-1]])
+    for low, high in zip(edges, [*edges[1:], len(sort)], strict=True):
+        first, last = starts[parents[sort[low]] : parents[sort[low]] + 2]
+        if last - first > 1:
+            for at in range(low, high, 1 << 15):
+                some = sort[at : min(at + (1 << 15), high)]
+                scores = hidden[some] @ outputs[first:last].T + bias[first:last]
+                scores -= scores.max(axis=1, keepdims=True)
+                true = scores[np.arange(len(some)), chosen[some] - first]
+                out[some] = true - np.log(np.exp(scores).sum(axis=1))
+    return out
+
+
+@dataclass
+class Scorer:
+    """What the tasks need to score."""
+
+    shape: Tree
+    weights: Network
+    rank: np.ndarray = field(repr=False)
+
+    def log10(self, units: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Of every unit after those before it."""
+        return self.log10_after(self.shape.context(units, rows), units)
+
+    def log10_after(self, context: list[np.ndarray], units: np.ndarray) -> np.ndarray:
+        shape, w = self.shape, self.weights
+        hidden = w.hidden(context)
+        classes = shape.classes[units]
+        root = np.zeros(len(units), np.int64)
+        out = _choices(hidden, root, classes, np.array([0, CLASSES]), w.outputs[0], w.biases[0])
+        inner = np.flatnonzero((classes >= OWN_CLASSES) & (classes < END_CLASS))
+        hidden, classes, groups, rank = hidden[inner], classes[inner], shape.groups[units[inner]], self.rank[units[inner]]
+        out[inner] += _choices(hidden, classes, groups, shape.class_starts, w.outputs[1], w.biases[1])
+        out[inner] += _choices(hidden, groups, rank, shape.group_starts, w.outputs[2], w.biases[2])
+        return out.astype(np.float64) / np.log(10)
+
 
-    def log10_table(self) -> np.ndarray:
-        if self.table is None:
-            self.table = (self.weights.log_probabilities() / np.log(10)).reshape(-1)
-        return self.table
+def scorer(shape: Tree, weights: Network) -> Scorer:
+    rank = np.empty(len(shape.order), np.int64)
+    rank[shape.order] = np.arange(len(shape.order))
+    return Scorer(shape, weights, rank)
 
 
 def _map(df: DataFrame, function, schema: str, limit: int) -> DataFrame:
@@ -183,9 +429,9 @@ def _token_counts(training: DataFrame) -> DataFrame:
 
 def _trigram_counts(training: DataFrame, shared) -> DataFrame:
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scorer = shared.value
+        shape = shared.value
         codes, shapes, rows = tokens(batch.column("_text"))
-        cells, n = np.unique(scorer.cells(scorer.classes(scorer.known(codes), shapes), rows), return_counts=True)
+        cells, n = np.unique(shape.cells(shape.units(codes, shapes), rows), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], names=["cell", "n"])
 
     return _map(training.select("_text"), count, "cell long, n long", COUNT_BYTES).groupBy("cell").agg(F.sum("n").alias("n"))
@@ -216,41 +462,31 @@ def scored(docs: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str
     shape_totals = {r["shape"]: (int(r["n"]), int(r["v"])) for r in
                     counts.groupBy("shape").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     codes, shapes, c = _columns(counts.orderBy(F.desc("c"), "token").limit(LEXICON))
-    own = np.full(len(codes), -1)
-    words = np.flatnonzero(shapes >= 0)[:OWN_CLASSES]
-    own[words] = np.arange(len(words))
-    base = np.zeros(SHAPES)
-    for shape in range(SHAPES):
-        n, v = shape_totals.get(shape, (0, 0))
-        mine = words[shapes[words] == shape]
-        base[shape] = np.log10(n - c[mine].sum() + 0.1 * (v - len(mine) + 1))
-    order = np.argsort(codes.view(np.uint64))
-    scorer = Scorer(codes.view(np.uint64)[order], c[order], own[order], base)
-    shared = spark.sparkContext.broadcast(scorer)  # LEXICON entries at most
-    cells, n = _columns(_trigram_counts(training, shared))  # CLASSES**3 cells at most
+    shape = tree(codes, shapes, c, shape_totals)
+    cells, n = _columns(_trigram_counts(training, spark.sparkContext.broadcast(shape)))  # CLASSES**3 cells at most
     by_cell = np.argsort(cells)
-    scorer = Scorer(scorer.codes, scorer.counts, scorer.own, scorer.class_base, train(cells[by_cell], n[by_cell]))
-    shared_full = spark.sparkContext.broadcast(scorer)
+    start = network(shape, train(cells[by_cell], n[by_cell]))
+    # LEXICON units at most, here and below
+    weights = averaged(training, spark.sparkContext.broadcast((shape, start)), start) if total else start
+    shared_full = spark.sparkContext.broadcast(scorer(shape, weights))
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"_uid long, _id {kind}, token long, n int, n_tokens long, n_known long, model double, logs double"
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         scorer = shared_full.value
+        shape = scorer.shape
         codes, shapes, rows = tokens(batch.column("_text"))
         count = batch.num_rows
-        at = scorer.known(codes)
-        classes = scorer.classes(at, shapes)
-        share = scorer.log10_table()[scorer.cells(classes, rows)]
-        shaped = (classes >= OWN_CLASSES) & (classes < END_CLASS)
-        share[shaped] -= scorer.class_base[classes[shaped] - OWN_CLASSES]
-        frequent = at >= 0
+        units = shape.units(codes, shapes)
+        share = scorer.log10(units, rows)
+        rare = (units >= len(shape.codes)) & (units < shape.end)
+        # without training rows the end is unknown as well
+        frequent = ~rare & ((shapes >= 0) | (shape.mass[shape.end] > 1))
+        share[rare] -= np.log10(shape.mass[units[rare]])
         logs = np.zeros(len(codes))
-        logs[frequent] = np.log10(scorer.counts[at[frequent]] + 0.1)
-        inside = frequent & shaped
-        share[inside] += logs[inside]
+        logs[~rare] = np.log10(shape.mass[units[~rare]])
         total = lambda x: np.bincount(rows, x, count)
-        rare = ~frequent
         # rare tokens of a text with their number in it
         sort = np.lexsort((codes[rare], rows[rare]))
         token, row = codes[rare][sort], rows[rare][sort]

@@ -57,3 +57,37 @@ def test_training_finds_a_pattern_and_probabilities_add_up():
     table = bilinear_lm.train(found, counts).log_probabilities()
     assert np.allclose(np.exp(table).sum(axis=2), 1.0)
     assert np.mean([table[x, (x + 1) % n].argmax() == (x + 2) % n for x in range(n)]) > 0.9
+
+
+def test_tokens_of_one_class_are_told_apart():
+    """Words of one shape class, where the first of two tells the second: its share in the class must not be all that counts."""
+    shapes, counts = np.full(300, 7), np.repeat([5000, 1000], [100, 200])
+    codes = np.arange(1, 301)
+    shape = bilinear_lm.tree(codes, shapes, counts, {7: (int(counts.sum()), 300), -1: (100, 1)})
+    start = bilinear_lm.network(shape, bilinear_lm.train(np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    learner = bilinear_lm.Learner(shape, start)
+    first = np.random.default_rng(6).integers(100, 200, 100_000)
+    units = np.stack([first, first + 100], axis=1).reshape(-1)
+    learner.learn(units, np.arange(len(units)) // 1000)
+    told, other = np.arange(100, 200), np.roll(np.arange(200, 300), 7)
+    context = [np.full(100, shape.end), told]
+    for weights, least, most in ((start, -0.01, 0.01), (learner.now, 0.5, 9.0)):
+        score = bilinear_lm.scorer(shape, weights)
+        assert least < np.mean(score.log10_after(context, told + 100) - score.log10_after(context, other)) < most
+
+
+def test_units_add_up_to_one_and_examples_grow():
+    random = np.random.default_rng(2)
+    codes = random.integers(1, 1 << 62, 700)
+    shapes, counts = random.integers(0, bilinear_lm.SHAPES, 700), np.sort(random.integers(1, 500, 700))[::-1]
+    totals = {s: (int(counts[shapes == s].sum()) + 40, int((shapes == s).sum()) + 9) for s in range(bilinear_lm.SHAPES)}
+    shape = bilinear_lm.tree(codes, shapes, counts, {**totals, -1: (30, 1)})
+    start = bilinear_lm.network(shape, bilinear_lm.train(np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    learner = bilinear_lm.Learner(shape, start)
+    for size in (3000, 9000):
+        learner.learn(random.integers(0, shape.end + 1, size), np.sort(random.integers(0, 50, size)))
+    assert learner.examples == 12000 and learner.times[0].sum() == 24000
+    units = np.arange(shape.end + 1)
+    for context in ((3, 5), (shape.end, shape.end), (600, 710)):
+        found = bilinear_lm.scorer(shape, learner.now).log10_after([np.full(len(units), c) for c in context], units)
+        assert abs((10**found).sum() - 1) < 1e-4
