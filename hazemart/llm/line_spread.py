@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from hazemart.session import settled
 
 MIN_SITES = 5
-MIN_CHARS = 20
+#: 1: every line that is not blank
+MIN_CHARS = 1
 SKETCH_BITS = 12
 #: sketches within this factor of the threshold are counted exactly; far wider than their error
 NEAR = 2
@@ -29,9 +30,13 @@ def _hash(line: Column) -> Column:
     return F.xxhash64(F.trim(line))
 
 
+def _counted(line: Column, min_chars: int) -> Column:
+    return F.length(F.trim(line)) >= min_chars if min_chars > 1 else line.rlike(r"\S")
+
+
 def line_sites(docs: DataFrame, min_chars: int, id_col: str, text_col: str, site_col: str) -> DataFrame:
-    """Distinct (_id, _site, _line) of the lines with ``min_chars`` characters or more."""
-    long_enough = F.filter(_parts(F.col(text_col)), lambda line: F.length(F.trim(line)) >= min_chars)
+    """Distinct (_id, _site, _line) of the lines with ``min_chars`` characters or more, by default all that are not blank."""
+    long_enough = F.filter(_parts(F.col(text_col)), lambda line: _counted(line, min_chars))
     hashes = F.array_distinct(F.transform(long_enough, _hash))
     site = F.when(F.col(site_col).isNotNull(), F.xxhash64(F.col(site_col)))
     return docs.select(F.col(id_col).alias("_id"), site.alias("_site"), F.explode(hashes).alias("_line"))
@@ -65,7 +70,7 @@ def remove_spread_lines(
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text, plus n_lines and n_removed.
 
-    A line (outer spaces aside) of at least ``min_chars`` characters that stands on ``min_sites`` or
+    A line (outer spaces aside) of at least ``min_chars`` characters, by default any that is not blank, that stands on ``min_sites`` or
     more distinct sites stays in the document with the smallest id that has it and goes from all
     others. A null site counts as no site. Null text stays null and has 0 lines, an empty text has
     one empty line. Rows with equal ids are treated alike; a row with a null id takes part in the
@@ -80,7 +85,7 @@ def remove_spread_lines(
         .groupBy("_id").agg(F.collect_set("_line").alias("_gone"))
     )
     parts = _parts(F.col(text_col))
-    kept = F.filter(parts, lambda line: (F.length(F.trim(line)) < min_chars) | ~F.array_contains(F.col("_gone"), _hash(line)))
+    kept = F.filter(parts, lambda line: ~_counted(line, min_chars) | ~F.array_contains(F.col("_gone"), _hash(line)))
     joined = docs.drop("n_lines", "n_removed").join(gone, F.col(id_col) == F.col("_id"), "left")
     hit = F.col("_gone").isNotNull()
     n_lines = F.when(F.col(text_col).isNotNull(), F.size(parts)).otherwise(0).cast("long")

@@ -60,7 +60,8 @@ SELECT doc_id, CASE WHEN missing THEN 0 ELSE len(parts) END AS n_lines, len(part
 FROM kept
 """)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = line_spread.remove_spread_lines(table(spark, folder, "documents"))
+    # the SQL above states lines of 20 characters or more; the pipeline counts every line
+    cleaned = line_spread.remove_spread_lines(table(spark, folder, "documents"), min_chars=20)
     return cleaned.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 

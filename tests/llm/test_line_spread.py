@@ -44,3 +44,9 @@ def test_many_sites_are_decided_by_the_sketch(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert sorted(r.n_removed for r in remove_spread_lines(docs).collect()) == [0] + [1] * 299
     assert remove_spread_lines(docs.limit(0)).count() == 0
+
+
+def test_short_lines_count_and_blank_ones_stay(spark):
+    rows = [(i, f"Les.\n\n \t\nown {i}\nLes. ", f"site{i % 7}") for i in range(14)]
+    found = remove_spread_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id: r.text for r in found} == {i: rows[0][1] if i == 0 else f"\n \t\nown {i}" for i in range(14)}
