@@ -51,14 +51,26 @@ _PATTERNS = {
     "ip": re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w.]*\d)"),
     "phone": re.compile(r"(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\w)|(?<!\w)\+\d{8,14}(?!\w)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
-    "card": re.compile(r"(?<!\w)[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\w)"),
+    "card": re.compile(r"(?<!\w)(?:[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}|3[47]\d{2}[ -]\d{6}[ -]\d{5})(?!\w)"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     "key": re.compile(r"(?<!\w)(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)|(?<!\w)[0-9a-f]{32,64}(?!\w)"),
 }
+#: groups of any size behind a country code or a trunk zero, with the digits they may have
+_GROUPED_PHONES = (
+    (re.compile(r"(?<!\w)\+\d{1,3}(?:[ ./-]?\(?\d{1,8}\)?){1,7}(?!\w)"), 8, 15),
+    (re.compile(r"(?<![\w+.,/-])(?:\(0\d{1,5}\) ?|0\d{1,5}[ ./-])\d{2,8}(?:[ ./-]\d{2,8}){0,4}(?!\w)"), 9, 13),
+)
+_DATE = re.compile(r"\d{2}[./-]\d{2}[./-]\d{4}")
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
 _SECRET = re.compile(r"(?i)(?<!\w)(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?([^\s\"',;]{5,}[^\s\"',;:.!?)\]])")
 _TITLE = re.compile(
     r"(?<!\w)(" + "|".join(t for titles in TITLES.values() for t in titles) + r")\.? ((?:[^\W\d_][\w'’-]+ ?){1,3})"
 )
+_GIVEN = re.compile(
+    r"(?<!\w)(?=[" + "".join(sorted({n[0] for names in GIVEN.values() for n in names})) + r"])(?:"
+    + "|".join(sorted((n for names in GIVEN.values() for n in names), key=len, reverse=True))
+    + r")((?: [^\W\d_][\w'’-]+){1,2})"
+)
 _GENDER = {t: gender for gender, titles in TITLES.items() for t in titles}
 
 
@@ -138,6 +150,8 @@ def _email(text: str, secret: bytes) -> str:
 
 
 def _ip(text: str, secret: bytes) -> str:
+    if ":" in text:
+        return str(ipaddress.IPv6Address(shifted(int(ipaddress.IPv6Address(text)), 1 << 128, _key(secret, "ip6"))))
     value = int(ipaddress.IPv4Address(".".join(str(int(p)) for p in text.split("."))))
     return str(ipaddress.IPv4Address(shifted(value, 1 << 32, _key(secret, "ip"))))
 
@@ -218,28 +232,71 @@ _MAKERS: dict[str, Callable[[str, bytes], str]] = {
 }
 
 
+def _is_ipv6(text: str) -> bool:
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return any(c in DIGITS for c in text)
+
+
+def _capitalised(words: str) -> list[str]:
+    """The words up to the first that does not start with a capital."""
+    out = []
+    for word in words.split():
+        if not word[0].isupper():
+            break
+        out.append(word)
+    return out
+
+
+def _apart(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """In order and without overlap; the earlier, then longer one wins."""
+    out: list[tuple[int, int, str]] = []
+    for span in sorted(found, key=lambda x: (x[0], -x[1])):
+        if not out or span[0] >= out[-1][1]:
+            out.append(span)
+    return out
+
+
 def detect(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, type) of the entities of one text, in order and without overlap; the earlier, then longer one wins."""
+    """(start, end, type) of the entities of one text, in order and without overlap; the earlier, then longer one wins.
+
+    A name follows a title, or is a known given name with the capitalised words behind it; its words are
+    names wherever else they stand capitalised in the text.
+    """
     found = []
     if "@" in text:
         found += [(*m.span(), "email") for m in _PATTERNS["email"].finditer(text)]
     if any(d in text for d in DIGITS):
         for kind in ("ip", "phone", "ssn", "card", "iban", "key"):
-            found += [(*m.span(), kind) for m in _PATTERNS[kind].finditer(text)]
+            found += [(*m.span(), kind) for m in _PATTERNS[kind].finditer(text)
+                      if kind != "ip" or all(int(p) < 256 for p in m[0].split("."))]
+        for pattern, least, most in _GROUPED_PHONES:
+            found += [(*m.span(), "phone") for m in pattern.finditer(text)
+                      if least <= sum(c.isdigit() for c in m[0]) <= most and not _DATE.match(m[0])]
+        if ":" in text:
+            found += [(*m.span(), "ip") for m in _IPV6.finditer(text) if _is_ipv6(m[0])]
     if "=" in text or ":" in text:
         found += [(*m.span(1), "secret") for m in _SECRET.finditer(text)]
     for m in _TITLE.finditer(text):
-        words = []
-        for word in m[2].split():
-            if not word[0].isupper():
-                break
-            words.append(word)
-        if words:
+        if words := _capitalised(m[2]):
             found.append((m.start(2), m.start(2) + len(" ".join(words)), "name"))
-    out: list[tuple[int, int, str]] = []
-    for start, end, kind in sorted(found, key=lambda x: (x[0], -x[1])):
-        if (not out or start >= out[-1][1]) and not (kind == "ip" and any(int(p) > 255 for p in text[start:end].split("."))):
-            out.append((start, end, kind))
+    for m in _GIVEN.finditer(text):
+        if words := _capitalised(m[1]):
+            found.append((m.start(), m.start(1) + 1 + len(" ".join(words)), "name"))
+    out = _apart(found)
+    if parts := {w for a, b, kind in out if kind == "name" for w in text[a:b].split() if len(w) > 1}:
+        # runs of such words are one mention; the spans there are stay as they are
+        word = "(?:" + "|".join(map(re.escape, sorted(parts, key=len, reverse=True))) + ")"
+        taken = 0
+        more = []
+        for m in re.finditer(rf"(?<!\w){word}(?: {word})*(?!\w)", text):
+            while taken < len(out) and out[taken][1] <= m.start():
+                taken += 1
+            if taken == len(out) or out[taken][0] >= m.end():
+                more.append((*m.span(), "name"))
+        out = _apart(out + more)
     return out
 
 
@@ -249,6 +306,8 @@ def _canonical(text: str, kind: str) -> str:
         return re.sub(r"[ -]", "", text)
     if kind == "phone":
         return re.sub(r"[^\d+]", "", text)
+    if kind == "ip" and ":" in text:
+        return str(ipaddress.IPv6Address(text))
     return text.casefold() if kind in ("email", "name") else text
 
 

@@ -62,3 +62,20 @@ def test_corpus(spark):
     other = {r.doc_id: r.text for r in surrogates.with_surrogates(docs, "another").collect()}
     assert other[5] != got[5].text
     assert surrogates.with_surrogates(docs.limit(0), "secret").count() == 0
+
+
+@pytest.mark.parametrize("text", ["+49 30 12345678", "+33 1 23 45 67 89", "06 12 34 56 78", "030 1234567", "(030) 1234567", "2001:db8::8a2e:370:7334", "3782 822463 10005"])
+def test_european_phones_ipv6_and_short_cards(text):
+    kind = "ip" if "::" in text else "card" if text.startswith("3782") else "phone"
+    assert surrogates.detect(f"a {text}, b") == [(2, 2 + len(text), kind)]
+    new, _, shared = surrogates.replace(f"a {text}, b", KEY)
+    assert text not in new and shared == 0
+
+
+def test_names_without_title_and_later_mentions():
+    text = "Anna Schmidt met Mrs Alice Brown. Later Alice Brown, then Brown alone and Schmidt; brown bread on 01.02.2023 12:30:45."
+    new, entities, shared = surrogates.replace(text, KEY)
+    assert [text[a:b] for a, b, _, _ in entities] == ["Anna Schmidt", "Alice Brown", "Alice Brown", "Brown", "Schmidt"]
+    of = [e[3] for e in entities]
+    assert of[1] == of[2] and of[1].endswith(" " + of[3]) and of[0].endswith(" " + of[4]) and shared == 0
+    assert "Brown" not in new and "Schmidt" not in new and "brown bread on 01.02.2023 12:30:45." in new
