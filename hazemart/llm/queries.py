@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemart.llm import bag_minhash, bilinear_lm, decontaminate, language_crf, line_spread, piece_sampling, quality_rules, surrogates, token_counts, vector_links
+from hazemart.llm import bag_minhash, bilinear_lm, decontaminate, language_crf, line_spread, piece_sampling, quality_rules, ranked_search, surrogates, token_counts, vector_links
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -120,3 +120,37 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = quality_rules.fit(docs, table(spark, folder, "labels"), remainder(4) != 2)
     return quality_rules.scored(docs, model).withColumn("held_out", remainder(4) == 2)
+
+
+@query("op11_ranked_search", """
+WITH words AS (
+  SELECT rowid AS doc, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term
+  FROM (SELECT row_number() OVER () AS rowid, * FROM documents)
+),
+postings AS (SELECT doc, doc_id, term, count(*) AS tf FROM words GROUP BY doc, doc_id, term),
+lengths AS (SELECT doc, sum(tf)::BIGINT AS n FROM postings GROUP BY doc),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths),
+normal AS (SELECT doc, 50 + (50 * n * docs) // total AS m FROM lengths, whole),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term
+  FROM benchmark
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * holders + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS holders FROM postings WHERE term IN (SELECT term FROM wanted) GROUP BY term), whole
+),
+scores AS (
+  SELECT item_id, doc, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN postings USING (term) JOIN normal USING (doc)
+  GROUP BY item_id, doc, doc_id
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 50
+""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), top=50)

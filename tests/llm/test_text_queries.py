@@ -19,6 +19,7 @@ COLUMNS = {
     "op8_token_counts": {"doc_id", "n_bytes", "n_tokens", "over_limit"},
     "op9_surrogates": {"doc_id", "n_entities", "text_md5", "spans", "n_collisions", "text"},
     "op10_quality_rules": {"doc_id", "held_out", "score", "predicted"},
+    "op11_ranked_search": {"item_id", "rank", "doc_id", "score"},
 }
 
 
@@ -36,7 +37,7 @@ def test_all_are_registered():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark", "labels", "embeddings"):
+    for table in ("documents", "benchmark", "labels", "embeddings", "pages", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     answer = connection.execute(ORACLES[name])
     columns = [d[0] for d in answer.description]
