@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemart.llm import bag_minhash, bilinear_lm, decontaminate, language_crf, line_spread, piece_sampling, quality_rules, ranked_search, surrogates, token_counts, vector_links
+from hazemart.llm import bag_minhash, bilinear_lm, decontaminate, language_crf, line_spread, piece_sampling, prefix_trie, quality_rules, ranked_search, surrogates, token_counts, vector_links
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -154,3 +154,45 @@ SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 50
 """)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), top=50)
+
+
+@query("op12_prefix_trie", """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), id) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, count(*) AS n, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(
+      list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))) % 9 AS h
+  FROM turns GROUP BY conv_id
+),
+sized AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS taken FROM convs c LEFT JOIN convs b ON c.base = b.conv_id),
+rebuilt AS (
+  SELECT s.conv_id, t.k AS d, t.id, t.text FROM sized s JOIN turns t ON t.conv_id = s.base AND t.k <= s.h
+  UNION ALL
+  SELECT s.conv_id, s.taken + t.k - s.h AS d, t.id, t.text FROM sized s JOIN turns t ON t.conv_id = s.conv_id AND t.k > s.h
+),
+paths AS (
+  SELECT conv_id, d, strlen(text) AS bytes, string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY d) AS path FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM convs
+),
+lengths AS (SELECT conv_id, max(d) AS len FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT path, d, max(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len = d), '')) AS ends_sha256
+  FROM paths JOIN lengths USING (conv_id) GROUP BY path, d
+),
+kids AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+known AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (path)),
+above AS (SELECT left(path, 32 * unnest(range(0, d + 1))) AS path, n_children = 0 AS leaf, (n_convs - 1) * bytes AS saved FROM known),
+sums AS (SELECT path, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY path)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM known n JOIN sums s USING (path) LEFT JOIN known p ON n.d > 0 AND p.path = left(n.path, length(n.path) - 32)
+""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
