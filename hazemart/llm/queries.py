@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazemart.llm import bag_minhash, bilinear_lm, decontaminate, language_crf, line_spread, piece_sampling, prefix_trie, quality_rules, ranked_search, surrogates, token_counts, vector_links
+from hazemart.llm import bag_minhash, bilinear_lm, decontaminate, language_crf, line_spread, page_wrappers, piece_sampling, prefix_trie, quality_rules, ranked_search, surrogates, token_counts, vector_links
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -196,3 +196,22 @@ FROM known n JOIN sums s USING (path) LEFT JOIN known p ON n.d > 0 AND p.path =
 """)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
+# the SQL knows how these pages mark their articles; the query has to find that out
+@query("op13_page_wrappers", """
+WITH articles AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS inner_html FROM pages
+),
+blocks AS (
+  SELECT page_id, url, list_transform(
+    regexp_split_to_array(inner_html, '</?(?:p|h1)>'),
+    lambda x: trim(regexp_replace(regexp_replace(replace(regexp_replace(
+      regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))) AS parts
+  FROM articles
+),
+texts AS (SELECT page_id, url, coalesce(array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)), '') AS text FROM blocks)
+SELECT page_id, url, text, length(text) AS n_chars FROM texts
+""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return page_wrappers.main_texts(table(spark, folder, "pages"))

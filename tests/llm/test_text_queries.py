@@ -21,6 +21,7 @@ COLUMNS = {
     "op10_quality_rules": {"doc_id", "held_out", "score", "predicted"},
     "op11_ranked_search": {"item_id", "rank", "doc_id", "score"},
     "op12_prefix_trie": {"conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"},
+    "op13_page_wrappers": {"page_id", "url", "text", "n_chars"},
 }
 
 
