@@ -149,6 +149,8 @@ class Page:
     def _end(self, tag: str) -> None:
         if tag == "a":
             self.links = 0
+        if tag in BLOCKS:
+            self._flush()
         if self.open[tag]:
             self._pop_to(max(k for k, s in enumerate(self.stack) if s[0] == tag))
 
