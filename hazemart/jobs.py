@@ -1,11 +1,13 @@
 """Entry points for ``spark-submit``: layers, models, serving tables and the stream.
 
     spark-submit hazemart/jobs.py payloads --kind readings --files F --output R
+    spark-submit hazemart/jobs.py payloads --kind sites --projects P --files F --output S
     spark-submit hazemart/jobs.py layers --readings R --context C --notices N --root DIR
     spark-submit hazemart/jobs.py notices --pages P --output N
     spark-submit hazemart/jobs.py train --root DIR
     spark-submit hazemart/jobs.py publish --root DIR --sites S
     spark-submit hazemart/jobs.py stream --servers HOST:PORT --topic IN --out-topic OUT --checkpoint DIR
+    spark-submit hazemart/jobs.py compact --lake L
 """
 
 from __future__ import annotations
@@ -54,10 +56,17 @@ def read_notices(spark: SparkSession, path: str) -> DataFrame:
 
 def payloads(spark: SparkSession, args: argparse.Namespace) -> None:
     """Saved JSON payloads, one per file, to the raw table the layers job reads."""
+    if args.kind == "sites" and not args.projects:
+        raise ValueError("site payloads need --projects")
     files = spark.read.text(args.files, wholetext=True)
     if args.kind == "readings":
         rows = payload.resolve_aliases(payload.records(files, "value"), "_raw", payload.READING_ALIASES, keep=["_raw"])
         rows = rows.select(*READING_SOURCE)
+    elif args.kind == "sites":
+        projects = spark.read.text(args.projects, wholetext=True).withColumnRenamed("value", "payload")
+        # the payload of a project is named after its id
+        project = F.regexp_extract("_metadata.file_name", "^([0-9]+)", 1)
+        rows = payload.site_dimension(projects, files.select(project.alias("project_id"), F.col("value").alias("payload"))).select(*SITE_SOURCE)
     else:
         rows = payload.parallel_arrays(files, "value", list(config.CONTEXT_SOURCE.values())).select(*CONTEXT_SOURCE)
     sinks.export_csv(rows, args.output)
@@ -108,22 +117,32 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         raise ValueError("counting after deduplication needs --output-mode append")
     raw = streams.kafka_events(spark, args.servers, args.topic, args.starting_offsets)
     windows = ev.stream_windows(raw, settings, args.clamp, args.dedup)
-    outputs = [sinks.console_sink(), sinks.kafka_sink(args.servers, args.out_topic)]
+    outputs = {"console": sinks.console_sink(), "topic": sinks.kafka_sink(args.servers, args.out_topic)}
     if args.jdbc_url:
-        outputs.append(sinks.jdbc_snapshot_sink(args.jdbc_url, args.jdbc_table, user=args.jdbc_user, password=args.jdbc_password))
+        outputs["jdbc"] = sinks.jdbc_snapshot_sink(args.jdbc_url, args.jdbc_table, user=args.jdbc_user, password=args.jdbc_password)
     if args.lake:
-        outputs.append(sinks.lake_window_sink(args.lake))
-    query = run.start(windows, sinks.fan_out(outputs), args.checkpoint, settings, args.available_now)
+        outputs["lake"] = sinks.lake_window_sink(args.lake)
+    taken = f"{args.checkpoint.rstrip('/')}-ledger"
+    if args.reset:
+        run.reset(spark, args.checkpoint, taken, *([args.lake] if args.lake else []))
+    fan = sinks.fan_out(outputs, sinks.Ledger(spark, taken))
+    query = run.start(windows, fan, args.checkpoint, settings, args.available_now)
     query.awaitTermination()
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    days = sinks.compact_days(spark, args.lake, args.small_files)
+    print(f"{len(days)} days compacted", flush=True)
+
+
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("payloads")
-    job.add_argument("--kind", required=True, choices=["readings", "context"])
+    job.add_argument("--kind", required=True, choices=["readings", "context", "sites"])
     job.add_argument("--files", required=True)
+    job.add_argument("--projects", help="with --kind sites: the project list; the files are then named <project id>.json")
     job.add_argument("--output", required=True)
     job.set_defaults(run=payloads)
 
@@ -161,11 +180,17 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--clamp", action="store_true")
     job.add_argument("--dedup", action="store_true", help="count repeated deliveries once")
     job.add_argument("--lake", help="folder that keeps one row per window and site")
+    job.add_argument("--reset", action="store_true", help="start over: remove progress, ledger and lake first")
     job.add_argument("--jdbc-url")
     job.add_argument("--jdbc-table", default="mart_stream_aggregates")
     job.add_argument("--jdbc-user")
     job.add_argument("--jdbc-password")
     job.set_defaults(run=stream)
+
+    job = jobs.add_parser("compact", help="between runs of the stream")
+    job.add_argument("--lake", required=True)
+    job.add_argument("--small-files", type=int, default=sinks.SMALL_FILES)
+    job.set_defaults(run=compact)
     return parser
 
 

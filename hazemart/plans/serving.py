@@ -10,7 +10,7 @@ from hazemart.operators.cleaning import CONTEXT_COLUMNS, READING_COLUMNS, clean_
 from hazemart.operators.notices import NOTICE_HOUR_COLUMNS, notice_hours
 from hazemart.plans import marts
 from hazemart.plans.views import serving_views, stream_views, view_sql
-from hazemart.sources import sinks
+from hazemart.sources import publication, sinks
 from hazemart.streaming.events import WINDOW_COLUMNS
 
 # The columns of the serving tables and their types.
@@ -127,19 +127,26 @@ def build_layers(
     }
 
 
-def publish(tables: dict[str, DataFrame], location: str | None = None) -> None:
-    """Coerce and replace the serving tables, then the views over them, in the catalog of the session.
+def publish(tables: dict[str, DataFrame], location: str | None = None, keep: int = 2) -> int:
+    """Coerce and replace the serving tables and the views over them as one set; the version that is current now.
 
-    A view that only renames, joins names or marks rows is a catalog view; one that groups is a table,
-    replaced together with what it reads. With the windows of the stream their views are published too.
+    A view that only renames, joins names or marks rows is a catalog view; one that groups is stored
+    with the tables it reads. With the windows of the stream their views are published too. The catalog of the session
+    gets a view for every name, all over the new version; ``keep`` versions stay for readers of older plans.
+    ``location`` is by default a folder of the warehouse.
     """
-    shaped = {name: serving_table(name, df) for name, df in tables.items()}
-    sinks.publish_tables(shaped, location)
     spark = next(iter(tables.values())).sparkSession
-    stored = {name: spark.table(name) for name in shaped}
-    views = serving_views(stored)
-    if "mart_stream_aggregates" in stored:
-        views |= stream_views(stored["mart_stream_aggregates"])
-    texts = view_sql({name: table.columns for name, table in stored.items()})
-    sinks.publish_views(spark, {name: texts[name] for name in views if name in texts})
-    sinks.publish_tables({name: df for name, df in views.items() if name not in texts}, location)
+    place = location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/serving-set"
+    shaped = {name: serving_table(name, df) for name, df in tables.items()}
+    texts = view_sql({name: table.columns for name, table in shaped.items()})
+
+    def grouped(stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        views = serving_views(stored)
+        if "mart_stream_aggregates" in stored:
+            views |= stream_views(stored["mart_stream_aggregates"])
+        return {name: df for name, df in views.items() if name not in texts}
+
+    version = publication.publish_set(spark, place, shaped, grouped)
+    publication.point_views(spark, place, texts)
+    publication.prune(spark, place, keep)
+    return version

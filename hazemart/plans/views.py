@@ -99,11 +99,14 @@ def serving_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def view_sql(columns: dict[str, list[str]]) -> dict[str, str]:
-    """SELECT statements of the views that do not group, from the columns of the serving tables by name."""
+    """SELECT statements of the views that do not group, from the columns of the serving tables by name.
+
+    Tables stand in braces, to be filled with where they are.
+    """
 
     def with_site(table: str, more: str = "") -> str:
         order = ", ".join(f"t.{c}, s.site_name" if c == "site_id" else f"t.{c}" for c in columns[table])
-        return f"SELECT {order}{more} FROM {table} t LEFT JOIN air_sites s ON t.site_id = s.site_id"
+        return f"SELECT {order}{more} FROM {{{table}}} t LEFT JOIN {{air_sites}} s ON t.site_id = s.site_id"
 
     correct = ", CASE WHEN t.actual_peak = t.predicted_peak THEN 1 ELSE 0 END AS is_correct"
     texts = {
@@ -118,7 +121,7 @@ def view_sql(columns: dict[str, list[str]]) -> dict[str, str]:
     }
     return {
         **{view: with_site(table, more) for view, (table, more) in texts.items() if table in columns},
-        **{view: f"SELECT * FROM {table}" for view, table in whole.items() if table in columns},
+        **{view: f"SELECT * FROM {{{table}}}" for view, table in whole.items() if table in columns},
     }
 
 

@@ -70,6 +70,19 @@ def test_saved_payloads_become_raw_tables(spark, root):
     assert (context.time, context.temperature_2m, context.rain) == ("2026-04-01T00:00", "1.5", None)
 
 
+def test_site_payloads_become_the_site_table(spark, root):
+    projects = '{"data": [{"id": 3, "name": "City", "short_name": "C"}, {"id": 4, "name": "Town", "short_name": "T"}]}'
+    spark.createDataFrame([(projects,)], "value string").coalesce(1).write.text(f"{root}/in/projects")
+    for project, sites in (("3", '[{"id": 7, "name": "seven", "lat": "43.2"}, {"id": "x"}]'), ("4", '[{"id": 8, "name": "eight"}]')):
+        place, body = f"{root}/in/site-payloads/{project}.json", '{"data": {"sites": %s}}' % sites
+        assert jobs.sinks.files.claim(spark, place, body)
+    with pytest.raises(ValueError, match="projects"):
+        submit(spark, "payloads", "--kind", "sites", "--files", f"{root}/in/site-payloads", "--output", f"{root}/in/site-rows")
+    submit(spark, "payloads", "--kind", "sites", "--projects", f"{root}/in/projects", "--files", f"{root}/in/site-payloads", "--output", f"{root}/in/site-rows")
+    rows = jobs.tabular.read_text_table(spark, f"{root}/in/site-rows", jobs.SITE_SOURCE).orderBy("site_id").collect()
+    assert [(r.site_id, r.site_name, r.project_id, r.project_short_name) for r in rows] == [("7", "seven", "3", "C"), ("8", "eight", "4", "T")]
+
+
 def test_views_outlive_the_session(spark, root):
     """A new session on the same catalog reads every view that the publish job left."""
     fresh = spark.newSession()
