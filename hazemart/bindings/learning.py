@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -162,7 +163,22 @@ def _metrics_auc(spark, sf_dir):
 def _nearest_centroid(spark, sf_dir):
     vectors = t.table(spark, sf_dir, "embeddings")
     centres = clusters.group_centres(vectors, "label", "embedding")
-    return clusters.nearest_of(vectors.select("vec_id", "embedding"), "embedding", centres, "label", "cluster").drop("embedding")
+    return clusters.nearest_of(vectors, ["vec_id"], "embedding", centres, "label", "cluster")
+
+
+@query(
+    "nearest_of_many",
+    """
+    WITH v AS (SELECT vec_id, label * 1000 + vec_id % 300 AS g, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM embeddings)
+    , c AS (SELECT g AS centre, d, avg(CAST(x AS DOUBLE)) AS m FROM v GROUP BY g, d)
+    , w AS (SELECT vec_id, centre, sum((x - m) * (x - m)) AS dist FROM v JOIN c USING (d) GROUP BY vec_id, centre)
+    SELECT vec_id, first(centre ORDER BY round(dist, 9), centre) AS cluster FROM w GROUP BY vec_id""",
+)
+def _nearest_of_many(spark, sf_dir):
+    """Thousands of centres, in blocks of 64."""
+    vectors = t.table(spark, sf_dir, "embeddings").withColumn("g", F.col("label") * 1000 + F.col("vec_id") % 300)
+    centres = clusters.group_centres(vectors, "g", "embedding")
+    return clusters.nearest_of(vectors, ["vec_id"], "embedding", centres, "g", "cluster", block=64)
 
 
 @query(
@@ -205,7 +221,59 @@ def _ml_regress(spark, sf_dir):
 @query("ml_classify")
 def _ml_classify(spark, sf_dir):
     data, result = fitted_task(spark, sf_dir, "classification", "is_pollution_peak")
-    return models.score_classification(result.models["random_forest"], data, "random_forest")
+    scored = [models.score_classification(model, data, name) for name, model in result.models.items()]
+    return scored[0].unionByName(scored[1])
+
+
+@query(
+    "ml_logistic_odds",
+    with_roles(SQL_EVENTS, select="""
+    , p AS (SELECT event_type = 'view' AS x, q >= 30 AS y FROM ev WHERE q IS NOT NULL)
+    , n AS (SELECT count(*) FILTER (WHERE NOT x AND NOT y) AS n00, count(*) FILTER (WHERE NOT x AND y) AS n01,
+                   count(*) FILTER (WHERE x AND NOT y) AS n10, count(*) FILTER (WHERE x AND y) AS n11 FROM p)
+    SELECT round(ln(n01 / n00), 4) AS intercept, round(ln(n11 / n10) - ln(n01 / n00), 4) AS weight, n00 + n01 + n10 + n11 AS n FROM n"""),
+)
+def _ml_logistic_odds(spark, sf_dir):
+    """The fitted weights of one 0/1 feature without penalty are log odds."""
+    points = t.events(spark, sf_dir).where("q IS NOT NULL").select(
+        (F.col("event_type") == "view").cast("double").alias("view"), (F.col("q") >= 30).cast("double").alias("label")
+    )
+    vectors = VectorAssembler(inputCols=["view"], outputCol="x").transform(points)
+    fitted = LogisticRegression(featuresCol="x", maxIter=200, tol=1e-12, regParam=0.0, standardization=False).fit(vectors)
+    row = (round(float(fitted.intercept), 4), round(float(fitted.coefficients[0]), 4), points.count())
+    return spark.createDataFrame([row], "intercept double, weight double, n long")
+
+
+@query(
+    "tfidf_hashed",
+    """
+    WITH words AS (
+      SELECT doc_id, CASE WHEN body = '' AND text <> '' THEN [] ELSE regexp_split_to_array(body, '\\s') END AS terms
+      FROM (SELECT doc_id, text, regexp_replace(lower(text), '\\s+$', '') AS body FROM documents))
+    , t AS (SELECT doc_id, CAST(('0x' || left(md5(unnest(terms)), 8))::BIGINT % 64 AS INTEGER) AS bucket FROM words)
+    , counts AS (SELECT doc_id, bucket, count(*) AS tf FROM t GROUP BY doc_id, bucket)
+    , frequency AS (SELECT bucket, count(*) AS df FROM counts GROUP BY bucket)
+    SELECT doc_id, bucket, tf, df, tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) AS tfidf FROM counts JOIN frequency USING (bucket)""",
+)
+def _tfidf_hashed(spark, sf_dir):
+    return preprocess.tfidf_hashed(t.table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query(
+    "ml_kmeans_points",
+    with_roles(SQL_EVENTS, select="""
+    SELECT event_id, CAST(event_id % 3 AS INTEGER) AS cluster, round(q, 2) AS q FROM ev WHERE k IS NOT NULL AND q IS NOT NULL"""),
+)
+def _ml_kmeans_points(spark, sf_dir):
+    """The point table of three groups that lie far apart: every point is in the cluster of its group, numbered by their centres."""
+    points = t.events(spark, sf_dir).where("k IS NOT NULL AND q IS NOT NULL").select(
+        "event_id", (F.col("k") + 1000000 * F.pmod("event_id", F.lit(3))).cast("double").alias("k"), "q"
+    )
+    vectors = VectorAssembler(inputCols=["k", "q"], outputCol="x").transform(points)
+    fitted = KMeans(featuresCol="x", predictionCol="found", k=3, seed=7, initSteps=5).fit(vectors)
+    order = sorted(range(3), key=lambda i: fitted.clusterCenters()[i][0])
+    number = F.element_at(F.array(*[F.lit(order.index(i)) for i in range(3)]), F.col("found") + 1)
+    return fitted.transform(vectors).select("event_id", number.cast("int").alias("cluster"), F.round("q", 2).alias("q"))
 
 
 @query("ml_kmeans")
@@ -266,7 +334,7 @@ def _ml_silhouette(spark, sf_dir):
     points = t.events(spark, sf_dir).where("k IS NOT NULL AND q IS NOT NULL").select(
         F.col("k").cast("double").alias("k"), "q", F.pmod("k", F.lit(3)).cast("int").alias("cluster")
     )
-    found = clusters.silhouette(VectorAssembler(inputCols=["k", "q"], outputCol="cluster_features").transform(points))
+    found = clusters.silhouette(VectorAssembler(inputCols=["k", "q"], outputCol="scaled_position").transform(points))
     return spark.createDataFrame([(round(found, 6),)], "silhouette double")
 
 

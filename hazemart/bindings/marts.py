@@ -55,7 +55,10 @@ def _clean_context(spark, sf_dir):
     "cleaning_audit",
     with_roles(SQL_READINGS, select="""
     SELECT (SELECT count(*) FROM events) AS raw_rows, (SELECT count(*) FROM readings) AS cleaned_rows,
-           (SELECT count(*) FROM events) - (SELECT count(*) FROM readings) AS removed_rows"""),
+           (SELECT count(*) FROM events) - (SELECT count(*) FROM readings) AS removed_rows,
+           count(*) FILTER (WHERE k = 33) AS bad_key_rows, count(*) FILTER (WHERE k = 13) AS bad_time_rows,
+           count(*) FILTER (WHERE k IS NULL OR k NOT IN (13, 33)) - (SELECT count(*) FROM readings) AS duplicate_rows
+    FROM ev"""),
 )
 def _cleaning_audit(spark, sf_dir):
     return cleaning.cleaning_audit(t.raw_readings(spark, sf_dir), t.readings(spark, sf_dir))

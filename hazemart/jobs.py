@@ -21,7 +21,7 @@ from hazemart import config
 from hazemart.config import ModelSettings, StreamSettings
 from hazemart.functions import coerce, text
 from hazemart.ml.models import train_all
-from hazemart.operators.cleaning import cleaning_audit
+from hazemart.operators.cleaning import CleaningAudit
 from hazemart.operators.notices import NOTICE_COLUMNS, parse_notices, seed_notices
 from hazemart.plans.features import feature_table
 from hazemart.plans.serving import SERVING_SCHEMAS, build_layers, publish
@@ -73,12 +73,13 @@ def payloads(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def layers(spark: SparkSession, args: argparse.Namespace) -> None:
-    readings = tabular.read_text_table(spark, args.readings, READING_SOURCE)
-    built = build_layers(
-        spark, readings, tabular.read_text_table(spark, args.context, CONTEXT_SOURCE), read_notices(spark, args.notices), args.root,
+    """Raw text tables to staging and marts; what was removed is counted by the pass that writes."""
+    own, audit = spark.newSession(), CleaningAudit()
+    readings = tabular.read_text_table(own, args.readings, READING_SOURCE)
+    build_layers(
+        own, readings, tabular.read_text_table(own, args.context, CONTEXT_SOURCE), read_notices(own, args.notices), args.root, audit,
     )
-    audit = cleaning_audit(readings, built["air_cleaned"]).first()
-    print(f"readings: {audit.raw_rows} raw, {audit.cleaned_rows} cleaned, {audit.removed_rows} removed", flush=True)
+    print("readings: " + ", ".join(f"{n} {name.removesuffix('_rows')}" for name, n in audit.counts().items()), flush=True)
 
 
 def notices(spark: SparkSession, args: argparse.Namespace) -> None:

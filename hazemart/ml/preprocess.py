@@ -80,6 +80,34 @@ def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+def hash_bucket(term: Column, buckets: int) -> Column:
+    """Bucket of a term by the first 32 bits of its digest."""
+    return (F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long") % buckets).cast("int")
+
+
+def tfidf_hashed(df: DataFrame, key: str, text: str, buckets: int = ModelSettings.text_dims) -> DataFrame:
+    """Term weights of a fixed number of buckets: (key, bucket, tf, df, tfidf), without the buckets a document leaves empty.
+
+    tf sums the terms of a bucket, df counts the documents that have any of them. ``key`` is unique, so the
+    counts are complete on the map side: at most ``buckets`` rows of a document are exchanged, and for the
+    document frequency one row of a task and bucket.
+    """
+    placed = df.select(key, F.transform(tokens(F.col(text)), lambda term: hash_bucket(term, buckets)).alias("_buckets"))
+    counts = placed.select(key, F.explode("_buckets").alias("bucket")).groupBy(key, "bucket").agg(F.count(F.lit(1)).alias("tf"))
+    frequency = placed.select(F.explode(F.array_distinct("_buckets")).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    documents = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return counts.join(frequency, "bucket").select(
+        key, "bucket", "tf", "df", (F.col("tf") * F.log((documents + 1) / (F.col("df") + 1))).alias("tfidf")
+    )
+
+
+def hashed_vectors(weights: DataFrame, key: str, buckets: int = ModelSettings.text_dims) -> DataFrame:
+    """(key, text_features): the rows of :func:`tfidf_hashed` as one array a document, 0 for empty buckets."""
+    entries = F.map_from_entries(F.collect_list(F.struct("bucket", "tfidf")))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda b: F.coalesce(F.col("_weights")[b], F.lit(0.0)))
+    return weights.groupBy(key).agg(entries.alias("_weights")).select(key, filled.alias("text_features"))
+
+
 def text_stages(text: str, output: str, dims: int) -> list:
     return [
         Tokenizer(inputCol=text, outputCol=f"{output}_tokens"),

@@ -9,24 +9,34 @@ from pyspark.sql import functions as F
 
 from hazemart.functions.derive import count_if
 from hazemart.operators.intervals import expand_intervals
-from hazemart.operators.joins import join_on_keys
+from hazemart.operators.ordered import previous_value
 from hazemart.session import settled
 
 
+def gap_intervals(df: DataFrame, site: str = "site_id", when: str = "timestamp") -> DataFrame:
+    """(site, gap_start, gap_end, hours): what every site lacks between the first and last hour of the table, end excluded.
+
+    A gap lies between an hour and the one before it, so it takes one row whatever its length. Rows without a site are a
+    site of their own.
+    """
+    hour = F.date_trunc("HOUR", when)
+    # read by the span, by the ends of the sites and by the hours before
+    seen = settled(df.where(F.col(when).isNotNull()).select(site, hour.alias("gap_end")).distinct(), "hours")
+    span = seen.agg(F.min("gap_end").alias("first"), F.max("gap_end").alias("last"))
+    step = F.expr("INTERVAL 1 HOUR")
+    before = previous_value(seen.withColumn("_hour", F.col("gap_end")), [site], ["gap_end"], "_hour", F.date_trunc("DAY", "gap_end"), "_before")
+    inner = before.select(site, F.coalesce(F.col("_before") + step, span.select("first").scalar()).alias("gap_start"), "gap_end")
+    tail = seen.groupBy(site).agg((F.max("gap_end") + step).alias("gap_start")).withColumn("gap_end", span.select("last").scalar() + step)
+    hours = (F.unix_timestamp("gap_end") - F.unix_timestamp("gap_start")) / 3600
+    return inner.unionByName(tail).where(F.col("gap_start") < F.col("gap_end")).withColumn("hours", hours.cast("long"))
+
+
 def hourly_gaps(df: DataFrame, site: str = "site_id", when: str = "timestamp") -> DataFrame:
     """Hours between the first and last hour of the table that a site has no row for.
 
-    The table is read once, for its distinct hours. The grid is built per site row in pieces, so
-    nothing is crossed and a stray time makes no long array. Rows without a site are a site of their own.
+    Only the gaps are expanded, in pieces; hours that are there are never laid out.
     """
-    hours_seen = df.where(F.col(when).isNotNull()).select(site, F.date_trunc("HOUR", when).alias("hour_start")).distinct()
-    observed = settled(hours_seen, "hours")
-    span = observed.agg(F.min("hour_start").alias("first"), F.max("hour_start").alias("last"))
-    reach = observed.select(site).distinct().withColumns({
-        "_first": span.select("first").scalar(), "_after": span.select("last").scalar() + F.expr("INTERVAL 1 HOUR"),
-    })
-    grid = expand_intervals(reach, "_first", "_after", "hour_start").select(site, "hour_start")
-    return join_on_keys(grid, observed, [site, "hour_start"], "left_anti")
+    return expand_intervals(gap_intervals(df, site, when), "gap_start", "gap_end", "hour_start").select(site, "hour_start")
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from hazemart.functions.coerce import coerce_to
-from hazemart.operators.cleaning import CONTEXT_COLUMNS, READING_COLUMNS, clean_context, clean_readings
+from hazemart.operators.cleaning import CONTEXT_COLUMNS, READING_COLUMNS, CleaningAudit, clean_context, clean_readings
 from hazemart.operators.notices import NOTICE_HOUR_COLUMNS, notice_hours
 from hazemart.plans import marts
 from hazemart.plans.views import serving_views, stream_views, view_sql
@@ -98,14 +98,17 @@ def serving_table(name: str, df: DataFrame) -> DataFrame:
 
 
 def build_layers(
-    spark: SparkSession, raw_readings: DataFrame, raw_context: DataFrame, notices: DataFrame, root: str
+    spark: SparkSession, raw_readings: DataFrame, raw_context: DataFrame, notices: DataFrame, root: str,
+    audit: CleaningAudit | None = None,
 ) -> dict[str, DataFrame]:
     """Staging and marts as Parquet below ``root``, each layer read back by the next.
 
-    Every raw table is scanned once and the join runs once; the three marts read the hourly one.
+    Every raw table is scanned once and the join runs once; the three marts read the hourly one. ``audit`` is
+    filled by the pass that writes the readings.
     """
     staging, mart = f"{root}/staging", f"{root}/marts"
-    sinks.write_staging(clean_readings(raw_readings), f"{staging}/readings")
+    cleaned = audit.clean(raw_readings) if audit else clean_readings(raw_readings)
+    sinks.write_staging(cleaned, f"{staging}/readings")
     sinks.write_staging(clean_context(raw_context), f"{staging}/context", partition=None)
     sinks.write_staging(notice_hours(notices), f"{staging}/notice_hours", partition=None)
     readings = spark.read.parquet(f"{staging}/readings").select(*READING_COLUMNS)

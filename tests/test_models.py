@@ -9,7 +9,7 @@ from pyspark.ml.feature import Tokenizer
 from pyspark.sql import functions as F
 
 from hazemart.config import TEXT_IMPORTANCE_NAME, ModelSettings
-from hazemart.ml import metrics, models, preprocess
+from hazemart.ml import clusters, metrics, models, preprocess
 from hazemart.plans.serving import SERVING_SCHEMAS
 
 DRAW = random.Random(3)
@@ -139,3 +139,25 @@ def test_training_run(spark):
     assert sum(r.rows_count for r in tables["ml_cluster_profile"].collect()) == 600
     for name, table in tables.items():
         assert set(SERVING_SCHEMAS[name].names) <= set(table.columns), name
+
+
+def test_nearest_centre_over_blocks(spark):
+    draw = random.Random(2)
+    centres = [(g, [draw.randint(-9, 9) * 1.0 for _ in range(3)]) for g in range(400)] + [(-5, [1.0, 1.0, 1.0]), (7000, [1.0, 1.0, 1.0])]
+    rows = [(k, k % 3, [draw.randint(-9, 9) * 1.0 for _ in range(3)]) for k in range(60)] + [(99, 0, [1.0, 1.0, 1.0]), (100, 1, None)]
+    wanted = {
+        (k, j): None if v is None else min((sum((a - b) ** 2 for a, b in zip(v, c)), g) for g, c in centres)[1] for k, j, v in rows
+    }
+    places = spark.createDataFrame(centres, "g int, centre array<double>")
+    vectors = spark.createDataFrame(rows, "k int, j int, v array<double>")
+    for block in (16, 10_000):
+        found = clusters.nearest_of(vectors, ["k", "j"], "v", places, "g", "nearest", block)
+        assert found.columns == ["k", "j", "nearest"] and {(r.k, r.j): r.nearest for r in found.collect()} == wanted
+
+
+def test_hashed_vectors_fill_empty_buckets(spark):
+    docs = spark.createDataFrame([(1, "a a b"), (2, ""), (3, "b")], "k int, text string")
+    weights = preprocess.tfidf_hashed(docs, "k", "text", 8)
+    found = {r.k: r.text_features for r in preprocess.hashed_vectors(weights, "k", 8).collect()}
+    assert {len(v) for v in found.values()} == {8} and set(found) == {1, 2, 3}
+    assert sorted(x for v in found.values() for x in v if x) == sorted(r.tfidf for r in weights.collect() if r.tfidf)

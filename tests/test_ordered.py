@@ -113,6 +113,14 @@ def test_gaps_of_null_sites_and_stray_times(spark):
     assert sum(r.site_id is None for r in found) == hours - 2
 
 
+def test_a_stray_hour_costs_one_interval(spark):
+    t = dt.datetime(2026, 1, 1)
+    data = [(s, t + dt.timedelta(hours=h)) for s in range(4) for h in (0, 1, 2)] + [(0, dt.datetime(2926, 1, 1))]
+    found = quality.gap_intervals(spark.createDataFrame(data, "site_id int, timestamp timestamp")).collect()
+    hours = int((dt.datetime(2926, 1, 1) - t).total_seconds()) // 3600
+    assert sorted((r.site_id, r.hours) for r in found) == [(0, hours - 3), (1, hours - 2), (2, hours - 2), (3, hours - 2)]
+
+
 def test_gaps(spark):
     t = dt.datetime(2026, 1, 1)
     data = [(1, t), (1, t + dt.timedelta(hours=3, minutes=20)), (2, t + dt.timedelta(hours=1)), (2, t + dt.timedelta(hours=1, minutes=1)), (3, None)]

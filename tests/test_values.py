@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from hazemart import config
 from hazemart.functions import coerce, derive
-from hazemart.operators.cleaning import CONTEXT_COLUMNS, READING_COLUMNS, clean_context, clean_readings, cleaning_audit, observed
+from hazemart.operators.cleaning import CONTEXT_COLUMNS, READING_COLUMNS, CleaningAudit, clean_context, clean_readings, cleaning_audit
 
 RAW = "site_id string, time string, " + ", ".join(f"{c} string" for c in config.READING_LIMITS)
 
@@ -122,10 +122,17 @@ def test_severity_and_fill(spark):
 
 
 def test_audit_and_observation(spark):
-    raw = spark.createDataFrame([reading(), reading(), reading(time="?")], RAW)
-    assert tuple(cleaning_audit(raw, clean_readings(raw)).first()) == (3, 1, 2)
+    rows = [reading(), reading(), reading(time="?"), reading(site="x", time="?")]
+    raw = spark.createDataFrame(rows, RAW)
+    wanted = {"raw_rows": 4, "bad_key_rows": 1, "bad_time_rows": 1, "cleaned_rows": 1, "removed_rows": 3, "duplicate_rows": 1}
+    assert cleaning_audit(raw, clean_readings(raw)).first().asDict() == wanted
     # an observation makes its session unfit for Spark ML's summaries, so it gets one of its own
-    own = spark.newSession().createDataFrame([reading(), reading(), reading(time="?")], RAW)
-    counted, counter = observed(clean_readings(own), "cleaned")
-    counted.write.format("noop").mode("overwrite").save()
-    assert counter.get == {"cleaned": 1}
+    own, audit = spark.newSession().createDataFrame(rows, RAW), CleaningAudit()
+    cleaned = audit.clean(own)
+    assert cleaned._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    cleaned.write.format("noop").mode("overwrite").save()
+    # the counts came with the write, nothing is run for them
+    spark.sparkContext.setJobGroup("counts", "counts")
+    assert audit.counts() == wanted
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("counts")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
