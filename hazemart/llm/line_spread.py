@@ -1,6 +1,6 @@
 """Removal of boilerplate lines by the number of distinct sites they appear on.
 
-Lines become 64-bit hashes once. A line seen on one site only never needs a sketch; for the others a
+Lines become 128-bit hashes once. A line seen on one site only never needs a sketch; for the others a
 HyperLogLog sketch of sites per line hash is built on the map side and merged by aggregation. A
 sketch decides alone where its estimate is far from the threshold; lines near it get an exact
 distinct count. All of it is built-in Spark: a line that stands in a third of all rows costs one row
@@ -27,7 +27,16 @@ def _parts(text: Column) -> Column:
 
 
 def _hash(line: Column) -> Column:
-    return F.xxhash64(F.trim(line))
+    """128 bits, so that no two of a large corpus's lines are taken for one."""
+    key = F.trim(line)
+    return F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit(1), key).alias("b"))
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
 
 
 def _counted(line: Column, min_chars: int) -> Column:
@@ -79,15 +88,16 @@ def remove_spread_lines(
     """
     lines = settled(line_sites(docs, min_chars, id_col, text_col, site_col), "lines")
     spread = spread_lines(lines, min_sites)
+    own_id, own_lines = _unused(docs, "_id"), _unused(docs, "_gone")
     # a document has each line once, so its array is no longer than its text
     gone = (
         lines.join(spread, "_line").where(F.col("_id") != F.col("_first"))
-        .groupBy("_id").agg(F.collect_set("_line").alias("_gone"))
+        .groupBy(F.col("_id").alias(own_id)).agg(F.collect_set("_line").alias(own_lines))
     )
     parts = _parts(F.col(text_col))
-    kept = F.filter(parts, lambda line: ~_counted(line, min_chars) | ~F.array_contains(F.col("_gone"), _hash(line)))
-    joined = docs.drop("n_lines", "n_removed").join(gone, F.col(id_col) == F.col("_id"), "left")
-    hit = F.col("_gone").isNotNull()
+    kept = F.filter(parts, lambda line: ~_counted(line, min_chars) | ~F.array_contains(F.col(own_lines), _hash(line)))
+    joined = docs.drop("n_lines", "n_removed").join(gone, F.col(id_col) == F.col(own_id), "left")
+    hit = F.col(own_lines).isNotNull()
     n_lines = F.when(F.col(text_col).isNotNull(), F.size(parts)).otherwise(0).cast("long")
     n_removed = F.when(hit, F.size(parts) - F.size(kept)).otherwise(0).cast("long")
     out = [F.when(hit, F.array_join(kept, "\n")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c)

@@ -43,7 +43,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_line_spread", """
 WITH lines AS (SELECT doc_id, source, trim(unnest(string_split(text, chr(10)))) AS line FROM documents),
 spread AS (
-  SELECT line, min(doc_id) AS first_id FROM lines WHERE length(line) >= 20
+  SELECT line, min(doc_id) AS first_id FROM lines WHERE regexp_matches(line, '\\S')
   GROUP BY line HAVING count(DISTINCT source) >= 5
 ),
 gone AS (
@@ -60,19 +60,19 @@ SELECT doc_id, CASE WHEN missing THEN 0 ELSE len(parts) END AS n_lines, len(part
 FROM kept
 """)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    # the SQL above states lines of 20 characters or more; the pipeline counts every line
-    cleaned = line_spread.remove_spread_lines(table(spark, folder, "documents"), min_chars=20)
+    cleaned = line_spread.remove_spread_lines(table(spark, folder, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
 def remainder(divisor: int) -> Column:
-    return F.crc32(F.col("doc_id").cast("string")) % divisor
+    """Of the fold of a document; one without an id is in the fold of an empty id, so that no condition on it is null."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
 
 
 @query("op4_piece_sampling")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return piece_sampling.sampled_segmentations(
-        table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"), with_ids=False
+        table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model")
     )
 
 

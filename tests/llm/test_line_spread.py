@@ -50,3 +50,11 @@ def test_short_lines_count_and_blank_ones_stay(spark):
     rows = [(i, f"Les.\n\n \t\nown {i}\nLes. ", f"site{i % 7}") for i in range(14)]
     found = remove_spread_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert {r.doc_id: r.text for r in found} == {i: rows[0][1] if i == 0 else f"\n \t\nown {i}" for i in range(14)}
+
+
+def test_columns_with_inner_names(spark):
+    rows = [(i, f"shared\nown {i}", f"s{i}", i, "x", "y", 3) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _id long, _gone string, _Line string, _first int")
+    found = remove_spread_lines(docs)
+    assert found.columns == [*docs.columns, "n_lines", "n_removed"]
+    assert sorted((r.doc_id, r.text, r._id, r._gone) for r in found.collect()) == [(i, rows[i][1] if not i else f"own {i}", i, "x") for i in range(8)]

@@ -12,7 +12,7 @@ COLUMNS = {
     "op1_bag_minhash": {"doc_id", "class_id", "kept"},
     "op2_line_spread": {"doc_id", "n_lines", "n_removed", "text_md5"},
     "op3_vector_links": {"vec_id", "n_links", "component_id", "kept"},
-    "op4_piece_sampling": {"doc_id", "sample", "n_tokens", "log_prob", "log_inclusion", "ids_digest", "restored"},
+    "op4_piece_sampling": {"doc_id", "sample", "n_tokens", "log_prob", "log_inclusion", "ids", "ids_digest", "restored"},
     "op5_language_crf": {"doc_id", "held_out", "lang_pred", "score"},
     "op6_decontaminate": {"doc_id", "item_id", "first_word", "score", "question_overlap", "answer_overlap"},
     "op7_bilinear_lm": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
