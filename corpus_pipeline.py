@@ -53,7 +53,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of every document, with a flag that decoding restores the text."""
-    return piece_sampling.sampled_segmentations(docs, tokenizer_path("piece_bpe_32k.model"), with_ids=False)
+    return piece_sampling.sampled_segmentations(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
 STAGES: list[tuple[str, Stage]] = [
