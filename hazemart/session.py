@@ -90,4 +90,15 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     if _open_spaces:
         _open_spaces[-1].append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._settled_path = path
+    return stored
+
+
+def release(*frames: DataFrame | None) -> None:
+    """Removes the files of frames that :func:`settled` returned, once nothing that is still to be run reads them."""
+    for df in frames:
+        path = getattr(df, "__dict__", {}).get("_settled_path")
+        if path is not None:
+            place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
