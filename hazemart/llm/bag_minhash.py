@@ -8,9 +8,10 @@ the probability of their weighted Jaccard similarity. Only points up to a horizo
 shingles have none and cost one hash.
 
 Signatures are banded. Exact copies are one class and enter once. Every text is compared with the leader
-of each of its buckets, texts still apart with further leaders, and at last all pairs of a bucket that
-are not yet connected; so a bucket of many near copies costs a multiple of its size and no link
-between separate components is lost. Every candidate is verified by the exact multiset overlap.
+of each of its buckets, and texts still apart with further leaders, so a bucket of near copies costs a
+multiple of its size. Buckets that then still hold several components are split: their texts get further, independent
+registers and many more, longer bands, in which texts well below the threshold seldom meet. Only texts of different
+components that share one of those are compared pair by pair. Every candidate is verified by the exact multiset overlap.
 """
 
 from __future__ import annotations
@@ -26,17 +27,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazemart.llm import kernel
-from hazemart.llm.components import components, forest
-from hazemart.session import settled
+from hazemart.llm.components import components
+from hazemart.session import release, settled
 
 WIDTH = 5
 SIMILARITY = 0.8
 BANDS = 28
 ROWS = 6
-#: all pairs of a bucket that are not connected are compared once they are at most so many per text
-OPEN_PAIRS = 8
+#: rounds of leaders, and rounds of labels between them
 LEADER_ROUNDS = 4
 LABEL_ROUNDS = 5
+#: bands and rows of the further registers that split a bucket of several components; a pair at the threshold shares one with 0.93
+SPLIT_BANDS = 96
+SPLIT_ROWS = 16
 
 
 def bags(column: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -64,8 +67,8 @@ def bags(column: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray,
     return owner, items, counts, whole[0], whole[1]
 
 
-def signatures(owner: np.ndarray, items: np.ndarray, counts: np.ndarray, rows: int, registers: int) -> np.ndarray:
-    """Earliest point of every register, rows x registers; infinite for a row without shingles."""
+def signatures(owner: np.ndarray, items: np.ndarray, counts: np.ndarray, rows: int, registers: int, family: int = 0) -> np.ndarray:
+    """Earliest point of every register, rows x registers; infinite for a row without shingles. Families are independent."""
     earliest = np.full(rows * registers, np.inf)
     weight = np.bincount(owner, counts, rows)
     levels = np.ceil(np.log2(np.maximum(counts, 1))).astype(np.int64) + 1
@@ -75,6 +78,7 @@ def signatures(owner: np.ndarray, items: np.ndarray, counts: np.ndarray, rows: i
     width = np.where(level > 0, below, 1)
     with np.errstate(over="ignore"):
         seed = kernel.mixed(items[source] + level.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        seed = kernel.mixed(seed ^ np.uint64(family)) if family else seed
     row, limit = owner[source], counts[source]
     todo, horizon = weight > 0, np.zeros(rows)
     horizon[todo] = (math.log(registers) + 2.0) / weight[todo]
@@ -100,17 +104,17 @@ def signatures(owner: np.ndarray, items: np.ndarray, counts: np.ndarray, rows: i
     return earliest.reshape(rows, registers)
 
 
-def _features(docs: DataFrame, width: int, bands: int, per_band: int) -> DataFrame:
+def _features(docs: DataFrame, width: int, bands: int, per_band: int, family: int = 0) -> DataFrame:
     kind = docs.schema["_id"].dataType
     schema = T.StructType([
         T.StructField("_id", kind), T.StructField("_low", T.LongType()), T.StructField("_high", T.LongType()),
-        T.StructField("_bands", T.ArrayType(T.LongType())),
+        T.StructField("_size", T.LongType()), T.StructField("_bands", T.ArrayType(T.LongType())),
     ])
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, items, counts, low, high = bags(batch.column("_text"), width)
         n = batch.num_rows
-        points = signatures(owner, items, counts, n, bands * per_band).view(np.uint64).reshape(n, bands, per_band)
+        points = signatures(owner, items, counts, n, bands * per_band, family).view(np.uint64).reshape(n, bands, per_band)
         with np.errstate(over="ignore"):
             key = np.arange(1, bands + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
             for k in range(per_band):
@@ -118,6 +122,7 @@ def _features(docs: DataFrame, width: int, bands: int, per_band: int) -> DataFra
         has = np.bincount(owner, minlength=n) > 0
         return pa.RecordBatch.from_arrays([
             batch.column("_id"), pa.array(low.view(np.int64), mask=~has), pa.array(high.view(np.int64), mask=~has),
+            pa.array(np.bincount(owner, counts, n).astype(np.int64)),
             kernel.lists(key[has].reshape(-1).view(np.int64), has * bands, pa.int64()),
         ], names=schema.names)
 
@@ -140,17 +145,21 @@ def overlap(left: pa.Array, right: pa.Array, width: int = WIDTH) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Links (a, b) with the same components as all ``pairs`` (member, leader) whose texts reach ``similarity``.
+    """Links (a, b) that connect what ``pairs`` (member, leader, left, right) connect whose texts reach ``similarity``.
 
-    Pairs are dealt by member at last, so a task sees all leaders of a member and returns one link for
-    each text at most.
+    ``left`` and ``right`` are the components that member and leader are known to belong to; links are between those.
+    Pairs are dealt by member at last, so a task sees all leaders of a member: it links the member with the least of
+    them, and each of them with the next, which gives the same few links wherever leaders are met again.
     """
     kind = pairs.schema["member"].dataType
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    sized = texts.select("_id", "_text", "_size")
     both = (
-        pairs.distinct().join(texts.select(F.col("_id").alias("leader"), F.col("_text").alias("_right")), "leader")
-        .join(texts.select(F.col("_id").alias("member"), F.col("_text").alias("_left")), "member")
-        .select("member", "leader", "_left", "_right")
+        pairs.distinct().join(sized.select(F.col("_id").alias("leader"), F.col("_text").alias("_right"), F.col("_size").alias("_n")), "leader")
+        .join(sized.select(F.col("_id").alias("member"), F.col("_text").alias("_left"), F.col("_size").alias("_m")), "member")
+        # bags of such different sizes cannot be that similar
+        .where(F.least("_m", "_n") >= F.greatest("_m", "_n") * (similarity - 1e-9))
+        .select("left", "right", "_left", "_right")
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,21 +168,21 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
             for part in kernel.slices([wide], "_right", 1 << 18):
                 for batch in kernel.slices([part], "_left", 1 << 18):
                     same = overlap(batch.column("_left"), batch.column("_right"), width) >= similarity
-                    good.append(batch.select(["member", "leader"]).filter(pa.array(same)))
+                    good.append(batch.select(["left", "right"]).filter(pa.array(same)))
         if not good or not sum(g.num_rows for g in good):
             return
         links = pa.Table.from_batches(good).combine_chunks()
         ends = pa.concat_arrays([links.column(k).chunk(0) for k in range(2)])
         coded = ends.dictionary_encode()
-        # numbered by size, so that the smallest text of a component is its root
+        # numbered by size, so that "least" means the same in every task
         order = pc.array_sort_indices(coded.dictionary)
         ids, number = coded.dictionary.take(order), np.empty(len(order), np.int64)
         number[order.to_numpy()] = np.arange(len(order))
         code = number[coded.indices.to_numpy()]
-        root = forest(code[: links.num_rows], code[links.num_rows :], len(ids))
-        joined = np.flatnonzero(root != np.arange(len(root)))
-        if len(joined):
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(joined)), ids.take(pa.array(root[joined]))], names=["a", "b"])
+        member, leader = np.unique(np.stack([code[: links.num_rows], code[links.num_rows :]]), axis=1)
+        again = np.r_[False, member[1:] == member[:-1]]
+        chained = np.unique(np.stack([np.where(again, np.r_[0, leader[:-1]], member), leader]), axis=1)
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(chained[0])), ids.take(pa.array(chained[1]))], names=["a", "b"])
 
     return both.mapInArrow(verify, schema)
 
@@ -197,52 +206,59 @@ def near_duplicates(
     classes = known.groupBy("_low", "_high").agg(F.min("_id").alias("_class"))
     copies = settled(
         known.join(classes, ["_low", "_high"]).select(
-            "_id", "_class", F.when(F.col("_id") == F.col("_class"), F.col("_bands")).alias("_bands")
+            "_id", "_class", "_size", F.when(F.col("_id") == F.col("_class"), F.col("_bands")).alias("_bands")
         ), "copies",
     )
-    members = copies.where(F.col("_bands").isNotNull()).select("_id", F.explode("_bands").alias("_bucket"))
+    members = copies.where(F.col("_bands").isNotNull()).select("_id", "_size", F.explode("_bands").alias("_bucket"))
     crowded = members.groupBy("_bucket").agg(F.count("*").alias("n"), F.min_by("_id", F.xxhash64("_id", F.lit(0))).alias("_leader"))
-    members = settled(members.join(crowded.where(F.col("n") > 1), "_bucket").select("_bucket", "_id", "_leader"), "buckets")
-    texts = settled(source.join(members.select("_id").distinct(), "_id", "left_semi").dropDuplicates(["_id"]), "texts")
-    pairs = members.where(F.col("_id") != F.col("_leader")).select(F.col("_id").alias("member"), F.col("_leader").alias("leader"))
-    links = settled(_verified(pairs, texts, width, similarity), "verified")
+    members = settled(members.join(crowded.where(F.col("n") > 1), "_bucket").select("_bucket", "_id", "_size", "_leader"), "buckets")
+    texts = settled(source.join(members.groupBy("_id").agg(F.max("_size").alias("_size")), "_id").dropDuplicates(["_id"]), "texts")
+    pairs = members.where(F.col("_id") != F.col("_leader")).select(
+        F.col("_id").alias("member"), F.col("_leader").alias("leader"), F.col("_id").alias("left"), F.col("_leader").alias("right")
+    )
+    links = settled(_verified(pairs, texts, width, similarity).distinct(), "verified")
     for turn in range(1, LEADER_ROUNDS + 1):
         # labels need not be final here: texts that are connected but labelled apart are compared once more
-        labels = components(links, LABEL_ROUNDS).withColumnRenamed("node", "_id")
-        placed = members.select("_bucket", "_id").join(labels, "_id", "left").withColumn(
-            "component", F.coalesce("component", "_id")
+        placed = _placed(members.select("_bucket", "_id"), links)
+        # the leader of a bucket that still holds texts of several components
+        lead = placed.groupBy("_bucket").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"),
+            F.min_by(F.struct("_id", "component"), F.xxhash64("_id", F.lit(turn))).alias("lead"),
+        ).where(F.col("low") < F.col("high"))
+        apart = placed.join(lead.select("_bucket", "lead"), "_bucket").where(F.col("component") != F.col("lead.component"))
+        pairs = apart.select(
+            F.col("_id").alias("member"), F.col("lead._id").alias("leader"), F.col("component").alias("left"), F.col("lead.component").alias("right")
         )
-        # buckets that still hold texts of several components
-        mixed = placed.groupBy("_bucket", "component").agg(
-            F.count("*").alias("n"), F.min_by("_id", F.xxhash64("_id", F.lit(turn))).alias("_leader")
-        ).groupBy("_bucket").agg(
-            F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"),
-            F.min_by(F.struct("_leader", "component"), F.xxhash64("_leader", F.lit(turn))).alias("lead"),
-        ).where(F.col("parts") > 1)
-        placed = settled(placed.join(mixed.drop("parts"), "_bucket"), "placed")
-        work, size = placed.agg(F.sum((F.col("n") - F.col("within") / F.col("n")) / 2), F.count("*")).first()
-        if not size:
-            break
-        last = work <= OPEN_PAIRS * size or turn == LEADER_ROUNDS
-        if last:
-            # every pair of a bucket that is not connected yet
-            left = placed.select("_bucket", F.col("_id").alias("member"), F.col("component").alias("_own"))
-            right = placed.select("_bucket", F.col("_id").alias("leader"), F.col("component").alias("_other"))
-            apart = (F.col("member") > F.col("leader")) & (F.col("_own") != F.col("_other"))
-            pairs = left.join(right, "_bucket").where(apart).select("member", "leader")
-        else:
-            apart = placed.where(F.col("component") != F.col("lead.component"))
-            pairs = apart.select(F.col("_id").alias("member"), F.col("lead._leader").alias("leader"))
-        links = settled(_verified(pairs, texts, width, similarity).union(links), "verified")
-        if last:
-            break
-    final = components(links).withColumnRenamed("node", "_class")
+        more = settled(_verified(pairs, texts, width, similarity).union(links).distinct(), "verified")
+        release(placed, links)
+        links = more
+    # what is still apart within a bucket meets again in longer bands of further registers
+    placed = _placed(members.select("_bucket", "_id"), links)
+    mixed = placed.groupBy("_bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(F.col("low") < F.col("high"))
+    open_ = placed.join(mixed.select("_bucket"), "_bucket", "left_semi").groupBy("_id").agg(F.first("component").alias("component"))
+    again = _features(texts.join(open_, "_id", "left_semi").select("_id", "_text"), width, SPLIT_BANDS, SPLIT_ROWS, family=1)
+    split = settled(again.select("_id", F.explode("_bands").alias("_bucket")).join(open_, "_id"), "split")
+    crowded = split.groupBy("_bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(F.col("low") < F.col("high"))
+    several = split.join(crowded.select("_bucket"), "_bucket", "left_semi")
+    left = several.select("_bucket", F.col("_id").alias("member"), F.col("component").alias("left"))
+    right = several.select("_bucket", F.col("_id").alias("leader"), F.col("component").alias("right"))
+    pairs = left.join(right, "_bucket").where((F.col("member") > F.col("leader")) & (F.col("left") != F.col("right"))).drop("_bucket")
+    more = settled(_verified(pairs, texts, width, similarity).union(links).distinct(), "verified")
+    release(placed, links, split)
+    final = components(more).withColumnRenamed("node", "_class")
     placed = copies.select("_id", "_class").distinct().join(final, "_class", "left").select(
         "_id", F.coalesce("component", "_class").alias("class_id")
     )
     merged = placed.groupBy("_id").agg(F.min("class_id").alias("class_id"))
     out = found.select("_id").join(merged, "_id", "left").withColumn("class_id", F.coalesce("class_id", "_id"))
+    release(members, texts, more)
     return out.select(
         F.col("_id").alias(id_col), "class_id", F.coalesce(F.col("_id") == F.col("class_id"), F.lit(True)).alias("kept")
     )
 
+
+def _placed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Each bucket's texts with the component they are known to belong to."""
+    labels = components(links, LABEL_ROUNDS).withColumnRenamed("node", "_id")
+    placed = settled(members.join(labels, "_id", "left").withColumn("component", F.coalesce("component", "_id")), "placed")
+    return placed

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazemart.session import settled
+from hazemart.session import release, settled
 
 
 def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
@@ -23,7 +23,7 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
         links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select(F.col("b"), F.col("a"))), "links"
     )
     labels = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-    labels = settled(labels.withColumn("component", F.least("node", "component")), "labels")
+    labels = stored = settled(labels.withColumn("component", F.least("node", "component")), "labels")
     done = 0
     while True:
         near = both.join(labels.select(F.col("node").alias("v"), "component"), "v").select(F.col("u").alias("node"), "component")
@@ -33,10 +33,12 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
         )
         jump = least.select(F.col("node").alias("label"), F.col("label").alias("component"))
         moved = settled(least.join(jump, "label").select("node", "component", "old"), "labels")
-        labels = moved.select("node", "component")
+        release(stored)
+        stored, labels = moved, moved.select("node", "component")
         done += 1
         if done == rounds or not moved.where(F.col("component") != F.col("old")).limit(1).count():
-            return labels
+            release(both)
+            return stored.select("node", "component")
 
 
 def forest(first: np.ndarray, second: np.ndarray, count: int) -> np.ndarray:

@@ -194,7 +194,7 @@ def build_lattice(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, voc
     before = np.r_[0.0, share][first]
     running = share - before[froms]
     running[(first + degree - 1)[degree > 0]] = 2.0  # the last edge takes what rounding leaves
-    return Lattice(first, degree, froms, tos, pieces, log_p, running.astype(np.float32)), begin
+    return Lattice(first, degree, froms, tos, pieces, log_p, running), begin
 
 
 class LatticeCache:

@@ -85,9 +85,38 @@ def test_classes_against_brute_force(spark):
     assert bag_minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_open_pairs_are_compared_after_leaders(spark, monkeypatch):
+def test_buckets_are_split_by_further_registers(spark, monkeypatch):
+    """Without any further leader the longer bands find the links, at the threshold and beside it, and few of the other pairs."""
+    monkeypatch.setattr(bag_minhash, "LEADER_ROUNDS", 0)
+    draw = random.Random(4)
+    base = [f"b{n}" for n in range(300)]
+    rows = []
+    for n in range(160):  # pairs of copies from about 0.65 to 0.9 of each other, far from all others
+        if n % 2 == 0:
+            words = list(base)
+            for k in draw.sample(range(300), 14):
+                words[k] = f"x{n}-{k}"
+        else:
+            words = list(words)
+            for k in draw.sample(range(300), draw.randint(3, 9)):
+                words[k] = f"y{n}-{k}"
+        rows.append((n, " ".join(words)))
+    bags = {i: bag(t) for i, t in rows}
+    near = {(a, b) for a in bags for b in bags if a < b and similarity(bags[a], bags[b]) >= 0.8}
+    compared = []
+    verified = bag_minhash._verified
+    monkeypatch.setattr(bag_minhash, "_verified", lambda pairs, *rest: (compared.append(pairs.distinct().count()), verified(pairs, *rest))[1])
+    found = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(near) > 20
+    caught = sum(found[a] == found[b] for a, b in near)
+    assert caught >= 0.9 * len(near)
+    wanted = classes(rows)
+    assert all(wanted[a] == wanted[b] for a in found for b in found if found[a] == found[b])
+    assert compared[-1] < 0.4 * 160 * 159 / 2
+
+
+def test_a_drifting_chain_is_one_class(spark):
     """A bucket whose leader links with few members still yields every link."""
-    monkeypatch.setattr(bag_minhash, "OPEN_PAIRS", 0)
     draw = random.Random(9)
     words = [f"v{n}" for n in range(60)]
     rows, current = [], words
