@@ -38,9 +38,9 @@ ROWS = 6
 LEADER_ROUNDS = 4
 LABEL_ROUNDS = 5
 #: bands and rows of the further registers that split a bucket of several components; a pair at the threshold shares one with 0.92,
-#: one of 0.7 with 0.21, one of 0.6 with 0.01
-SPLIT_BANDS = 144
-SPLIT_ROWS = 18
+#: one of 0.7 with 0.16, one of 0.6 with 0.01
+SPLIT_BANDS = 216
+SPLIT_ROWS = 20
 
 
 def bags(column: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
