@@ -25,12 +25,18 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents in no recognisable language (no letter, or no language that stands out)."""
+    """Without documents in no recognisable language (no letter, or no language that stands out).
+
+    Every row is judged by its own text, repeated rows and rows without an id too.
+    """
     return language_crf.recognised(docs, language_crf.fit_documents(docs), MIN_LANGUAGE_SCORE)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go; a document of which nothing but white space is left goes with them."""
+    """Boilerplate lines go; a document of which nothing but white space is left goes with them.
+
+    Rows with one id are treated alike, rows without an id stay as they are.
+    """
     cleaned = line_spread.remove_spread_lines(docs)
     touched = F.col("n_removed") > 0
     kept = cleaned.where(~touched | (F.regexp_replace("text", r"\s+", "") != ""))
@@ -40,9 +46,16 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates; rows without an id stay."""
-    classes = bag_minhash.near_duplicates(docs)
-    return docs.join(classes.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest id of every group of near duplicates; rows without an id stay.
+
+    Of rows with the same id and text one stays.
+    """
+    classes = settled(bag_minhash.near_duplicates(docs), "classes")
+    kept = docs.join(classes.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti")
+    # seldom any: only those rows are compared by their texts
+    repeated = classes.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id")
+    copies = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(copies).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
