@@ -253,10 +253,10 @@ def _ml_logistic_odds(spark, sf_dir):
     , t AS (SELECT doc_id, CAST(('0x' || left(md5(unnest(terms)), 8))::BIGINT % 64 AS INTEGER) AS bucket FROM words)
     , counts AS (SELECT doc_id, bucket, count(*) AS tf FROM t GROUP BY doc_id, bucket)
     , frequency AS (SELECT bucket, count(*) AS df FROM counts GROUP BY bucket)
-    SELECT doc_id, bucket, tf, df, tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) AS tfidf FROM counts JOIN frequency USING (bucket)""",
+    SELECT doc_id, bucket, tf, df, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 9) AS tfidf FROM counts JOIN frequency USING (bucket)""",
 )
 def _tfidf_hashed(spark, sf_dir):
-    return preprocess.tfidf_hashed(t.table(spark, sf_dir, "documents"), "doc_id", "text")
+    return preprocess.tfidf_hashed(t.table(spark, sf_dir, "documents"), "doc_id", "text").withColumn("tfidf", F.round("tfidf", 9))
 
 
 @query(
