@@ -8,13 +8,15 @@ the end), its group of about ``GROUP`` units within the class, and the unit with
 is normalised over what it chooses from, and a rare token has its share of the rare tokens' counts, so
 probabilities of tokens add up to one.
 
-A model of the classes alone, fitted in numpy on class trigram counts, is where training starts. Every
-partition then takes its own tokens once, each occurrence one example, so steps grow with the corpus;
-the changes are averaged by unit, weighted by how often a partition trained it. So the weights depend
-slightly on how the input is cut into partitions.
-
-Scoring reads each text once. Weights and counts of the units travel to the tasks; rare tokens meet
-their counts in a join by token, in which no token is frequent.
+A model of the classes alone, fitted in numpy on class trigram counts, is where training starts. The
+documents are then dealt by a hash of id and content into parts of about ``PART_TOKENS`` tokens. Each
+part is taken in the order of the ids, each occurrence one example, so steps grow with the corpus; the
+changes are averaged by unit, weighted by how often a part trained it, and added in the order of the
+parts. So the weights are a property of the corpus and not of how Spark cuts the input.
+
+Texts are cut into tokens twice: to count them, and to write them as unit numbers once the lexicon is
+known; the trigram counts, training and scoring read those. Weights and counts of the units travel to
+the tasks; rare tokens meet their counts in a join by token, in which no token is frequent.
 """
 
 from __future__ import annotations
@@ -45,7 +47,10 @@ RATE = 0.1
 END = np.uint64(0x5DEECE66D2B79F1B)
 COUNT_BYTES = 2 << 20
 GROUP = 64
-#: examples of a step in a partition, noise of a step for each of class, group and unit, first step width
+#: tokens of a part of the training stream, and tokens that are mixed with each other within it
+PART_TOKENS = 8 << 20
+MIXED_TOKENS = 1 << 18
+#: examples of a step in a part, noise of a step for each of class, group and unit, first step width
 STREAM_BATCH = 2048
 STREAM_NOISE = (32, 32, 64)
 STREAM_RATE = 0.1
@@ -143,10 +148,11 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class Tree:
-    """Units and where they stand. Lexicon by code, then a rare unit for each shape, then the end."""
+    """Units and where they stand. Lexicon by falling count, then a rare unit for each shape, then the end."""
 
+    #: codes of the lexicon, ascending, and the unit of each
     codes: np.ndarray
-    counts: np.ndarray
+    unit_of: np.ndarray
     #: by unit: class, group, and mass (count, or what the rare tokens of a shape have together)
     classes: np.ndarray
     groups: np.ndarray
@@ -165,7 +171,7 @@ class Tree:
         if not len(self.codes):
             return rare
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where((self.codes[at] == codes) & (shapes >= 0), at, rare)
+        return np.where((self.codes[at] == codes) & (shapes >= 0), self.unit_of[at], rare)
 
     def context(self, units: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
         """The units two back and one back; before a text stand two ends."""
@@ -188,8 +194,8 @@ def tree(codes: np.ndarray, shapes: np.ndarray, counts: np.ndarray, shape_totals
     codes, shapes, counts = codes[words], shapes[words].astype(np.int64), counts[words]
     rank = np.arange(len(codes))
     classes = np.where(rank < OWN_CLASSES, rank, OWN_CLASSES + shapes)
-    by_code = np.argsort(codes.view(np.uint64))
-    codes, shapes, counts, classes = codes.view(np.uint64)[by_code], shapes[by_code], counts[by_code], classes[by_code]
+    codes = codes.view(np.uint64)
+    by_code = np.argsort(codes)
     n, v = (np.array([shape_totals.get(s, (0, 0))[k] for s in range(SHAPES)], np.float64) for k in (0, 1))
     rare = n - np.bincount(shapes, counts, SHAPES) + 0.1 * (v - np.bincount(shapes, minlength=SHAPES) + 1)
     classes = np.concatenate([classes, OWN_CLASSES + np.arange(SHAPES), [END_CLASS]])
@@ -204,7 +210,7 @@ def tree(codes: np.ndarray, shapes: np.ndarray, counts: np.ndarray, shape_totals
     groups = np.empty(len(order), np.int64)
     groups[order] = np.cumsum(new) - 1
     class_starts = np.searchsorted(classes[order][group_starts], np.arange(CLASSES + 1))
-    return Tree(codes, counts, classes, groups, mass, order, np.r_[group_starts, len(order)], class_starts)
+    return Tree(codes[by_code], by_code, classes, groups, mass, order, np.r_[group_starts, len(order)], class_starts)
 
 
 @dataclass
@@ -233,15 +239,25 @@ def network(shape: Tree, start: Weights) -> Network:
 
 
 def _grouped(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct ``at``, the sums of their ``rows``, and how many there were."""
-    sort = np.argsort(at, kind="stable")
-    ordered = at[sort]
+    """Distinct ``at``, the sums of their ``rows`` in the order given, and how many there were."""
+    bits = len(at).bit_length()
+    keys = (at << bits) | np.arange(len(at))  # plain values sort much faster than places
+    keys.sort()
+    ordered = keys >> bits
     first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    return ordered[first], np.add.reduceat(rows[sort], first), np.diff(np.r_[first, len(at)])
+    return ordered[first], np.add.reduceat(rows[keys & ((1 << bits) - 1)], first), np.diff(first, append=len(at))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), in place; an exponential beyond the range of floats gives 0."""
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1.0
+    return np.reciprocal(x, out=x)
 
 
 class Learner:
-    """Steps over the examples of one partition, from common weights; ``changes`` are what it moved."""
+    """Steps over the examples of one part, from common weights; ``changes`` are what it moved."""
 
     def __init__(self, shape: Tree, start: Network):
         self.shape, self.start = shape, start
@@ -259,32 +275,43 @@ class Learner:
 
     def _move(self, table: int, at: np.ndarray, rows: np.ndarray) -> None:
         found, slope, times = _grouped(at, rows)
-        square = self.squares[table]
-        square[found] += (slope * slope).mean(axis=1)
-        self.tables[table][found] -= STREAM_RATE * slope / np.sqrt(square[found])[:, None]
+        square = self.squares[table][found] + np.einsum("ij,ij->i", slope, slope) / np.float32(slope.shape[1])
+        self.squares[table][found] = square
+        slope *= (STREAM_RATE / np.sqrt(square))[:, None]
+        self.tables[table][found] -= slope
         self.times[table][found] += times
 
+    def _level(self, level: int, truth: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """Moves the outputs of one level towards the truth and away from noise; slopes of what was seen."""
+        outputs, bias, k = self.now.outputs[level], self.now.biases[level], STREAM_NOISE[level]
+        noise = np.minimum(np.searchsorted(self.running[level], self.random.random(k)), len(bias) - 1)
+        # the bias is the logarithm of the noise, so only log(k) of the offset is left
+        offset = np.float32(np.log(k))
+        true_rows, noise_rows = outputs[truth], outputs[noise]
+        up = _sigmoid(np.einsum("ij,ij->i", seen, true_rows) - offset)[:, None]
+        down = _sigmoid(offset - seen @ noise_rows.T)
+        slopes = down @ noise_rows
+        true_rows *= up
+        slopes -= true_rows
+        moved = np.empty((len(truth) + k, seen.shape[1]), np.float32)
+        np.multiply(seen, -up, out=moved[: len(truth)])
+        np.matmul(down.T, seen, out=moved[len(truth) :])
+        self._move(level + 1, np.concatenate([truth, noise]), moved)
+        return slopes
+
     def _step(self, context: list[np.ndarray], target: np.ndarray) -> None:
         now, shape = self.now, self.shape
         inputs = [now.vectors[c] for c in context]
-        hidden = sum(x @ p for x, p in zip(inputs, now.positions, strict=True))
-        d_hidden = np.zeros_like(hidden)
+        hidden = inputs[0] @ now.positions[0]
+        hidden += inputs[1] @ now.positions[1]
         classes = shape.classes[target]
+        d_hidden = self._level(0, classes, hidden)
         inner = np.flatnonzero((classes >= OWN_CLASSES) & (classes < END_CLASS))  # the others are alone in their class
-        for level, truth in enumerate((classes, shape.groups[target], self.rank[target])):
-            rows = slice(None) if level == 0 else inner
-            truth, seen = truth[rows], hidden[rows]
-            if not len(truth):
-                continue
-            outputs, bias, k = now.outputs[level], now.biases[level], STREAM_NOISE[level]
-            noise = np.minimum(np.searchsorted(self.running[level], self.random.random(k)), len(bias) - 1)
-            # the bias is the logarithm of the noise, so only log(k) of the offset is left
-            offset = np.float32(np.log(k))
-            true_rows, noise_rows = outputs[truth], outputs[noise]
-            up = -1.0 / (1.0 + np.exp(np.clip(np.einsum("ij,ij->i", seen, true_rows) - offset, -30, 30)))
-            down = 1.0 / (1.0 + np.exp(np.clip(offset - seen @ noise_rows.T, -30, 30)))
-            d_hidden[rows] += up[:, None] * true_rows + down @ noise_rows
-            self._move(level + 1, np.r_[truth, noise], np.concatenate([up[:, None] * seen, down.T @ seen]))
+        if len(inner):
+            seen, within = hidden[inner], target[inner]
+            d_seen = self._level(1, shape.groups[within], seen)
+            d_seen += self._level(2, self.rank[within], seen)
+            d_hidden[inner] += d_seen
         slopes = np.stack([x.T @ d_hidden for x in inputs])
         self._move(0, np.concatenate(context), np.concatenate([d_hidden @ p.T for p in now.positions]))
         self.square += slopes * slopes
@@ -323,35 +350,60 @@ def _added(rows: Iterator[tuple[int, int, bytes, bytes]]) -> dict[tuple[int, int
     return sums
 
 
-_CHANGES = pa.schema([("table", pa.int32()), ("block", pa.int32()), ("times", pa.binary()), ("moved", pa.binary())])
+_CHANGES = pa.schema([
+    ("part", pa.int64()), ("table", pa.int32()), ("block", pa.int32()), ("times", pa.binary()), ("moved", pa.binary()),
+])
 
 
-def _batches(rows: Iterator[tuple[int, int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+def _batches(part: int, rows: Iterator[tuple[int, int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
     for row in rows:
-        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _CHANGES, strict=True)], schema=_CHANGES)
+        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((part, *row), _CHANGES, strict=True)], schema=_CHANGES)
 
 
-def averaged(training: DataFrame, shared, start: Network) -> Network:
-    """``start`` moved by the changes of all partitions, by row weighted with the examples behind them."""
-    schema = "table int, block int, times binary, moved binary"
+def averaged(texts: DataFrame, parts: int, shared, start: Network) -> Network:
+    """``start`` moved by the changes of all parts, by row weighted with the examples behind them.
+
+    ``texts`` are rows of id and units. Rows alike in both teach the same, so their order is free.
+    """
+    schema = "part long, table int, block int, times binary, moved binary"
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learner = None
-        for piece in kernel.slices(batches, "_text", COUNT_BYTES):
-            learner = learner or Learner(*shared.value)
-            codes, shapes, rows = tokens(piece.column("_text"))
-            learner.learn(learner.shape.units(codes, shapes), rows)
+        part, learner, held, size = None, None, [], 0
+
+        def take() -> None:
+            nonlocal size
+            if held:
+                learner.learn(np.concatenate(held), np.repeat(np.arange(len(held)), [len(x) for x in held]))
+            held.clear()
+            size = 0
+
+        for piece in kernel.slices(batches, "_units", COUNT_BYTES):
+            units, counts = unpacked(piece.column("_units"))
+            for of, some in zip(piece.column("_part").to_pylist(), np.split(units, np.cumsum(counts)[:-1]), strict=True):
+                if of != part:
+                    if learner is not None:
+                        take()
+                        yield from _batches(part, learner.changes())
+                    part, learner = of, Learner(*shared.value)
+                held.append(some)
+                size += len(some)
+                if size >= MIXED_TOKENS:
+                    take()
         if learner is not None:
-            yield from _batches(learner.changes())
+            take()
+            yield from _batches(part, learner.changes())
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _added(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
-        yield from _batches((*key, n.astype(np.float32).tobytes(), x.astype(np.float32).tobytes()) for key, (n, x) in sums.items())
+        sums = _added(row[1:] for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        yield from _batches(0, ((*key, n.astype(np.float32).tobytes(), x.astype(np.float32).tobytes()) for key, (n, x) in sums.items()))
 
-    changes = training.select("_text").mapInArrow(learn, schema)
+    part = F.pmod(F.xxhash64("_id", "_units"), F.lit(parts))
+    dealt = texts.select(part.alias("_part"), "_id", "_units").repartitionById(parts, F.col("_part").cast("int"))
+    changes = dealt.sortWithinPartitions("_part", "_id", "_units").select("_part", "_units").mapInArrow(learn, schema)
+    sums = changes.repartition("table", "block").sortWithinPartitions("table", "block", "part").mapInArrow(add, schema)
     out = Network(start.vectors.copy(), start.positions.copy(), [x.copy() for x in start.outputs], start.biases)
     tables = [out.vectors, *out.outputs]
-    for r in changes.repartition("table", "block").mapInArrow(add, schema).collect():
+    for r in sums.collect():  # one row for each block of units at most
         n, x = np.frombuffer(r["times"], np.float32), np.frombuffer(r["moved"], np.float32)
         if r["table"] < 0:
             out.positions += x.reshape(out.positions.shape) / n[0]
@@ -361,31 +413,44 @@ def averaged(training: DataFrame, shared, start: Network) -> Network:
     return out
 
 
-def _choices(hidden: np.ndarray, parents: np.ndarray, chosen: np.ndarray, starts: np.ndarray, outputs: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Natural logarithms of choosing ``chosen`` among the children of each parent, which lie between its starts."""
-    out = np.zeros(len(parents), np.float32)
-    if not len(parents):
-        return out
-    sort = np.argsort(parents, kind="stable")
-    edges = np.flatnonzero(np.r_[True, parents[sort][1:] != parents[sort][:-1]])
-    for low, high in zip(edges, [*edges[1:], len(sort)], strict=True):
-        first, last = starts[parents[sort[low]] : parents[sort[low]] + 2]
-        if last - first > 1:
-            for at in range(low, high, 1 << 15):
-                some = sort[at : min(at + (1 << 15), high)]
-                scores = hidden[some] @ outputs[first:last].T + bias[first:last]
-                scores -= scores.max(axis=1, keepdims=True)
-                true = scores[np.arange(len(some)), chosen[some] - first]
-                out[some] = true - np.log(np.exp(scores).sum(axis=1))
+#: scores whose sum of products is bounded by this cannot leave the range of floats as exponentials
+SAFE = 80.0
+
+
+def _normalisers(hidden: np.ndarray, edges: np.ndarray, parents: np.ndarray, starts: np.ndarray, outputs: np.ndarray) -> np.ndarray:
+    """Logarithms of the sums over the children of each parent, which lie between its starts.
+
+    Rows between two edges have one parent. The last column of ``outputs`` is the bias, that of ``hidden`` is 1.
+    """
+    out = np.empty(len(hidden), np.float32)
+    longest = lambda x: float(np.sqrt(np.einsum("ij,ij->i", x, x).max(initial=0)))
+    safe = longest(hidden) * longest(outputs) < SAFE
+    for low, high, parent in zip(edges[:-1], edges[1:], parents, strict=True):
+        children = np.ascontiguousarray(outputs[starts[parent] : starts[parent + 1]].T)
+        ones = np.ones(children.shape[1], np.float32)
+        for at in range(low, high, 1 << 12):
+            scores = hidden[at : min(at + (1 << 12), high)] @ children
+            top = 0.0 if safe else scores.max(axis=1)
+            if not safe:
+                scores -= top[:, None]
+            np.exp(scores, out=scores)
+            out[at : at + len(scores)] = np.log(scores @ ones) + top
     return out
 
 
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of the runs of equal keys, and the key of each."""
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return np.r_[first, len(keys)], keys[first]
+
+
 @dataclass
 class Scorer:
-    """What the tasks need to score."""
+    """What the tasks need to score: input vectors by position, already moved, and outputs with their biases."""
 
     shape: Tree
-    weights: Network
+    moved: list[np.ndarray]
+    outputs: list[np.ndarray]
     rank: np.ndarray = field(repr=False)
 
     def log10(self, units: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -393,26 +458,63 @@ class Scorer:
         return self.log10_after(self.shape.context(units, rows), units)
 
     def log10_after(self, context: list[np.ndarray], units: np.ndarray) -> np.ndarray:
-        shape, w = self.shape, self.weights
-        hidden = w.hidden(context)
+        shape = self.shape
+        hidden = self.moved[0][context[0]]
+        hidden += self.moved[1][context[1]]
         classes = shape.classes[units]
-        root = np.zeros(len(units), np.int64)
-        out = _choices(hidden, root, classes, np.array([0, CLASSES]), w.outputs[0], w.biases[0])
-        inner = np.flatnonzero((classes >= OWN_CLASSES) & (classes < END_CLASS))
-        hidden, classes, groups, rank = hidden[inner], classes[inner], shape.groups[units[inner]], self.rank[units[inner]]
-        out[inner] += _choices(hidden, classes, groups, shape.class_starts, w.outputs[1], w.biases[1])
-        out[inner] += _choices(hidden, groups, rank, shape.group_starts, w.outputs[2], w.biases[2])
+        chosen = lambda h, level, at: np.einsum("ij,ij->i", h, self.outputs[level][at])
+        whole = np.array([0, len(units)])
+        out = chosen(hidden, 0, classes) - _normalisers(hidden, whole, np.zeros(1, int), np.array([0, CLASSES]), self.outputs[0])
+        # by group, and thereby by class; the others are alone in their class
+        groups = shape.groups[units]
+        sort = np.argsort(groups.astype(np.uint16) if len(shape.group_starts) < 1 << 16 else groups, kind="stable")
+        inner = sort[(classes[sort] >= OWN_CLASSES) & (classes[sort] < END_CLASS)]
+        hidden, classes, groups, rank = hidden[inner], classes[inner], groups[inner], self.rank[units[inner]]
+        within = chosen(hidden, 1, groups) + chosen(hidden, 2, rank)
+        within -= _normalisers(hidden, *_runs(classes), shape.class_starts, self.outputs[1])
+        within -= _normalisers(hidden, *_runs(groups), shape.group_starts, self.outputs[2])
+        out[inner] += within
         return out.astype(np.float64) / np.log(10)
 
 
 def scorer(shape: Tree, weights: Network) -> Scorer:
     rank = np.empty(len(shape.order), np.int64)
     rank[shape.order] = np.arange(len(shape.order))
-    return Scorer(shape, weights, rank)
+    # the constant 1 of the biases comes with the nearer position
+    moved = [np.c_[weights.vectors @ p, np.full(len(weights.vectors), k, np.float32)] for k, p in enumerate(weights.positions)]
+    return Scorer(shape, moved, [np.c_[o, b].astype(np.float32) for o, b in zip(weights.outputs, weights.biases, strict=True)], rank)
+
+
+def packed(units: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The units of each row in bytes: their low halves, then what is above them, which is mostly 0."""
+    sizes = np.zeros(len(counts) + 1, np.int32)
+    np.cumsum(counts * 3, out=sizes[1:])
+    low = np.repeat(sizes[:-1] - 2 * (np.cumsum(counts) - counts), counts) + 2 * np.arange(len(units))
+    high = np.repeat(sizes[:-1] + 2 * counts - (np.cumsum(counts) - counts), counts) + np.arange(len(units))
+    body = np.empty(3 * len(units), np.uint8)
+    body[low], body[low + 1], body[high] = units & 255, units >> 8 & 255, units >> 16
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(sizes), pa.py_buffer(body)])
+
 
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What a binary column lies in, and where each row starts and ends in that."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    return np.frombuffer(data, np.uint8), np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
 
-def _map(df: DataFrame, function, schema: str, limit: int) -> DataFrame:
-    return kernel.arrow_map(df, function, T._parse_datatype_string(schema), "_text", limit)
+
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The units of all rows end to end, and how many each row has."""
+    body, offsets = _bytes(column)
+    counts = np.diff(offsets) // 3
+    before = np.cumsum(counts) - counts
+    low = np.repeat(offsets[:-1] - 2 * before, counts) + 2 * np.arange(counts.sum())
+    high = np.repeat(offsets[:-1] + 2 * counts - before, counts) + np.arange(counts.sum())
+    return body[low].astype(np.int64) | body[low + 1].astype(np.int64) << 8 | body[high].astype(np.int64) << 16, counts
+
+
+def _map(df: DataFrame, function, schema: str, limit: int, column: str = "_text") -> DataFrame:
+    return kernel.arrow_map(df, function, T._parse_datatype_string(schema), column, limit)
 
 
 def _token_counts(training: DataFrame) -> DataFrame:
@@ -427,14 +529,34 @@ def _token_counts(training: DataFrame) -> DataFrame:
     return found.groupBy("token").agg(F.min("shape").alias("shape"), F.sum("n").alias("c"))
 
 
-def _trigram_counts(training: DataFrame, shared) -> DataFrame:
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _in_units(source: DataFrame, shared) -> DataFrame:
+    """The units of every text, and the codes of its rare tokens in order."""
+    kind = source.schema["_id"].dataType.simpleString()
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         shape = shared.value
         codes, shapes, rows = tokens(batch.column("_text"))
-        cells, n = np.unique(shape.cells(shape.units(codes, shapes), rows), return_counts=True)
+        units = shape.units(codes, shapes)
+        rare = (units >= len(shape.codes)) & (units < shape.end)
+        ends = np.zeros(batch.num_rows + 1, np.int32)
+        np.cumsum(8 * np.bincount(rows[rare], minlength=batch.num_rows), out=ends[1:])
+        spelled = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(codes[rare])])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("_id"), batch.column("_train"), packed(units, np.bincount(rows, minlength=batch.num_rows)), spelled],
+            names=["_id", "_train", "_units", "_rare"],
+        )
+
+    return _map(source, cut, f"_id {kind}, _train boolean, _units binary, _rare binary", COUNT_BYTES)
+
+
+def _trigram_counts(training: DataFrame, shared) -> DataFrame:
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        units, counts = unpacked(batch.column("_units"))
+        cells, n = np.unique(shared.value.cells(units, np.repeat(np.arange(len(counts)), counts)), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], names=["cell", "n"])
 
-    return _map(training.select("_text"), count, "cell long, n long", COUNT_BYTES).groupBy("cell").agg(F.sum("n").alias("n"))
+    found = _map(training.select("_units"), count, "cell long, n long", COUNT_BYTES, "_units")
+    return found.groupBy("cell").agg(F.sum("n").alias("n"))
 
 
 def _columns(df: DataFrame) -> list[np.ndarray]:
@@ -463,11 +585,14 @@ def scored(docs: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str
                     counts.groupBy("shape").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     codes, shapes, c = _columns(counts.orderBy(F.desc("c"), "token").limit(LEXICON))
     shape = tree(codes, shapes, c, shape_totals)
-    cells, n = _columns(_trigram_counts(training, spark.sparkContext.broadcast(shape)))  # CLASSES**3 cells at most
+    shared_tree = spark.sparkContext.broadcast(shape)
+    texts = settled(_in_units(source, shared_tree), "units")
+    known = texts.where("_train")
+    cells, n = _columns(_trigram_counts(known, shared_tree))  # CLASSES**3 cells at most
     by_cell = np.argsort(cells)
     start = network(shape, train(cells[by_cell], n[by_cell]))
     # LEXICON units at most, here and below
-    weights = averaged(training, spark.sparkContext.broadcast((shape, start)), start) if total else start
+    weights = averaged(known, -(-total // PART_TOKENS), spark.sparkContext.broadcast((shape, start)), start) if total else start
     shared_full = spark.sparkContext.broadcast(scorer(shape, weights))
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -476,20 +601,22 @@ def scored(docs: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
         scorer = shared_full.value
         shape = scorer.shape
-        codes, shapes, rows = tokens(batch.column("_text"))
+        units, counts = unpacked(batch.column("_units"))
         count = batch.num_rows
-        units = shape.units(codes, shapes)
+        rows = np.repeat(np.arange(count), counts)
         share = scorer.log10(units, rows)
         rare = (units >= len(shape.codes)) & (units < shape.end)
         # without training rows the end is unknown as well
-        frequent = ~rare & ((shapes >= 0) | (shape.mass[shape.end] > 1))
+        frequent = ~rare & ((units != shape.end) | (shape.mass[shape.end] > 1))
         share[rare] -= np.log10(shape.mass[units[rare]])
-        logs = np.zeros(len(codes))
+        logs = np.zeros(len(units))
         logs[~rare] = np.log10(shape.mass[units[~rare]])
         total = lambda x: np.bincount(rows, x, count)
         # rare tokens of a text with their number in it
-        sort = np.lexsort((codes[rare], rows[rare]))
-        token, row = codes[rare][sort], rows[rare][sort]
+        spelled, places = _bytes(batch.column("_rare"))
+        codes = spelled[places[0] : places[-1]].copy().view(np.uint64)
+        sort = np.lexsort((codes, rows[rare]))
+        token, row = codes[sort], rows[rare][sort]
         first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (row[1:] != row[:-1])]) if len(token) else np.zeros(0, int)
         times = np.diff([*first, len(token)])
         uid = batch.column("_uid")
@@ -507,7 +634,8 @@ def scored(docs: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str
             pa.array(np.concatenate([total(share), zeros])), pa.array(np.concatenate([total(logs), zeros])),
         ], names=["_uid", "_id", "token", "n", "n_tokens", "n_known", "model", "logs"])
 
-    rows = _map(source.select(F.monotonically_increasing_id().alias("_uid"), "_id", "_text"), score, schema, COUNT_BYTES)
+    numbered = texts.select(F.monotonically_increasing_id().alias("_uid"), "_id", "_units", "_rare")
+    rows = _map(numbered, score, schema, COUNT_BYTES, "_units")
     own_logs = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))
     joined = rows.join(counts.select("token", "c"), "token", "left")
     found = joined.groupBy("_uid").agg(

@@ -91,3 +91,59 @@ def test_units_add_up_to_one_and_examples_grow():
     for context in ((3, 5), (shape.end, shape.end), (600, 710)):
         found = bilinear_lm.scorer(shape, learner.now).log10_after([np.full(len(units), c) for c in context], units)
         assert abs((10**found).sum() - 1) < 1e-4
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    """Several parts on 2 and on 12 partitions, in another order of rows, with repeated rows and one id of two texts."""
+    monkeypatch.setattr(bilinear_lm, "LEXICON", 400)
+    monkeypatch.setattr(bilinear_lm, "STEPS", 50)
+    monkeypatch.setattr(bilinear_lm, "PART_TOKENS", 9000)
+    monkeypatch.setattr(bilinear_lm, "MIXED_TOKENS", 2000)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(120).collect()]
+    rows += [*rows[:3], (rows[0][0], "another text of the first id"), (None, None)]
+    found = []
+    for partitions, some in ((2, rows), (12, rows[::-1])):
+        docs = spark.createDataFrame(some, "doc_id long, text string").repartition(partitions)
+        scored = bilinear_lm.scored(docs, F.crc32(F.col("doc_id").cast("string")) % 10 != 0)
+        found.append(sorted((r.doc_id or -1, r.n_tokens, r.base_score, r.score) for r in scored.collect()))
+    for one, other in zip(*found, strict=True):
+        assert one[:2] == other[:2] and abs(one[2] - other[2]) < 1e-6 and abs(one[3] - other[3]) < 1e-6 * one[1]
+
+
+def test_units_survive_packing():
+    counts = np.array([0, 3, 1, 0, 4])
+    units = np.array([0, 255, 256, 65535, 65536, 131071, 131104, 7])
+    column = bilinear_lm.packed(units, counts)
+    back, sizes = bilinear_lm.unpacked(column)
+    assert back.tolist() == units.tolist() and sizes.tolist() == counts.tolist()
+    back, sizes = bilinear_lm.unpacked(column.slice(1, 2))
+    assert back.tolist() == units[:4].tolist() and sizes.tolist() == [3, 1]
+
+
+def test_scores_equal_a_plain_loop():
+    """Every step of the tree in doubles, one token after another, with scores within and beyond the safe range."""
+    random = np.random.default_rng(4)
+    codes = random.integers(1, 1 << 62, 400)
+    shapes, counts = random.integers(0, bilinear_lm.SHAPES, 400), np.sort(random.integers(1, 500, 400))[::-1]
+    totals = {s: (int(counts[shapes == s].sum()) + 40, int((shapes == s).sum()) + 9) for s in range(bilinear_lm.SHAPES)}
+    shape = bilinear_lm.tree(codes, shapes, counts, {**totals, -1: (30, 1)})
+    start = bilinear_lm.network(shape, bilinear_lm.train(np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    for scale in (0.3, 8.0):
+        for outputs in start.outputs:
+            outputs[:] = random.normal(0, scale, outputs.shape)
+        start.vectors[:] = random.normal(0, scale, start.vectors.shape)
+        scorer = bilinear_lm.scorer(shape, start)
+        units, rows = random.integers(0, shape.end + 1, 300), np.sort(random.integers(0, 9, 300))
+        found = scorer.log10(units, rows)
+        for k, unit in enumerate(units):
+            before = [units[k - d] if k >= d and rows[k - d] == rows[k] else shape.end for d in (2, 1)]
+            hidden = sum(start.vectors[b].astype(float) @ p for b, p in zip(before, start.positions, strict=True))
+            of, rank = shape.classes[unit], int(np.flatnonzero(shape.order == unit)[0])
+            steps = [(0, of, range(bilinear_lm.CLASSES)), (1, shape.groups[unit], range(*shape.class_starts[of : of + 2])),
+                     (2, rank, range(*shape.group_starts[shape.groups[unit] :][:2]))]
+            plain = 0.0
+            for level, choice, among in steps:
+                scores = {j: hidden @ start.outputs[level][j] + start.biases[level][j] for j in among}
+                top = max(scores.values())
+                plain += (scores[choice] - top - math.log(sum(math.exp(x - top) for x in scores.values()))) / math.log(10)
+            assert abs(plain - found[k]) < 1e-4 * max(1.0, abs(plain))
