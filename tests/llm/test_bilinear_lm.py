@@ -134,8 +134,8 @@ def test_scores_equal_a_plain_loop():
             outputs[:] = random.normal(0, scale, outputs.shape)
         start.vectors[:] = random.normal(0, scale, start.vectors.shape)
         scorer = bilinear_lm.scorer(shape, start)
-        longest = [max(np.linalg.norm(x, axis=1)) for x in (scorer.moved[0] + scorer.moved[1], scorer.outputs[2])]
-        assert (longest[0] * longest[1] < bilinear_lm.SAFE) == (scale < 1)
+        highest = (scorer.moved[0] + scorer.moved[1]) @ scorer.outputs[2].T
+        assert (highest.max() < math.log(bilinear_lm.LARGE)) == (scale < 1)
         units, rows = random.integers(0, shape.end + 1, 300), np.sort(random.integers(0, 9, 300))
         found = scorer.log10(units, rows)
         for k, unit in enumerate(units):
