@@ -131,9 +131,8 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends, rows = kernel.words(body, offsets, kernel.SOLID)
     count = len(offsets) - 1
     codes = kernel.word_hashes(body, starts, ends)
-    wide = body.astype(np.uint32)
-    last = wide[ends - 1] if len(ends) else np.zeros(0, np.uint32)
-    prior = np.where(ends - starts > 1, wide[ends - 2] if len(ends) else 0, 0).astype(np.uint32)
+    last = body[ends - 1].astype(np.uint32) if len(ends) else np.zeros(0, np.uint32)
+    prior = np.where(ends - starts > 1, body[ends - 2] if len(ends) else 0, 0).astype(np.uint32)
     with np.errstate(over="ignore"):
         shapes = (((last << np.uint32(8)) | prior) * np.uint32(2654435761) >> np.uint32(16)) % np.uint32(SHAPES)
     # word k of row r moves r places back, behind the ends of the rows before
@@ -509,7 +508,8 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """What a binary column lies in, and where each row starts and ends in that."""
     column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
-    return np.frombuffer(data, np.uint8), np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    body = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return body, np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
 
 
 def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -529,9 +529,11 @@ def _map(df: DataFrame, function, schema: str, limit: int, column: str = "_text"
 def _token_counts(training: DataFrame) -> DataFrame:
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         codes, shapes, _ = tokens(batch.column("_text"))
-        found, first, n = np.unique(codes, return_index=True, return_counts=True)
+        sort = np.argsort(codes)
+        ends, found = _runs(codes.take(sort))
+        shape = shapes[sort[ends[:-1]]].astype(np.int32)  # all places of a token have its shape
         return pa.RecordBatch.from_arrays(
-            [pa.array(found.view(np.int64)), pa.array(shapes[first].astype(np.int32)), pa.array(n)], names=["token", "shape", "n"]
+            [pa.array(found.view(np.int64)), pa.array(shape), pa.array(np.diff(ends))], names=["token", "shape", "n"]
         )
 
     found = _map(training.select("_text"), count, "token long, shape int, n long", COUNT_BYTES)
@@ -624,8 +626,10 @@ def scored(docs: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str
         # rare tokens of a text with their number in it
         spelled, places = _bytes(batch.column("_rare"))
         codes = spelled[places[0] : places[-1]].copy().view(np.uint64)
-        sort = np.lexsort((codes, rows[rare]))
-        token, row = codes[sort], rows[rare][sort]
+        of = rows[rare]
+        with np.errstate(over="ignore"):
+            sort = np.argsort(codes + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        token, row = codes[sort], of[sort]
         first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (row[1:] != row[:-1])]) if len(token) else np.zeros(0, int)
         times = np.diff([*first, len(token)])
         uid = batch.column("_uid")

@@ -44,6 +44,8 @@ def test_nothing_to_learn_from(spark):
     found = bilinear_lm.scored(docs, F.crc32(F.col("doc_id").cast("string")) % 10 != 0).collect()
     assert sorted(r.n_tokens for r in found) == [1, 3] and {(r.n_known, r.train_tokens) for r in found} == {(0, 0)}
     assert bilinear_lm.scored(docs.limit(0), F.lit(True)).count() == 0
+    blank = spark.createDataFrame([(1, None), (2, " "), (2, None)], "doc_id long, text string")
+    assert {(r.n_tokens, r.n_known, r.train_tokens) for r in bilinear_lm.scored(blank, F.lit(True)).collect()} == {(1, 1, 3)}
 
 
 def test_training_finds_a_pattern_and_probabilities_add_up():
