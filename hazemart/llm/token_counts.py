@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from hazemart.llm import kernel
 
-CACHED_PIECES = 400_000
+#: what a task remembers: so many pieces of at most so many characters, and so many pairs of tokens; the rest is counted anew
+CACHED_PIECES, CACHED_LENGTH, CACHED_PAIRS = 400_000, 64, 400_000
 
 # White space as the tokenizer's pattern has it (fixed values).
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -108,7 +109,7 @@ class PrefixCounter:
         """Whether ``left`` and ``right`` stand side by side unmerged."""
         found = self._pairs.get((left, right))
         if found is None:
-            if len(self._pairs) > 4 * CACHED_PIECES:
+            if len(self._pairs) >= CACHED_PAIRS:
                 self._pairs.clear()
             found = self._pairs[left, right] = self._merged(left + right) == ([left, right] if left else [right])
         return found
@@ -177,16 +178,18 @@ class PrefixCounter:
 
 
 class _Totals(dict):
-    """Token count per piece; emptied when full, so a task's memory is bounded."""
+    """Token count per piece; long pieces are not kept and it is emptied when full, so a task's memory is bounded."""
 
     def __init__(self, counter: PrefixCounter):
         super().__init__()
         self._counter = counter
 
     def __missing__(self, piece: str) -> int:
-        if len(self) >= CACHED_PIECES:
-            self.clear()
-        total = self[piece] = self._counter.piece_prefixes(piece)[-1]
+        total = self._counter.piece_prefixes(piece)[-1]
+        if len(piece) <= CACHED_LENGTH:
+            if len(self) >= CACHED_PIECES:
+                self.clear()
+            self[piece] = total
         return total
 
 

@@ -62,3 +62,13 @@ def test_stored_prefixes(spark, library):
     assert rows[1].ends[-1] == len("one two  three") and rows[1].tokens[-1] == library("one two  three")
     assert (rows[2].ends, rows[2].tokens) == ([0], [0])
     assert docs.where(F.col("doc_id") > 9).count() == 0
+
+
+def test_what_a_task_remembers_is_bounded(library, monkeypatch):
+    monkeypatch.setattr(token_counts, "CACHED_PIECES", 5)
+    monkeypatch.setattr(token_counts, "CACHED_PAIRS", 7)
+    counter = token_counts.PrefixCounter(PATH)
+    text = "several words of which most are new to the counter " + "x" * 300 + " and again several words " + "ab" * 200
+    assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids)
+    assert len(counter._totals) <= 5 and len(counter._pairs) <= 7
+    assert max(map(len, counter._totals)) <= token_counts.CACHED_LENGTH
