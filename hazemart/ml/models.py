@@ -24,7 +24,7 @@ from hazemart import config
 from hazemart.config import ModelSettings
 from hazemart.ml import clusters as clustering
 from hazemart.ml import metrics as measures
-from hazemart.ml.preprocess import as_doubles, in_training_share, require_known_values, row_key, supervised_stages
+from hazemart.ml.preprocess import as_doubles, in_training_share, row_key, supervised_stages, unknown_columns
 from hazemart.session import settled
 
 TEXT_PREFIX = "text_tfidf_"
@@ -75,9 +75,8 @@ def fit_task(task: str, data: DataFrame, settings: ModelSettings) -> TaskResult:
     """Fit every model of the task on the training rows, measure it on the others."""
     train = data.where("split = 'train'")
     test = data.where("split = 'test'")
-    require_known_values(train, settings.features)
     # imputer, text weights and assembler are the same for every model: fitted and applied once
-    prepare = Pipeline(stages=supervised_stages(settings)).fit(train)
+    prepare = Pipeline(stages=supervised_stages(settings, unknown=unknown_columns(train, settings.features))).fit(train)
     train_vectors = prepare.transform(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     test_vectors = prepare.transform(test).select("features", "label")
     result = TaskResult(task, {})

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import Tokenizer
 from pyspark.sql import functions as F
@@ -38,6 +39,44 @@ def test_empty_column_is_named(spark):
         preprocess.require_known_values(df, ["a", "b"])
 
 
+def test_column_without_values_has_no_influence(spark):
+    """Its rows are scored as if the column were not there, also where a later row has a value."""
+    data = [(float(i), None, float(i % 5), None if i % 9 == 0 else i * 2.0) for i in range(60)]
+    table = spark.createDataFrame(data, "a double, b double, c double, label double")
+    with pytest.warns(UserWarning, match=": b"):
+        stages = preprocess.imputing_stages(["a", "b", "c"], "_x", preprocess.unknown_columns(table, ["a", "b", "c"]))
+    later = table.withColumn("b", F.lit(7.0))
+    filled = Pipeline(stages=stages).fit(table).transform(later)
+    assert {tuple(r) for r in filled.select("a_x", "b_x", "c_x").collect()} == {(r[0], 0.0, r[2]) for r in data}
+    with pytest.warns(UserWarning, match=": b"):
+        (only,) = preprocess.imputing_stages(["b"], "_x", ["b"])
+    assert {r.b_x for r in only.transform(table).collect()} == {0.0}
+
+
+def test_models_without_any_value_of_a_feature(spark):
+    """Classes, regressions and clusters of readings whose humidity is never known."""
+    at = F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit("2026-04-01").cast("timestamp"))
+    nothing = F.lit(None).cast("double")
+    features = spark.range(240).select(
+        F.lit(1).alias("site_id"), at.alias("timestamp"), F.to_date(at).alias("date"), F.hour(at).alias("hour"), F.month(at).alias("month"),
+        (F.col("id") % 24 * 10).cast("double").alias("aqi"), F.col("id").cast("double").alias("pm25"), F.col("id").cast("double").alias("pm10"),
+        F.when(F.col("id") % 24 > 11, 1).otherwise(0).alias("is_pollution_peak"), nothing.alias("weather_humidity"),
+        *[(F.col("id") % n).cast("double").alias(c) for n, c in enumerate(("weather_temperature", "precipitation", "snowfall", "surface_pressure", "wind_speed", "wind_direction"), 2)],
+        F.lit(0).alias("nmu_severity"), F.lit(0).alias("is_nmu"), F.lit("").alias("announcement_text"),
+    )
+    settings = ModelSettings(trees=3, depth=3, logistic_iterations=5)
+    for task, label in (("regression", "aqi"), ("classification", "is_pollution_peak")):
+        result = models.fit_task(task, models.labelled(features, label, settings), settings)
+        forest = result.models["random_forest"].stages[-1]
+        assert forest.numFeatures == len(settings.features) + settings.text_dims
+        assert forest.featureImportances[settings.features.index("weather_humidity")] == 0.0
+        assert result.models["random_forest"].transform(features).where("prediction IS NOT NULL").count() == 240
+    clustered = clusters.assign_clusters(clusters.fit_clusters(features, settings), features, settings)
+    assert clusters.cluster_points(clustered).count() == 240
+    profile = clusters.cluster_profile(clustered).collect()
+    assert sum(r.rows_count for r in profile) == 240 and {r.avg_weather_humidity for r in profile} == {None}
+
+
 def test_standardize(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (6.0, 5.0)], "a double, b double")
     found = preprocess.standardize(df, ["a", "b"]).orderBy("a").collect()
