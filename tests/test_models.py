@@ -194,6 +194,31 @@ def test_nearest_centre_over_blocks(spark):
         assert found.columns == ["k", "j", "nearest"] and {(r.k, r.j): r.nearest for r in found.collect()} == wanted
 
 
+def test_nearest_centre_of_odd_vectors(spark):
+    """As the column expression decides: NaN beyond infinity, missing components and other lengths are not compared."""
+    inf, nan = float("inf"), float("nan")
+    centres = [(3, [0.0, 0.0]), (1, [0.1, 0.2]), (2, [inf, 0.0]), (9, [1.0]), (4, [None, 1.0]), (5, None), (0, [nan, 5.0])]
+    odd = [[0.1, 0.2], [inf, 0.0], [-inf, 0.0], [nan, 1.0], [None, 1.0], [7.0], [], None, [1e300, 0.0], [1e200, 1e200], [0.05, 0.1], [3.0, 4.0, 5.0]]
+    vectors = spark.createDataFrame(list(enumerate(odd)), "k int, v array<float>")
+    places = spark.createDataFrame(centres, "g int, centre array<double>")
+    distances = clusters.centre_distances(F.col("v"), F.array(F.col("centre")))[0]
+    pairs = vectors.crossJoin(places).withColumn("d", distances)
+    expected = pairs.groupBy("k").agg(F.min(F.when(F.col("d").isNotNull(), F.struct("d", "g")))["g"].alias("n")).collect()
+    for block in (2, 256):
+        found = clusters.nearest_of(vectors, ["k"], "v", places, "g", "n", block)
+        assert {r.k: r.n for r in found.collect()} == {r.k: r.n for r in expected}
+
+
+def test_nearest_centre_compares_arrays(spark):
+    """Distances are not evaluated by a column expression per vector and centre."""
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(2100)], "k int, v array<double>")
+    places = spark.createDataFrame([(g, [g * 3.0, 1.0]) for g in range(700)], "g int, centre array<double>")
+    found = clusters.nearest_of(vectors, ["k"], "v", places, "g", "n")
+    assert {(r.k, r.n) for r in found.collect()} == {(i, min(699, (i + 1) // 3)) for i in range(2100)}
+    plan = found._jdf.queryExecution().toString()
+    assert "zip_with" not in plan and "MapInArrow" in plan
+
+
 def test_hashed_vectors_fill_empty_buckets(spark):
     docs = spark.createDataFrame([(1, "a a b"), (2, ""), (3, "b")], "k int, text string")
     weights = preprocess.tfidf_hashed(docs, "k", "text", 8)
