@@ -9,7 +9,8 @@ shingles have none and cost one hash.
 
 Signatures are banded. Exact copies are one class and enter once. Every text is compared with the leader
 of each of its buckets, and texts still apart with further leaders, so a bucket of near copies costs a
-multiple of its size. Buckets that then still hold several components are split: their texts get further, independent
+multiple of its size. Buckets that then still hold several components are split. Texts that have too few shingles in common with
+all texts of other components there can link with none of them and are left out, which is exact. The others get further, independent
 registers and many more, longer bands, in which texts well below the threshold seldom meet. Only texts of different
 components that share one of those are compared pair by pair. Every candidate is verified by the exact multiset overlap.
 """
@@ -41,6 +42,8 @@ LABEL_ROUNDS = 5
 #: one of 0.7 with 0.16, one of 0.6 with 0.01
 SPLIT_BANDS = 216
 SPLIT_ROWS = 20
+#: steps of length, below and above that of a text, in which what it shares is bounded
+LENGTH_STEPS = 5
 
 
 def bags(column: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -188,6 +191,50 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
     return both.mapInArrow(verify, schema)
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The texts (_id, component) of the buckets that hold several components."""
+    mixed = placed.groupBy("_bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(F.col("low") < F.col("high"))
+    return placed.join(mixed.select("_bucket"), "_bucket", "left_semi").groupBy("_id").agg(F.first("component").alias("component"))
+
+
+def _linkable(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The ids of ``texts`` (_id, component, _text) without those that can reach ``similarity`` with no text of another component.
+
+    A text of n shingles and one of m share s / (1 + s) * (n + m) of them at least, and m lies between s * n and n / s. What a
+    text has in common with any text of m shingles occurs in several components and in a text no longer than m, so
+    the sum of such shingles bounds it; m is tried in steps. No pair that reaches the similarity is lost.
+    """
+    kind = texts.schema["_id"].dataType
+    schema = T.StructType([
+        T.StructField("_id", kind), T.StructField("component", kind), T.StructField("_size", T.LongType()),
+        T.StructField("_item", T.LongType()), T.StructField("_times", T.LongType()),
+    ])
+
+    def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
+        owner, items, counts, _, _ = bags(batch.column("_text"), width)
+        size = np.bincount(owner, counts, batch.num_rows).astype(np.int64)
+        of = pa.array(owner)
+        return pa.RecordBatch.from_arrays([
+            batch.column("_id").take(of), batch.column("component").take(of), pa.array(size[owner]),
+            pa.array(items.view(np.int64)), pa.array(np.asarray(counts, np.int64)),
+        ], names=schema.names)
+
+    items = settled(kernel.arrow_map(texts, spread, schema, "_text"), "shingles")
+    common = items.groupBy("_item").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("_size").alias("_least")
+    ).where(F.col("low") < F.col("high")).select("_item", "_least")
+    edges = [similarity ** (1 - k / LENGTH_STEPS) for k in range(2 * LENGTH_STEPS + 1)]
+    # the last step takes its upper edge
+    ends = [*edges[1:-1], edges[-1] * (1 + 1e-9)]
+    reach = items.join(common, "_item").groupBy("_id").agg(
+        F.first("_size").alias("_size"),
+        *[F.sum(F.when(F.col("_least") < F.col("_size") * end, F.col("_times"))).alias(f"r{k}") for k, end in enumerate(ends)],
+    )
+    share = similarity / (1 + similarity) * (1 - 1e-9)
+    able = [F.col(f"r{k}") >= F.col("_size") * ((1 + edge) * share) for k, edge in enumerate(edges[:-1])]
+    return reach.where(F.greatest(*[F.coalesce(a, F.lit(False)) for a in able])).select("_id")
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, per_band: int = ROWS,
     id_col: str = "doc_id", text_col: str = "text",
@@ -233,10 +280,11 @@ def near_duplicates(
         more = settled(_verified(pairs, texts, width, similarity).union(links).distinct(), "verified")
         release(placed, links)
         links = more
-    # what is still apart within a bucket meets again in longer bands of further registers
+    # what is still apart within a bucket meets again in longer bands of further registers, without the texts that share too little
     placed = _placed(members.select("_bucket", "_id"), links)
-    mixed = placed.groupBy("_bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(F.col("low") < F.col("high"))
-    open_ = placed.join(mixed.select("_bucket"), "_bucket", "left_semi").groupBy("_id").agg(F.first("component").alias("component"))
+    apart = texts.join(_mixed(placed), "_id").select("_id", "component", "_text")
+    linkable = settled(_linkable(apart, width, similarity), "linkable")
+    open_ = settled(_mixed(placed.join(linkable, "_id", "left_semi")), "open")
     again = _features(texts.join(open_, "_id", "left_semi").select("_id", "_text"), width, SPLIT_BANDS, SPLIT_ROWS, family=1)
     split = settled(again.select("_id", F.explode("_bands").alias("_bucket")).join(open_, "_id"), "split")
     crowded = split.groupBy("_bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(F.col("low") < F.col("high"))
@@ -245,7 +293,7 @@ def near_duplicates(
     right = several.select("_bucket", F.col("_id").alias("leader"), F.col("component").alias("right"))
     pairs = left.join(right, "_bucket").where((F.col("member") > F.col("leader")) & (F.col("left") != F.col("right"))).drop("_bucket")
     more = settled(_verified(pairs, texts, width, similarity).union(links).distinct(), "verified")
-    release(placed, links, split)
+    release(placed, links, linkable, open_, split)
     final = components(more).withColumnRenamed("node", "_class")
     placed = copies.select("_id", "_class").distinct().join(final, "_class", "left").select(
         "_id", F.coalesce("component", "_class").alias("class_id")

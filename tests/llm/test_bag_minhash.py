@@ -126,3 +126,44 @@ def test_a_drifting_chain_is_one_class(spark):
         rows.append((n, " ".join(current)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(docs).collect()} == classes(rows)
+
+
+def test_texts_that_share_too_little_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Many texts just below the threshold of a text and of each other; a pair at the threshold among them is still found."""
+    draw = random.Random(11)
+    base = [f"b{n}" for n in range(150)]
+    rows = [(0, " ".join(base))]
+    for n in range(1, 121):  # 4 of 150 words changed: 20 of 146 shingles, 0.76 of the base, about 0.6 of each other
+        words = list(base)
+        for k in draw.sample(range(5, 145, 10), 4):
+            words[k] = f"x{n}-{k}"
+        rows.append((n, " ".join(words)))
+    words = rows[60][1].split()
+    rows.append((200, " ".join(words[:-14])))  # shorter by 14: 132 of 146
+    rows.append((201, " ".join(["y", *words[1:]])))
+    compared = []
+    verified = bag_minhash._verified
+    monkeypatch.setattr(bag_minhash, "_verified", lambda pairs, *rest: (compared.append(pairs.distinct().count()), verified(pairs, *rest))[1])
+    found = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == classes(rows)
+    assert len(set(found.values())) > 100
+    assert compared[-1] < 10
+
+
+def test_no_link_is_left_out_for_what_texts_share(spark):
+    draw = random.Random(12)
+    vocabulary = [f"w{n}" for n in range(30)]
+    base = [[draw.choice(vocabulary) for _ in range(60)] for _ in range(4)]
+    rows = []
+    for n in range(120):
+        words = list(draw.choice(base))
+        for _ in range(draw.randint(0, 4)):
+            words[draw.randrange(len(words))] = draw.choice(vocabulary)
+        rows.append((n, " ".join(words[: draw.randint(45, 60)] + words[:5] * draw.randint(0, 3))))
+    bags = {i: bag(t) for i, t in rows}
+    # components as they may stand: some of what is linked is already one
+    component = {i: i if i % 3 else 0 for i in bags}
+    frame = spark.createDataFrame([(i, component[i], t) for i, t in rows], "_id long, component long, _text string")
+    kept = {r["_id"] for r in bag_minhash._linkable(frame, 5, 0.8).collect()}
+    wanted = {a for a in bags for b in bags if component[a] != component[b] and similarity(bags[a], bags[b]) >= 0.8}
+    assert wanted and wanted <= kept < set(bags)
