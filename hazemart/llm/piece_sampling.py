@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import functools
 import heapq
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -105,7 +105,10 @@ def vocabulary(path: str) -> Vocabulary:
 
 @dataclass
 class Lattice:
-    """Edges sorted by start; a unit's last position has none. Positions count through all units of a slice."""
+    """Edges sorted by start; a unit's last position has none. Positions count through all units of a slice.
+
+    ``below`` is the probability of the edges before it with the same start, ``others`` the logarithm of that of all other edges.
+    """
 
     first: np.ndarray
     degree: np.ndarray
@@ -113,7 +116,8 @@ class Lattice:
     target: np.ndarray
     piece: np.ndarray
     log_p: np.ndarray
-    running: np.ndarray
+    below: np.ndarray
+    others: np.ndarray
 
 
 def build_lattice(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> tuple[Lattice, np.ndarray]:
@@ -185,45 +189,65 @@ def build_lattice(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, voc
         start = froms[edges]
         groups = np.flatnonzero(np.r_[True, start[1:] != start[:-1]])
         top = np.maximum.reduceat(value, groups)
-        width = np.diff([*groups, len(edges)])
+        width = np.diff(groups, append=len(edges))
         total_weight = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, width)), groups))
         back[start[groups]] = total_weight
         log_p[edges] = np.minimum(value - np.repeat(total_weight, width), 0.0)
     log_p[degree[froms] == 1] = 0.0
     share = np.cumsum(np.exp(log_p))
     before = np.r_[0.0, share][first]
-    running = share - before[froms]
-    running[(first + degree - 1)[degree > 0]] = 2.0  # the last edge takes what rounding leaves
-    return Lattice(first, degree, froms, tos, pieces, log_p, running), begin
+    below = np.r_[0.0, share[:-1] - before[froms[:-1]]] if count else share
+    below[first[degree > 0]] = 0.0
+    others = np.log(np.maximum(-np.expm1(log_p), 1e-300))
+    others[log_p >= 0] = -np.inf
+    return Lattice(first, degree, froms, tos, pieces, log_p, below, others), begin
 
 
 class LatticeCache:
-    """Lattices of the units met first in a worker, up to ``CACHED_EDGES``; those are the frequent ones."""
+    """Lattices of the units met first in a worker, up to ``CACHED_EDGES``; those are the frequent ones.
+
+    The lattice of a slice is written behind the kept ones, so these are not copied for each slice.
+    """
 
     def __init__(self, vocab: Vocabulary):
         self._vocab = vocab
-        self._lattice, self._begin = build_lattice(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), vocab)
+        empty, self._begin = build_lattice(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), vocab)
+        self._room = {f.name: getattr(empty, f.name) for f in fields(Lattice)}
+        self._nodes = self._edges = 0
         self._codes = np.zeros(0, np.uint64)
 
+    def _behind(self, name: str, kept: int, values: np.ndarray) -> np.ndarray:
+        """The kept values with some more behind them."""
+        room, size = self._room[name], kept + len(values)
+        if size > len(room):
+            self._room[name] = np.empty(size + size // 4, room.dtype)
+            self._room[name][:kept] = room[:kept]
+            room = self._room[name]
+        room[kept:size] = values
+        return room[:size]
+
     def of(self, body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[Lattice, np.ndarray]:
-        """A lattice that holds some different units, and the first position of each."""
+        """A lattice that holds some different units, and the first position of each; the next call may write over it."""
         at = np.minimum(np.searchsorted(self._codes, codes), max(0, len(self._codes) - 1))
         known = self._codes[at] == codes if len(self._codes) else np.zeros(len(codes), bool)
         root = np.empty(len(codes), np.int64)
         root[known] = self._begin[at[known]]
         new = np.flatnonzero(~known)
         own, begin = build_lattice(body, starts[new], lengths[new], self._vocab)
-        nodes, edges = len(self._lattice.first), len(self._lattice.target)
-        both = Lattice(
-            np.concatenate([self._lattice.first, own.first + np.int32(edges)]), np.concatenate([self._lattice.degree, own.degree]),
-            np.concatenate([self._lattice.source, own.source + np.int32(nodes)]), np.concatenate([self._lattice.target, own.target + np.int32(nodes)]), np.concatenate([self._lattice.piece, own.piece]),
-            np.concatenate([self._lattice.log_p, own.log_p]), np.concatenate([self._lattice.running, own.running]),
-        )
+        nodes, edges = self._nodes, self._edges
+        own.first += np.int32(edges)
+        own.source += np.int32(nodes)
+        own.target += np.int32(nodes)
+        by_node = ("first", "degree")
+        both = Lattice(*(
+            self._behind(f.name, nodes if f.name in by_node else edges, getattr(own, f.name)) for f in fields(Lattice)
+        ))
         root[new] = begin + nodes
         if len(both.target) <= CACHED_EDGES:
+            self._nodes, self._edges = len(both.first), len(both.target)
             order = np.argsort(merged := np.concatenate([self._codes, codes[new]]))
             self._begin = np.concatenate([self._begin, root[new]])[order]
-            self._codes, self._lattice = merged[order], both
+            self._codes = merged[order]
         return both, root
 
 
@@ -243,10 +267,12 @@ def _draw(lattice: Lattice, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.nda
         several = np.flatnonzero(lattice.degree[at] > 1)
         if len(several):
             u = kernel.uniform(kernel.mixed(key[several]))
-            pick = edge[several]
-            moving = np.arange(len(several))
-            while len(moving := moving[u[moving] > lattice.running[pick[moving]]]):
-                pick[moving] += 1
+            # the longest piece comes last and is mostly the likeliest
+            pick = edge[several] + (lattice.degree[at[several]] - 1)
+            moving = np.flatnonzero(u <= lattice.below[pick])
+            while len(moving):
+                pick[moving] -= 1
+                moving = moving[u[moving] <= lattice.below[pick[moving]]]
             edge[several] = pick
         found.append((live, edge))
         counts[live] += 1
@@ -266,14 +292,15 @@ def _units(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     sizes = np.diff(offsets)
     marked = (sizes > 0).astype(np.int64)
     base = np.cumsum(sizes + marked) - (sizes + marked)
-    rows = np.repeat(np.arange(len(sizes)), sizes)
     full = np.full(int((sizes + marked).sum()), SPACE, np.uint8)
-    full[np.arange(len(body)) - offsets[rows] + base[rows] + 1] = body
+    own = np.ones(len(full), bool)
+    own[base[sizes > 0]] = False
+    full[own] = body
     cut = (full == SPACE) | (full == LINE)
     cut[1:] |= full[:-1] == LINE
     cut[base[sizes > 0]] = True
     starts = np.flatnonzero(cut)
-    return full, starts, np.diff([*starts, len(full)]), np.searchsorted(base, starts, side="right") - 1
+    return full, starts, np.diff(starts, append=len(full)), np.searchsorted(base, starts, side="right") - 1
 
 
 class Path:
@@ -329,8 +356,7 @@ def sample_rows(
             stop = min(total, reach)
             tail = lattice.log_p[path.edges[since : since + stop]]
             through = ahead + np.cumsum(tail)
-            mass = through - tail + np.log(np.maximum(-np.expm1(tail), 1e-300))
-            mass[tail >= 0] = -np.inf
+            mass = through - tail + lattice.others[path.edges[since : since + stop]]
             if stop == total:
                 break
             least = np.partition(mass, stop - want)[stop - want]
@@ -356,8 +382,7 @@ def sample_rows(
         there = np.arange(REACH)[None, :] < length[:, None]
         tail = np.where(there, lattice.log_p[edge], 0.0)
         through = np.array([w[0].before(w[3]) for w in wanted])[:, None] + np.cumsum(tail, axis=1)
-        mass = through - tail + np.log(np.maximum(-np.expm1(tail), 1e-300))
-        mass[tail >= 0] = -np.inf
+        mass = through - tail + np.where(there, lattice.others[edge], -np.inf)
         most = min(REACH, max(w[5] for w in wanted))
         least = -np.partition(-mass, most - 1, axis=1)[:, most - 1]
         enough = (length <= REACH) | ((through[:, -1] < least - NOISE_SPAN) & (max(w[5] for w in wanted) <= REACH))
@@ -365,14 +390,16 @@ def sample_rows(
             seeds = noise_seed(np.array([w[1] for w in wanted]), wanted[0][2], 2)  # all of one round
             where = np.array([w[3] for w in wanted])[:, None] + np.arange(REACH)[None, :]
             u = kernel.uniform(kernel.mixed(seeds[:, None] + where.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)))
-        times = np.logaddexp(np.array([w[4] for w in wanted])[:, None], np.log(np.maximum(-np.log(u), 1e-300)) - mass)
-        best = np.argpartition(times, most - 1, axis=1)[:, :most]
+        waits = np.log(np.maximum(-np.log(u), 1e-300)) - mass
+        # the bound moves all times of a row without changing their order
+        best = np.argpartition(waits, most - 1, axis=1)[:, :most]
+        times = np.logaddexp(np.array([w[4] for w in wanted])[:, None], np.take_along_axis(waits, best, axis=1))
         out = []
         for k, (path, row, number, since, bound, want) in enumerate(wanted):
             if not enough[k]:
                 out.append(alternatives(path, row, number, since, bound, want))
                 continue
-            order = sorted((float(times[k, i]), int(i)) for i in best[k] if np.isfinite(times[k, i]))[:want]
+            order = sorted((t, i) for t, i in zip(times[k].tolist(), best[k].tolist(), strict=True) if t < np.inf)[:want]
             out.append([(t, path, since + i, (int(path.edges[since + i]),)) for t, i in order])
         return out
 
@@ -490,24 +517,49 @@ def sampled_segmentations(
         keys = kernel.mixed(batch.column("_key").to_numpy().view(np.uint64))
         found = sample_rows(column, keys, samples, vocab, lattice_cache(model))
         body, offsets = kernel.text_bytes(column)
-        restored = [np.array_equal(vocab.spell(f[2])[1:], body[offsets[f[0]] : offsets[f[0] + 1]]) for f in found]
+        sizes = np.array([len(f[2]) for f in found])
+        ids = np.concatenate([f[2] for f in found])
+        spelled = _spelled(model).take(pa.array(ids))
+        text = np.frombuffer(spelled.buffers()[2] or b"", np.uint8)
+        # each text spelled begins with the mark, unless it is empty
+        ends = np.frombuffer(spelled.buffers()[1], np.int32)[np.r_[0, np.cumsum(sizes)]] if len(ids) else np.zeros(len(found) + 1, int)
+        restored = [
+            np.array_equal(text[low + 1 : high], body[offsets[f[0]] : offsets[f[0] + 1]])
+            for f, low, high in zip(found, ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+        ]
         columns = [
             batch.column(0).take(pa.array([f[0] for f in found], pa.int64())), pa.array([f[1] for f in found], pa.int32()),
-            pa.array([len(f[2]) for f in found], pa.int64()), pa.array([f[3] for f in found], pa.float64()),
-            pa.array([f[4] for f in found], pa.float64()), pa.array([digest(f[2]) for f in found], pa.int64()), pa.array(restored),
+            pa.array(sizes, pa.int64()), pa.array([f[3] for f in found], pa.float64()),
+            pa.array([f[4] for f in found], pa.float64()), pa.array(digests(ids, sizes)), pa.array(restored),
         ]
         if with_ids:
-            columns.append(kernel.lists(np.concatenate([f[2] for f in found]), np.array([len(f[2]) for f in found]), pa.int32()))
+            columns.append(kernel.lists(ids, sizes, pa.int32()))
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return kernel.arrow_map(source, run, schema, "_text", SLICE_BYTES)
 
 
+@functools.lru_cache(maxsize=2)
+def _spelled(path: str) -> pa.Array:
+    """The bytes of every piece by id."""
+    return pa.array(vocabulary(path).pieces, pa.binary())
+
+
 def digest(ids: np.ndarray) -> int:
     """A 64-bit hash of a sequence of ids."""
+    return int(digests(ids, np.array([len(ids)]))[0])
+
+
+def digests(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The hash of each of some sequences, which lie end to end."""
+    first = np.cumsum(sizes) - sizes
+    places = _places(1 << max(10, int(sizes.max(initial=0)).bit_length()))
+    out = np.zeros(len(sizes), np.uint64)
     with np.errstate(over="ignore"):
-        total = kernel.mixed(ids.astype(np.uint64) + _places(1 << max(10, len(ids).bit_length()))[: len(ids)]).sum(dtype=np.uint64)
-    return int(np.asarray(total, np.uint64).view(np.int64))
+        codes = kernel.mixed(ids.astype(np.uint64) + places[np.arange(len(ids)) - np.repeat(first, sizes)])
+        if len(ids):
+            out[sizes > 0] = np.add.reduceat(codes, first[sizes > 0])
+    return out.view(np.int64)
 
 
 @functools.lru_cache(maxsize=8)

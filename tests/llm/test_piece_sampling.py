@@ -78,3 +78,29 @@ def test_rows_and_decoding(spark, vocab):
     assert again == {(r.doc_id, r["sample"], tuple(r.ids)) for r in rows}
     assert piece_sampling.sampled_segmentations(docs.limit(0), PATH).count() == 0
     assert found.where(F.col("sample") > 3).count() == 0
+
+
+def test_digests_of_sequences_end_to_end():
+    draw = np.random.default_rng(5)
+    sizes = np.array([0, 3, 0, 2000, 1, 0])
+    ids = draw.integers(0, 32000, sizes.sum()).astype(np.int32)
+    parts = np.split(ids, np.cumsum(sizes)[:-1])
+    assert piece_sampling.digests(ids, sizes).tolist() == [piece_sampling.digest(x) for x in parts]
+    assert piece_sampling.digests(ids[:0], np.zeros(2, int)).tolist() == [0, 0]
+
+
+def test_kept_lattices_are_not_copied_for_each_slice(vocab, monkeypatch):
+    texts = [f"the {w} of text number {n}" for n in range(40) for w in ("first", "second half", "漢字", "q" * 30)]
+    keys = kernel.mixed(np.arange(len(texts), dtype=np.uint64))
+    plain = lambda found: [(f[0], f[1], f[2].tolist(), f[3], f[4]) for f in found]
+    whole = [plain(piece_sampling.sample_rows(pa.array([t]), keys[n : n + 1], 3, vocab)) for n, t in enumerate(texts)]
+    for limit in (10, 400, piece_sampling.CACHED_EDGES):  # nothing kept, some, all
+        monkeypatch.setattr(piece_sampling, "CACHED_EDGES", limit)
+        cache = piece_sampling.LatticeCache(vocab)
+        assert [plain(piece_sampling.sample_rows(pa.array([t]), keys[n : n + 1], 3, vocab, cache)) for n, t in enumerate(texts)] == whole
+    body = np.frombuffer(b" one two", np.uint8)
+    codes = kernel.word_hashes(body, np.array([0, 4]), np.array([4, 8]))
+    first, _ = cache.of(body, np.array([0]), np.array([4]), codes[:1])
+    second, _ = cache.of(body, np.array([0, 4]), np.array([4, 4]), codes)
+    third, _ = cache.of(body, np.array([0, 4]), np.array([4, 4]), codes)
+    assert np.shares_memory(second.log_p, third.log_p)
