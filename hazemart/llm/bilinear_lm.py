@@ -56,6 +56,8 @@ STREAM_NOISE = (32, 32, 64)
 STREAM_RATE = 0.1
 #: units whose changes travel as one row
 BLOCK = 256
+#: high bits by which a token is looked up in the lexicon
+SLOT_BITS = 18
 
 
 @dataclass
@@ -160,6 +162,22 @@ class Tree:
     order: np.ndarray
     group_starts: np.ndarray
     class_starts: np.ndarray
+    #: first place in the lexicon of codes with the same high bits, or higher ones
+    slots: np.ndarray = field(init=False)
+
+    def __post_init__(self):
+        self.slots = np.searchsorted(self.codes >> np.uint64(64 - SLOT_BITS), np.arange(1 << SLOT_BITS, dtype=np.uint64)).astype(np.int32)
+
+    def places(self, codes: np.ndarray) -> np.ndarray:
+        """The first place in the lexicon whose code is not below, at most the last; codes are hashes, so a slot holds few."""
+        last = len(self.codes) - 1
+        at = np.minimum(self.slots.take((codes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)), last)
+        behind = np.flatnonzero(self.codes.take(at) < codes)
+        while len(behind):
+            behind = behind[at[behind] < last]
+            at[behind] += 1
+            behind = behind[self.codes[at[behind]] < codes[behind]]
+        return at
 
     @property
     def end(self) -> int:
@@ -169,8 +187,8 @@ class Tree:
         rare = np.where(shapes < 0, self.end, len(self.codes) + shapes)
         if not len(self.codes):
             return rare
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where((self.codes[at] == codes) & (shapes >= 0), self.unit_of[at], rare)
+        at = self.places(codes)
+        return np.where((self.codes.take(at) == codes) & (shapes >= 0), self.unit_of.take(at), rare)
 
     def context(self, units: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
         """The units two back and one back; before a text stand two ends."""
@@ -529,11 +547,12 @@ def _map(df: DataFrame, function, schema: str, limit: int, column: str = "_text"
 def _token_counts(training: DataFrame) -> DataFrame:
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         codes, shapes, _ = tokens(batch.column("_text"))
-        sort = np.argsort(codes)
-        ends, found = _runs(codes.take(sort))
-        shape = shapes[sort[ends[:-1]]].astype(np.int32)  # all places of a token have its shape
+        coded = pa.array(codes.view(np.int64)).dictionary_encode()
+        number = coded.indices.to_numpy()
+        shape = np.empty(len(coded.dictionary), np.int32)
+        shape[number] = shapes  # all places of a token have its shape
         return pa.RecordBatch.from_arrays(
-            [pa.array(found.view(np.int64)), pa.array(shape), pa.array(np.diff(ends))], names=["token", "shape", "n"]
+            [coded.dictionary, pa.array(shape), pa.array(np.bincount(number, minlength=len(shape)))], names=["token", "shape", "n"]
         )
 
     found = _map(training.select("_text"), count, "token long, shape int, n long", COUNT_BYTES)
@@ -631,7 +650,7 @@ def scored(docs: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str
             sort = np.argsort(codes + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         token, row = codes[sort], of[sort]
         first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (row[1:] != row[:-1])]) if len(token) else np.zeros(0, int)
-        times = np.diff([*first, len(token)])
+        times = np.diff(first, append=len(token))
         uid = batch.column("_uid")
         empty = len(first)
         # a row for the text, keyed by a code of its own, then one for each rare token

@@ -152,3 +152,16 @@ def test_scores_equal_a_plain_loop():
                 top = max(scores.values())
                 plain += (scores[choice] - top - math.log(sum(math.exp(x - top) for x in scores.values()))) / math.log(10)
             assert abs(plain - found[k]) < 1e-4 * max(1.0, abs(plain))
+
+
+def test_the_lexicon_is_searched_by_high_bits():
+    draw = np.random.default_rng(8)
+    lexicon = np.unique(np.r_[draw.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2), np.arange(40, dtype=np.uint64), np.uint64(2**64 - 5)])
+    asked = np.r_[lexicon, lexicon + np.uint64(1), draw.integers(0, 1 << 63, 3000, dtype=np.uint64), np.array([0, 2**64 - 1, 2**64 - 7], np.uint64)]
+    none = np.zeros(0, np.int64)
+    for some in (lexicon, lexicon[:1], lexicon[-2:]):
+        shape = bilinear_lm.Tree(some, np.arange(len(some)), none, none, none, none, none, none)
+        assert shape.places(asked).tolist() == np.minimum(np.searchsorted(some, asked), len(some) - 1).tolist()
+        units = shape.units(asked, np.arange(len(asked)) % 33 - 1)
+        known = np.isin(asked, some) & (np.arange(len(asked)) % 33 > 0)
+        assert (units[known] < len(some)).all() and (some[units[known]] == asked[known]).all() and (units[~known] >= len(some)).all()
