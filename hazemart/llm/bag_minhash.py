@@ -58,11 +58,11 @@ def bags(column: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray,
     whole = np.zeros((2, count), np.uint64)
     if len(items):
         first = np.flatnonzero(np.r_[True, (items[1:] != items[:-1]) | (owner[1:] != owner[:-1])])
-        counts = np.diff([*first, len(items)])
+        counts = np.diff(first, append=len(items))
         items, owner = items[first], owner[first]
         heads = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
         with np.errstate(over="ignore"):
-            place = np.arange(len(words)) - np.repeat(heads, np.diff([*heads, len(words)]))
+            place = np.arange(len(words)) - np.repeat(heads, np.diff(heads, append=len(words)))
             for k, salt in enumerate((0x1F123BB5, 0x5851F42D)):
                 term = kernel.mixed(words + kernel.mixed(place.astype(np.uint64) + np.uint64(salt)))
                 whole[k, rows[heads]] = np.add.reduceat(term, heads)
