@@ -42,7 +42,10 @@ REACH = 640
 
 @dataclass
 class Vocabulary:
-    """Pieces as bytes with a plain space as mark, by id; the sorted hashes of the usable ones."""
+    """Pieces as bytes with a plain space as mark, by id; the sorted hashes of the usable ones.
+
+    ``slots`` has the first place in the hashes by their high bits, -1 where no hash has those.
+    """
 
     pieces: list[bytes]
     hashes: np.ndarray
@@ -51,7 +54,7 @@ class Vocabulary:
     byte_ids: np.ndarray
     byte_weight: float
     longest: int
-    maybe: np.ndarray
+    slots: np.ndarray
     prefixes: np.ndarray
     body: np.ndarray
     bounds: np.ndarray
@@ -91,14 +94,15 @@ def vocabulary(path: str) -> Vocabulary:
     order = np.argsort(hashes)
     ids = np.array(usable, np.int32)[order]
     ranks = -np.array([model.get_score(int(i)) for i in ids])
-    maybe = np.zeros(1 << FILTER_BITS, bool)
-    maybe[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+    hashes = hashes[order]
+    slots = np.full(1 << FILTER_BITS, -1, np.int32)
+    slots[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)[::-1]] = np.arange(len(hashes))[::-1]
     heads = sorted({pieces[i][:n] for i in usable for n in range(1, len(pieces[i]))})
     prefixes = np.zeros(1 << PREFIX_BITS, bool)
     prefixes[(_span_hash(heads) >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)] = True
     return Vocabulary(
-        pieces, hashes[order], ids, -np.log(ranks + 2.0), byte_ids, -float(np.log(2.0 - lowest)),
-        max(len(pieces[i]) for i in usable), maybe, prefixes, np.frombuffer(b"".join(pieces), np.uint8),
+        pieces, hashes, ids, -np.log(ranks + 2.0), byte_ids, -float(np.log(2.0 - lowest)),
+        max(len(pieces[i]) for i in usable), slots, prefixes, np.frombuffer(b"".join(pieces), np.uint8),
         np.r_[0, np.cumsum([len(p) for p in pieces])],
     )
 
@@ -107,7 +111,8 @@ def vocabulary(path: str) -> Vocabulary:
 class Lattice:
     """Edges sorted by start; a unit's last position has none. Positions count through all units of a slice.
 
-    ``below`` is the probability of the edges before it with the same start, ``others`` the logarithm of that of all other edges.
+    ``below`` is the probability of the edges before it with the same start, ``others`` the logarithm of that of all other edges;
+    ``onward`` is the last edge of its target, -1 at a unit's end.
     """
 
     first: np.ndarray
@@ -118,6 +123,12 @@ class Lattice:
     log_p: np.ndarray
     below: np.ndarray
     others: np.ndarray
+    onward: np.ndarray
+
+    def last(self, nodes: np.ndarray) -> np.ndarray:
+        """The last edge of each position, -1 where it has none."""
+        degree = self.degree.take(nodes)
+        return np.where(degree > 0, self.first.take(nodes) + degree - np.int32(1), np.int32(-1))
 
 
 def build_lattice(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, vocab: Vocabulary) -> tuple[Lattice, np.ndarray]:
@@ -150,11 +161,18 @@ def build_lattice(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, voc
             if not len(live):
                 break
             code = kernel.mixed((sums[live + size] - sums[live]) * inverse[live] + np.uint64(size))
-            hit = np.flatnonzero(vocab.maybe[(code >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-            at = np.minimum(np.searchsorted(vocab.hashes, code[hit]), len(vocab.hashes) - 1)
-            good = vocab.hashes[at] == code[hit]
-            found.append((live[hit[good]], size, vocab.ids[at[good]], vocab.weights[at[good]]))
-            live = live[vocab.prefixes[(code >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)]]
+            at = vocab.slots.take((code >> np.uint64(64 - FILTER_BITS)).astype(np.int64))
+            hit = np.flatnonzero(at >= 0)
+            at, wanted = at.take(hit), code.take(hit)
+            behind = np.flatnonzero(vocab.hashes.take(at) < wanted)
+            while len(behind):  # few hashes share a slot
+                behind = behind[at[behind] < len(vocab.hashes) - 1]
+                at[behind] += 1
+                behind = behind[vocab.hashes[at[behind]] < wanted[behind]]
+            good = np.flatnonzero(vocab.hashes.take(at) == wanted)
+            at = at.take(good)
+            found.append((live.take(hit.take(good)), size, vocab.ids.take(at), vocab.weights.take(at)))
+            live = live[vocab.prefixes.take((code >> np.uint64(64 - PREFIX_BITS)).astype(np.int64))]
     # characters without a piece of their own become bytes
     lead = np.where(char < 0x80, 1, np.where(char < 0xE0, 2, np.where(char < 0xF0, 3, 4)))
     covered = np.zeros(total, bool)
@@ -200,7 +218,8 @@ def build_lattice(body: np.ndarray, starts: np.ndarray, lengths: np.ndarray, voc
     below[first[degree > 0]] = 0.0
     others = np.log(np.maximum(-np.expm1(log_p), 1e-300))
     others[log_p >= 0] = -np.inf
-    return Lattice(first, degree, froms, tos, pieces, log_p, below, others), begin
+    onward = np.where(degree > 0, first + degree - np.int32(1), np.int32(-1)).take(tos)
+    return Lattice(first, degree, froms, tos, pieces, log_p, below, others, onward), begin
 
 
 class LatticeCache:
@@ -238,6 +257,7 @@ class LatticeCache:
         own.first += np.int32(edges)
         own.source += np.int32(nodes)
         own.target += np.int32(nodes)
+        own.onward[own.onward >= 0] += np.int32(edges)
         by_node = ("first", "degree")
         both = Lattice(*(
             self._behind(f.name, nodes if f.name in by_node else edges, getattr(own, f.name)) for f in fields(Lattice)
@@ -258,32 +278,28 @@ def lattice_cache(path: str) -> LatticeCache:
 
 def _draw(lattice: Lattice, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A sampled path from each node to its unit's end: edges laid end to end and their number per node."""
-    live = np.flatnonzero(lattice.degree[nodes] > 0)
-    at, key = nodes[live], keys[live]
+    edge = lattice.last(nodes)
+    live = np.flatnonzero(edge >= 0)
+    edge, key = edge.take(live), keys.take(live)
     found = []
     counts = np.zeros(len(nodes), np.int64)
     while len(live):
-        edge = lattice.first[at].copy()
-        several = np.flatnonzero(lattice.degree[at] > 1)
-        if len(several):
-            u = kernel.uniform(kernel.mixed(key[several]))
-            # the longest piece comes last and is mostly the likeliest
-            pick = edge[several] + (lattice.degree[at[several]] - 1)
-            moving = np.flatnonzero(u <= lattice.below[pick])
-            while len(moving):
-                pick[moving] -= 1
-                moving = moving[u[moving] <= lattice.below[pick[moving]]]
-            edge[several] = pick
+        # the longest piece comes last and is mostly the likeliest; a piece alone has nothing below, and u is above 0
+        u = kernel.uniform(kernel.mixed(key))
+        moving = np.flatnonzero(u <= lattice.below.take(edge))
+        while len(moving):
+            edge[moving] -= 1
+            moving = moving[u.take(moving) <= lattice.below.take(edge.take(moving))]
         found.append((live, edge))
-        counts[live] += 1
-        at = lattice.target[edge]
-        more = lattice.degree[at] > 0
+        after = lattice.onward.take(edge)
+        goes = after >= 0
+        counts[live[~goes]] = len(found)
         with np.errstate(over="ignore"):
-            live, at, key = live[more], at[more], key[more] * np.uint64(0xD1342543DE82EF95) + np.uint64(1)
+            live, edge, key = live[goes], after[goes], key[goes] * np.uint64(0xD1342543DE82EF95) + np.uint64(1)
     place = np.cumsum(counts) - counts
-    out = np.empty(int(counts.sum()), np.int64)
+    out = np.empty(int(counts.sum()), np.int32)
     for step, (who, edge) in enumerate(found):
-        out[place[who] + step] = edge
+        out[place.take(who) + step] = edge
     return out, counts
 
 
@@ -300,7 +316,9 @@ def _units(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     cut[1:] |= full[:-1] == LINE
     cut[base[sizes > 0]] = True
     starts = np.flatnonzero(cut)
-    return full, starts, np.diff(starts, append=len(full)), np.searchsorted(base, starts, side="right") - 1
+    filled = np.flatnonzero(sizes > 0)  # each begins with a unit
+    rows = np.repeat(filled, np.diff(np.searchsorted(starts, base[filled]), append=len(starts)))
+    return full, starts, np.diff(starts, append=len(full)), rows
 
 
 class Path:
@@ -308,12 +326,8 @@ class Path:
 
     # kept at module level: a class made per call would hold its slice's arrays until a cycle collection
 
-    def __init__(self, lattice: Lattice, edges: np.ndarray, units: np.ndarray):
-        self.lattice, self.edges, self.units = lattice, edges.astype(np.int32), units.astype(np.int32)
-
-    def before(self, choice: int) -> float:
-        """Log probability of the choices ahead of one."""
-        return float(self.lattice.log_p[self.edges[:choice]].sum())
+    def __init__(self, edges: np.ndarray, units: np.ndarray):
+        self.edges, self.units = edges, units
 
 
 def sample_rows(
@@ -323,7 +337,6 @@ def sample_rows(
     body, offsets = kernel.text_bytes(column)
     count = len(offsets) - 1
     full, starts, lengths, rows = _units(body, offsets)
-    rows = _row_of(offsets, starts, rows)
     out: list[tuple[int, int, np.ndarray, float, float]] = []
     for row in np.flatnonzero(np.diff(offsets) == 0):
         out.append((int(row), 1, np.zeros(0, np.int32), 0.0, 0.0))
@@ -343,148 +356,155 @@ def sample_rows(
         with np.errstate(over="ignore"):
             return kernel.mixed(keys[row] + np.uint64((number * 0x9E3779B97F4A7C15 + salt) % (1 << 64)))
 
-    def noise(row: np.ndarray | int, number: int, where: np.ndarray, salt: int) -> np.ndarray:
+    def noise(seed: np.ndarray, where: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return kernel.mixed(noise_seed(row, number, salt) + where * np.uint64(0xBF58476D1CE4E5B9))
+            return kernel.mixed(seed + where * np.uint64(0xBF58476D1CE4E5B9))
+
+    def alternatives(path: Path, row: int, number: int, since: int, bound: float, want: int, ahead: float) -> list[tuple]:
+        """The ``want`` earliest groups of siblings of the choices from ``since`` on, as (log time, path, choice, excluded, ahead).
 
-    def alternatives(path: Path, row: int, number: int, since: int, bound: float, want: int) -> list[tuple]:
-        """The ``want`` earliest groups of siblings of the choices from ``since`` on, as (log time, path, choice, excluded)."""
+        ``ahead`` is the log probability of the choices before one.
+        """
         # waits span less than NOISE_SPAN, so choices with a mass that far below others cannot be among the earliest
-        ahead = path.before(since)
         reach, total = REACH, len(path.edges) - since
         while True:
             stop = min(total, reach)
-            tail = lattice.log_p[path.edges[since : since + stop]]
-            through = ahead + np.cumsum(tail)
-            mass = through - tail + lattice.others[path.edges[since : since + stop]]
+            through = ahead + np.cumsum(lattice.log_p[path.edges[since : since + stop]])
+            before = np.r_[ahead, through[:-1]]
+            mass = before + lattice.others[path.edges[since : since + stop]]
             if stop == total:
                 break
             least = np.partition(mass, stop - want)[stop - want]
             if through[-1] < least - NOISE_SPAN:
                 break
             reach *= 4
-        u = kernel.uniform(noise(row, number, np.arange(since, since + stop, dtype=np.uint64), 2))
+        u = kernel.uniform(noise(noise_seed(row, number, 2), np.arange(since, since + stop, dtype=np.uint64)))
         times = np.logaddexp(bound, np.log(np.maximum(-np.log(u), 1e-300)) - mass)
         best = np.argpartition(times, want - 1)[:want] if want < stop else np.arange(stop)
         best = best[np.argsort(times[best], kind="stable")]
-        return [(float(times[i]), path, since + int(i), (int(path.edges[since + i]),)) for i in best if np.isfinite(times[i])]
+        return [
+            (float(times[i]), path, since + int(i), (int(path.edges[since + i]),), float(before[i])) for i in best if np.isfinite(times[i])
+        ]
 
-    def all_alternatives(wanted: list[tuple[Path, int, int, int, float, int]]) -> list[list[tuple]]:
+    def all_alternatives(wanted: list[tuple[Path, int, int, int, float, int, float]]) -> list[list[tuple]]:
         """``alternatives`` of several rows at once, over the first ``REACH`` choices; the few that need more go one by one."""
         if not wanted:
             return []
         edge = np.zeros((len(wanted), REACH), np.int32)
         length = np.empty(len(wanted), np.int64)
-        for k, (path, _, _, since, _, _) in enumerate(wanted):
+        for k, (path, _, _, since, _, _, _) in enumerate(wanted):
             part = path.edges[since : since + REACH]
             edge[k, : len(part)] = part
             length[k] = len(path.edges) - since
         there = np.arange(REACH)[None, :] < length[:, None]
-        tail = np.where(there, lattice.log_p[edge], 0.0)
-        through = np.array([w[0].before(w[3]) for w in wanted])[:, None] + np.cumsum(tail, axis=1)
-        mass = through - tail + np.where(there, lattice.others[edge], -np.inf)
+        before = np.empty((len(wanted), REACH + 1))
+        before[:, 0] = 0.0
+        np.cumsum(np.where(there, lattice.log_p.take(edge), 0.0), axis=1, out=before[:, 1:])
+        before += np.array([w[6] for w in wanted])[:, None]
+        mass = before[:, :-1] + np.where(there, lattice.others.take(edge), -np.inf)
         most = min(REACH, max(w[5] for w in wanted))
         least = -np.partition(-mass, most - 1, axis=1)[:, most - 1]
-        enough = (length <= REACH) | ((through[:, -1] < least - NOISE_SPAN) & (max(w[5] for w in wanted) <= REACH))
-        with np.errstate(over="ignore"):
-            seeds = noise_seed(np.array([w[1] for w in wanted]), wanted[0][2], 2)  # all of one round
-            where = np.array([w[3] for w in wanted])[:, None] + np.arange(REACH)[None, :]
-            u = kernel.uniform(kernel.mixed(seeds[:, None] + where.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)))
-        waits = np.log(np.maximum(-np.log(u), 1e-300)) - mass
+        enough = (length <= REACH) | ((before[:, -1] < least - NOISE_SPAN) & (max(w[5] for w in wanted) <= REACH))
+        seeds = noise_seed(np.array([w[1] for w in wanted]), wanted[0][2], 2)  # all of one round
+        where = np.array([w[3] for w in wanted])[:, None] + np.arange(REACH)[None, :]
+        waits = -np.log(kernel.uniform(noise(seeds[:, None], where.astype(np.uint64))))
+        waits = np.log(np.maximum(waits, 1e-300, out=waits), out=waits)
+        waits -= mass
         # the bound moves all times of a row without changing their order
         best = np.argpartition(waits, most - 1, axis=1)[:, :most]
         times = np.logaddexp(np.array([w[4] for w in wanted])[:, None], np.take_along_axis(waits, best, axis=1))
+        aheads = np.take_along_axis(before, best, axis=1)
         out = []
-        for k, (path, row, number, since, bound, want) in enumerate(wanted):
+        for k, (path, row, number, since, bound, want, ahead) in enumerate(wanted):
             if not enough[k]:
-                out.append(alternatives(path, row, number, since, bound, want))
+                out.append(alternatives(path, row, number, since, bound, want, ahead))
                 continue
-            order = sorted((t, i) for t, i in zip(times[k].tolist(), best[k].tolist(), strict=True) if t < np.inf)[:want]
-            out.append([(t, path, since + i, (int(path.edges[since + i]),)) for t, i in order])
+            order = sorted((t, i, a) for t, i, a in zip(times[k].tolist(), best[k].tolist(), aheads[k].tolist(), strict=True) if t < np.inf)
+            out.append([(t, path, since + i, (int(path.edges[since + i]),), a) for t, i, a in order[:want]])
         return out
 
     # the first segmentation of every row: plain sampling; its Gumbel is that of the whole mass
-    edges, steps = _draw(lattice, root, noise(rows, 1, place, 1))
-    unit_of = np.repeat(np.arange(len(starts)), steps)
+    edges, steps = _draw(lattice, root, noise(noise_seed(np.arange(count), 1, 1)[rows], place))
+    unit_of = np.repeat(np.arange(len(starts), dtype=np.int32), steps)
     cuts = np.searchsorted(unit_of, bounds)
     active, agendas, taken, wanted = [], {}, {}, []
-    bounds_u = kernel.uniform(noise(np.arange(count), 1, np.zeros(count, np.uint64), 3))
+    bounds_u = kernel.uniform(noise(noise_seed(np.arange(count), 1, 3), np.zeros(count, np.uint64)))
     for row in np.flatnonzero(np.diff(bounds) > 0):
         row = int(row)
-        path = Path(lattice, edges[cuts[row] : cuts[row + 1]], unit_of[cuts[row] : cuts[row + 1]])
+        path = Path(edges[cuts[row] : cuts[row + 1]], unit_of[cuts[row] : cuts[row + 1]])
         bound = float(np.log(max(-np.log(bounds_u[row]), 1e-300)))
         taken[row] = [path]
         active.append(row)
-        wanted.append((path, row, 1, 0, bound, samples))
-    for (path, row, *_), found in zip(wanted, all_alternatives(wanted), strict=True):
-        agendas[row] = [(t, n, p, c, x) for n, (t, p, c, x) in enumerate(found)]
+        wanted.append((path, row, 1, 0, bound, samples, 0.0))
+    for (_, row, *_), found in zip(wanted, all_alternatives(wanted), strict=True):
+        agendas[row] = [(t, n, *rest) for n, (t, *rest) in enumerate(found)]
         heapq.heapify(agendas[row])
     serial = samples
     for number in range(2, samples + 1):
-        plans = []
         open_rows = [row for row in active if agendas[row]]
         if not open_rows:
             break
-        draws = [kernel.uniform(noise(np.array(open_rows), number, np.full(len(open_rows), n, np.uint64), n + 3)) for n in (1, 2)]
-        for row, u in zip(open_rows, draws[0], strict=True):
-            bound, _, path, choice, excluded = heapq.heappop(agendas[row])
-            node = int(lattice.source[path.edges[choice]])
-            options = [e for e in range(int(lattice.first[node]), int(lattice.first[node] + lattice.degree[node])) if e not in excluded]
-            odds = np.exp(lattice.log_p[options] - lattice.log_p[options].max())
-            chosen = options[min(int(np.searchsorted(np.cumsum(odds), u * odds.sum())), len(options) - 1)]
-            plans.append((row, bound, path, choice, excluded, chosen))
+        seeds = noise_seed(np.array(open_rows), number, 4), noise_seed(np.array(open_rows), number, 5)
+        draws = [kernel.uniform(noise(seed, np.full(len(open_rows), n, np.uint64))) for n, seed in enumerate(seeds, 1)]
+        plans = [heapq.heappop(agendas[row]) for row in open_rows]
+        # one of the siblings that are left for every row, and the time of those left after that
+        node = lattice.source[[path.edges[choice] for _, _, path, choice, _, _ in plans]]
+        first, degree = lattice.first[node], lattice.degree[node]
+        free = np.arange(degree.max()) < degree[:, None]
+        times_gone = [len(p[4]) for p in plans]
+        gone = np.repeat(np.arange(len(plans)), times_gone)
+        free[gone, np.array([e for p in plans for e in p[4]]) - first[gone]] = False
+        odds = np.where(free, lattice.log_p.take(first[:, None] + np.arange(degree.max()), mode="clip"), -np.inf)
+        running = np.cumsum(np.exp(odds - odds.max(axis=1, keepdims=True)), axis=1)
+        pick = (running < (draws[0] * running[:, -1])[:, None]).sum(axis=1)
+        chosen = first + pick
+        odds[np.arange(len(plans)), pick] = -np.inf
+        left = np.isfinite(odds.max(axis=1))
+        mass = np.array([p[5] for p in plans]) + np.logaddexp.reduce(odds, axis=1)
+        later = np.full(len(plans), np.inf)
+        later[left] = np.logaddexp(np.array([p[0] for p in plans]), np.log(np.maximum(-np.log(draws[1]), 1e-300)) - mass)[left]
+        through = (np.array([p[5] for p in plans]) + lattice.log_p[chosen]).tolist()
         # all completions of this round in one draw: the rest of the unit, then the units after it
-        nodes, places, sizes = [], [], []
-        for row, _, path, choice, _, chosen in plans:
-            unit = int(path.units[choice])
-            last = int(bounds[row + 1])
-            nodes += [lattice.target[chosen : chosen + 1], root[unit + 1 : last]]
-            places.append(place[unit:last])
-            sizes.append(last - unit)
-        owners = np.repeat(np.array(open_rows), sizes)
-        drawn, steps = _draw(lattice, np.concatenate(nodes), noise(owners, number, np.concatenate(places), 1))
-        wanted = []
+        unit = np.array([path.units[choice] for _, _, path, choice, _, _ in plans], np.int64)
+        sizes = bounds[np.array(open_rows) + 1] - unit
         ends = np.cumsum(sizes)
-        edge_ends = np.r_[0, np.cumsum(steps)]
-        for k, (row, bound, path, choice, excluded, chosen) in enumerate(plans):
-            low, high = ends[k] - sizes[k], ends[k]
-            unit = int(path.units[choice])
-            tail = drawn[edge_ends[low] : edge_ends[high]]
-            tail_units = np.repeat(np.arange(unit, unit + sizes[k]), steps[low:high])
-            new = Path(lattice, np.concatenate([path.edges[:choice], [chosen], tail]), np.concatenate([path.units[:choice], [unit], tail_units]))
-            heap = agendas[row]
-            gone = (*excluded, chosen)
-            node = int(lattice.source[chosen])
-            options = [e for e in range(int(lattice.first[node]), int(lattice.first[node] + lattice.degree[node])) if e not in gone]
-            if options:
-                mass = path.before(choice) + float(np.logaddexp.reduce(lattice.log_p[options]))
-                time = float(np.logaddexp(bound, np.log(max(-np.log(draws[1][k]), 1e-300)) - mass))
-                heapq.heappush(heap, (time, serial, path, choice, gone))
+        units = np.arange(ends[-1]) + np.repeat(unit - (ends - sizes), sizes)
+        nodes = root[units]
+        nodes[ends - sizes] = lattice.target[chosen]
+        drawn, steps = _draw(lattice, nodes, noise(np.repeat(noise_seed(np.array(open_rows), number, 1), sizes), place[units]))
+        drawn_units = np.repeat(units.astype(np.int32), steps)
+        drawn_ends = np.r_[0, np.cumsum(steps)[ends - 1]].tolist()
+        wanted = []
+        for k, (row, (bound, _, path, choice, excluded, ahead)) in enumerate(zip(open_rows, plans, strict=True)):
+            tail = slice(drawn_ends[k], drawn_ends[k + 1])
+            new = Path(
+                np.concatenate([path.edges[:choice], chosen[k : k + 1].astype(np.int32), drawn[tail]]),
+                np.concatenate([path.units[: choice + 1], drawn_units[tail]]),
+            )
+            if left[k]:
+                heapq.heappush(agendas[row], (float(later[k]), serial, path, choice, (*excluded, int(chosen[k])), ahead))
                 serial += 1
-            wanted.append((new, row, number, choice + 1, bound, samples - number + 1))
+            wanted.append((new, row, number, choice + 1, bound, samples - number + 1, through[k]))
             taken[row].append(new)
         for (_, row, *_), found in zip(wanted, all_alternatives(wanted), strict=True):
-            for time, p, c, x in found:
-                heapq.heappush(agendas[row], (time, serial, p, c, x))
+            for time, *rest in found:
+                heapq.heappush(agendas[row], (time, serial, *rest))
                 serial += 1
+    every = [path.edges for row in active for path in taken[row]]
+    ends = np.cumsum([len(e) for e in every])
+    edges = np.concatenate(every)
+    pieces = np.split(lattice.piece.take(edges), ends[:-1])
+    log_ps = iter(zip(pieces, np.add.reduceat(lattice.log_p.take(edges), np.r_[0, ends[:-1]]).tolist(), strict=True))
     for row in active:
         limit = agendas[row][0][0] if agendas[row] else np.inf  # log time of the value after the last one taken
-        for number, path in enumerate(taken[row], 1):
-            log_p = path.before(len(path.edges))
+        for number in range(1, len(taken[row]) + 1):
+            ids, log_p = next(log_ps)
             rate = log_p + limit
             inclusion = 0.0 if rate > 30 else float(np.log(-np.expm1(-np.exp(rate)))) if rate > -30 else rate
-            out.append((row, number, lattice.piece[path.edges], log_p, inclusion))
+            out.append((row, number, ids, log_p, inclusion))
     return out
 
 
-def _row_of(offsets: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Rows of units where empty rows share a start with the next: the last row that begins there and has bytes."""
-    filled = np.flatnonzero(np.diff(offsets) > 0)
-    sizes = np.diff(offsets)[filled] + 1
-    begin = np.cumsum(sizes) - sizes
-    return filled[np.searchsorted(begin, starts, side="right") - 1] if len(filled) else rows
-
-
 def decode(ids: list[int] | np.ndarray, vocab: Vocabulary) -> str:
     """The text of some piece ids, without the leading mark."""
     return vocab.spell(np.asarray(ids, np.int64)).tobytes()[1:].decode("utf-8", "replace")

@@ -104,3 +104,17 @@ def test_kept_lattices_are_not_copied_for_each_slice(vocab, monkeypatch):
     second, _ = cache.of(body, np.array([0, 4]), np.array([4, 4]), codes)
     third, _ = cache.of(body, np.array([0, 4]), np.array([4, 4]), codes)
     assert np.shares_memory(second.log_p, third.log_p)
+
+
+def test_pieces_and_next_edges_are_found_without_a_search(vocab):
+    high = (vocab.hashes >> np.uint64(64 - piece_sampling.FILTER_BITS)).astype(np.int64)
+    kept, first = np.unique(high, return_index=True)
+    assert (vocab.slots[kept] == first).all() and (vocab.slots >= 0).sum() == len(kept) < len(high)  # some slots are shared
+    body = np.frombuffer(b" one two" + " 漢字".encode(), np.uint8)
+    cache = piece_sampling.LatticeCache(vocab)
+    for starts, sizes in (([0], [4]), ([4, 0, 8], [4, 4, 7])):  # the second lattice lies behind the kept one
+        starts, sizes = np.array(starts), np.array(sizes)
+        lattice, root = cache.of(body, starts, sizes, kernel.word_hashes(body, starts, starts + sizes))
+        degree = lattice.degree[lattice.target]
+        assert (lattice.onward == np.where(degree > 0, lattice.first[lattice.target] + degree - 1, -1)).all()
+        assert (lattice.last(root) == lattice.first[root] + lattice.degree[root] - 1).all()
