@@ -100,6 +100,20 @@ def test_text_weights(spark):
     assert found[3, ""][:2] == (1, 1)
 
 
+def test_terms_are_cut_once_and_separators_beyond_ascii_stay(spark):
+    df = spark.createDataFrame([(1, "A b \u2028"), (2, "a\t\x0b\r\n"), (3, " "), (4, None), (5, "")], "id int, t string")
+    expected = [r.w for r in Tokenizer(inputCol="t", outputCol="w").transform(df.where("t IS NOT NULL")).orderBy("id").collect()]
+    assert [r.w for r in df.where("t IS NOT NULL").orderBy("id").select(preprocess.tokens(F.col("t")).alias("w")).collect()] == expected
+    found = preprocess.tfidf(df, "id", "t")
+    assert {(r.id, r.term, r.tf, r.df) for r in found.collect()} == {(1, "a", 1, 2), (1, "b", 1, 1), (1, "\u2028", 1, 1), (2, "a", 1, 2), (5, "", 1, 1)}
+    for weights in (found, preprocess.tfidf_hashed(df, "id", "t", 8)):
+        plan = weights._jdf.queryExecution().executedPlan().toString()
+        conditions = [x for x in plan.splitlines() if "Filter" in x]
+        # the filter an inner explode infers would cut every text twice
+        assert conditions and not [x for x in conditions if "split(" in x]
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     data = []
