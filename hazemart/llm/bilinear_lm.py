@@ -56,6 +56,8 @@ STREAM_NOISE = (32, 32, 64)
 STREAM_RATE = 0.1
 #: units whose changes travel as one row
 BLOCK = 256
+#: runs of rows up to this are added step by step
+SHORT_RUN = 8
 #: high bits by which a token is looked up in the lexicon
 SLOT_BITS = 18
 
@@ -261,8 +263,23 @@ def _grouped(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     keys = (at << bits) | np.arange(len(at))  # plain values sort much faster than places
     keys.sort()
     ordered = keys >> bits
+    keys &= (1 << bits) - 1
     first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    return ordered[first], np.add.reduceat(rows.take(keys & ((1 << bits) - 1), axis=0), first), np.diff(first, append=len(at))
+    counts = np.diff(first, append=len(at))
+    # reduceat goes through each column of each run, which takes longer than a step for all short runs at once
+    sums = rows.take(keys[first], axis=0)
+    long = counts > SHORT_RUN
+    if long.any():
+        sums[long] = np.add.reduceat(rows.take(keys[np.repeat(long, counts)], axis=0), np.cumsum(counts[long]) - counts[long])
+    short = np.flatnonzero((counts > 1) & ~long)
+    if len(short):
+        begin, size = first[short], counts[short]
+        rest = rows.take(keys[begin + 1], axis=0)
+        for step in range(2, int(size.max())):
+            more = np.flatnonzero(size > step)
+            rest[more] += rows.take(keys[begin[more] + step], axis=0)
+        sums[short] += rest
+    return ordered[first], sums, counts
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

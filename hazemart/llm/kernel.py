@@ -21,8 +21,6 @@ _PRIME_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 # one fixed 64-bit code per byte value, from a fixed generator
 _CODES = np.random.default_rng(20240229).integers(1, 1 << 63, size=256, dtype=np.uint64) | np.uint64(1)
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 #: letters, digits, underscore and every byte of a character beyond ASCII
 WORDISH = np.zeros(256, dtype=bool)
 WORDISH[[*range(48, 58), *range(65, 91), *range(97, 123), 95, *range(128, 256)]] = True
@@ -75,12 +73,12 @@ def text_bytes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
 
 
 def ascii_lower(body: np.ndarray) -> np.ndarray:
-    return _LOWER[body]
+    return body + (((body - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5))
 
 
 def words(body: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every maximal run of bytes of ``kind``; no run crosses a row."""
-    inside = kind[body]
+    inside = np.frombuffer(body.tobytes().translate(kind.tobytes()), bool)  # much faster than an index
     before, after = np.empty_like(inside), np.empty_like(inside)
     if len(inside):
         before[0], before[1:] = False, inside[:-1]
@@ -91,7 +89,27 @@ def words(body: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.n
         del ends
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
-    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
+    return starts, ends, np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
+
+
+#: powers that a worker keeps, enough for the slices of all operators
+KEPT_POWERS = 1 << 22
+_kept_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the prime and of its inverse; those of short bodies are kept for the next."""
+    if count <= len(_kept_powers[0]):
+        return _kept_powers[0][:count], _kept_powers[1][:count]
+    out = []
+    for base in (_PRIME, _PRIME_INVERSE):
+        # an eighth more, so that slices of about one size do not begin anew
+        powers = np.full(count + (count // 8 if count <= KEPT_POWERS else 0), base, np.uint64)
+        powers[0] = 1
+        out.append(np.cumprod(powers, dtype=np.uint64, out=powers))
+    if count <= KEPT_POWERS:
+        _kept_powers[:] = out
+    return out[0][:count], out[1][:count]
 
 
 def word_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -99,15 +117,12 @@ def word_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     if not len(starts):
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        power = np.full(len(body) + 1, _PRIME, np.uint64)
-        power[0] = 1
-        power = np.cumprod(power, dtype=np.uint64)
+        power, inverse = _powers(len(body) + 1)
         total = np.zeros(len(body) + 1, np.uint64)
-        np.cumsum(_CODES[body] * power[:-1], dtype=np.uint64, out=total[1:])
-        inverse = np.full(len(body) + 1, _PRIME_INVERSE, np.uint64)
-        inverse[0] = 1
-        inverse = np.cumprod(inverse, dtype=np.uint64)
-        return mixed((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        codes = _CODES.take(body)
+        codes *= power[:-1]
+        np.cumsum(codes, dtype=np.uint64, out=total[1:])
+        return mixed((total.take(ends) - total.take(starts)) * inverse.take(starts) + (ends - starts).astype(np.uint64))
 
 
 def shingles(hashes: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

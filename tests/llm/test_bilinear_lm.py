@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from hazemart.llm import bilinear_lm
+from hazemart.llm import bilinear_lm, kernel
 
 
 def check(spark, rows):
@@ -165,3 +165,22 @@ def test_the_lexicon_is_searched_by_high_bits():
         units = shape.units(asked, np.arange(len(asked)) % 33 - 1)
         known = np.isin(asked, some) & (np.arange(len(asked)) % 33 > 0)
         assert (units[known] < len(some)).all() and (some[units[known]] == asked[known]).all() and (units[~known] >= len(some)).all()
+
+
+def test_sums_of_runs_of_all_lengths_and_powers_that_are_kept(monkeypatch):
+    draw = np.random.default_rng(4)
+    at = np.repeat([5, 0, 9, 7, 2, 3], [1, 2, 7, 8, 9, 60])
+    at = at[draw.permutation(len(at))]
+    rows = draw.normal(size=(len(at), 24)).astype(np.float32)
+    found, sums, counts = bilinear_lm._grouped(at, rows)
+    order = np.argsort(at, kind="stable")
+    assert found.tolist() == [0, 2, 3, 5, 7, 9] and counts.tolist() == [2, 9, 60, 1, 8, 7]
+    assert np.array_equal(sums, np.add.reduceat(rows[order], np.cumsum(counts) - counts))
+    body = draw.integers(0, 256, 3000).astype(np.uint8)
+    starts, ends = np.arange(0, 2900, 10), np.arange(0, 2900, 10) + 7
+    hashes = kernel.word_hashes(body, starts, ends)
+    kept = kernel._kept_powers[0]
+    assert np.array_equal(kernel.word_hashes(body[:100], starts[:5], ends[:5]), hashes[:5]) and kernel._kept_powers[0] is kept
+    monkeypatch.setattr(kernel, "_kept_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    monkeypatch.setattr(kernel, "KEPT_POWERS", 10)  # too long to be kept
+    assert np.array_equal(kernel.word_hashes(body, starts, ends), hashes) and len(kernel._kept_powers[0]) == 1
