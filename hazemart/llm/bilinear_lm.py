@@ -58,6 +58,8 @@ STREAM_RATE = 0.1
 BLOCK = 256
 #: runs of rows up to this are added step by step
 SHORT_RUN = 8
+#: rows of hidden units that a scoring task holds at a time
+HELD_ROWS = 1 << 16
 #: high bits by which a token is looked up in the lexicon
 SLOT_BITS = 18
 
@@ -264,8 +266,11 @@ def _grouped(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     keys.sort()
     ordered = keys >> bits
     keys &= (1 << bits) - 1
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    counts = np.diff(first, append=len(at))
+    new = np.empty(len(at) + 1, bool)
+    new[0] = new[-1] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:-1])
+    edges = new.nonzero()[0]
+    first, counts = edges[:-1], edges[1:] - edges[:-1]
     # reduceat goes through each column of each run, which takes longer than a step for all short runs at once
     sums = rows.take(keys[first], axis=0)
     long = counts > SHORT_RUN
@@ -273,11 +278,12 @@ def _grouped(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         sums[long] = np.add.reduceat(rows.take(keys[np.repeat(long, counts)], axis=0), np.cumsum(counts[long]) - counts[long])
     short = np.flatnonzero((counts > 1) & ~long)
     if len(short):
+        # the longest first, so that those with one more row are the first of them
+        short = short[np.argsort(np.uint8(SHORT_RUN) - counts[short].astype(np.uint8), kind="stable")]
         begin, size = first[short], counts[short]
         rest = rows.take(keys[begin + 1], axis=0)
-        for step in range(2, int(size.max())):
-            more = np.flatnonzero(size > step)
-            rest[more] += rows.take(keys[begin[more] + step], axis=0)
+        for step, more in enumerate((len(size) - np.cumsum(np.bincount(size)))[2:-1].tolist(), 2):
+            rest[:more] += rows.take(keys[begin[:more] + step], axis=0)
         sums[short] += rest
     return ordered[first], sums, counts
 
@@ -309,10 +315,10 @@ class Learner:
 
     def _move(self, table: int, at: np.ndarray, rows: np.ndarray) -> None:
         found, slope, times = _grouped(at, rows)
-        square = self.squares[table][found] + np.einsum("ij,ij->i", slope, slope) / np.float32(slope.shape[1])
+        square = self.squares[table].take(found) + np.einsum("ij,ij->i", slope, slope) / np.float32(slope.shape[1])
         self.squares[table][found] = square
         slope *= (STREAM_RATE / np.sqrt(square))[:, None]
-        self.tables[table][found] = self.tables[table].take(found, axis=0) - slope
+        self.tables[table][found] = np.subtract(self.tables[table].take(found, axis=0), slope, out=slope)
         self.times[table][found] += times
 
     def _level(self, level: int, truth: np.ndarray, seen: np.ndarray) -> np.ndarray:
@@ -323,7 +329,8 @@ class Learner:
         offset = np.float32(np.log(k))
         true_rows, noise_rows = outputs.take(truth, axis=0), outputs.take(noise, axis=0)
         up = _sigmoid(np.einsum("ij,ij->i", seen, true_rows) - offset)[:, None]
-        down = _sigmoid(offset - seen @ noise_rows.T)
+        down = seen @ noise_rows.T
+        down = _sigmoid(np.subtract(offset, down, out=down))
         slopes = down @ noise_rows
         true_rows *= up
         slopes -= true_rows
@@ -347,7 +354,10 @@ class Learner:
             d_seen += self._level(2, self.rank[within], seen)
             d_hidden[inner] = d_hidden.take(inner, axis=0) + d_seen
         slopes = np.stack([x.T @ d_hidden for x in inputs])
-        self._move(0, np.concatenate(context), np.concatenate([d_hidden @ p.T for p in now.positions]))
+        moved = np.empty((2, *d_hidden.shape), np.float32)
+        for p, out in zip(now.positions, moved, strict=True):
+            np.matmul(d_hidden, p.T, out=out)
+        self._move(0, np.concatenate(context), moved.reshape(-1, WIDTH))
         self.square += slopes * slopes
         now.positions -= STREAM_RATE * slopes / np.sqrt(self.square)
 
@@ -501,22 +511,30 @@ class Scorer:
         return self.log10_after(self.shape.context(units, rows), units)
 
     def log10_after(self, context: list[np.ndarray], units: np.ndarray) -> np.ndarray:
+        shape = self.shape
+        # by group, and thereby by class, so that few rows of hidden units are held at a time and each is made once
+        groups = shape.groups.astype(np.uint16 if len(shape.group_starts) < 1 << 16 else np.int64).take(units)
+        sort = np.argsort(groups, kind="stable")
+        out = np.empty(len(units), np.float32)
+        for low in range(0, len(units), HELD_ROWS):
+            some = sort[low : low + HELD_ROWS]
+            out[some] = self._sorted([c.take(some) for c in context], units.take(some))
+        return out.astype(np.float64) / np.log(10)
+
+    def _sorted(self, context: list[np.ndarray], units: np.ndarray) -> np.ndarray:
+        """Natural logarithms for units in the order of their groups."""
         shape = self.shape
         # rows are gathered by take, which is several times faster than an index
         hidden = self.moved[0].take(context[0], axis=0)
         hidden += self.moved[1].take(context[1], axis=0)
-        classes = shape.classes[units]
+        classes, groups = shape.classes.take(units), shape.groups.take(units)
         out = _choices(hidden, np.array([0, len(units)]), np.zeros(1, int), classes, np.array([0, CLASSES]), self.outputs[0])
-        # by group, and thereby by class; the others are alone in their class
-        inner = np.flatnonzero((classes >= OWN_CLASSES) & (classes < END_CLASS))
-        groups = shape.groups[units[inner]]
-        sort = np.argsort(groups.astype(np.uint16) if len(shape.group_starts) < 1 << 16 else groups, kind="stable")
-        inner, groups = inner[sort], groups[sort]
-        hidden, classes, rank = hidden.take(inner, axis=0), classes[inner], self.rank[units[inner]]
-        within = _choices(hidden, *_runs(classes), groups, shape.class_starts, self.outputs[1])
-        within += _choices(hidden, *_runs(groups), rank, shape.group_starts, self.outputs[2])
-        out[inner] += within
-        return out.astype(np.float64) / np.log(10)
+        # own classes come first and the end last; both are alone in their class
+        low, high = np.searchsorted(classes, [OWN_CLASSES, END_CLASS])
+        hidden, classes, groups = hidden[low:high], classes[low:high], groups[low:high]
+        out[low:high] += _choices(hidden, *_runs(classes), groups, shape.class_starts, self.outputs[1])
+        out[low:high] += _choices(hidden, *_runs(groups), self.rank.take(units[low:high]), shape.group_starts, self.outputs[2])
+        return out
 
 
 def scorer(shape: Tree, weights: Network) -> Scorer:
@@ -599,13 +617,61 @@ def _in_units(source: DataFrame, shared) -> DataFrame:
 def _trigram_counts(training: DataFrame, shared) -> DataFrame:
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         units, counts = unpacked(batch.column("_units"))
-        cells, n = np.unique(shared.value.cells(units, np.repeat(np.arange(len(counts)), counts)), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], names=["cell", "n"])
+        n = np.bincount(shared.value.cells(units, np.repeat(np.arange(len(counts)), counts)))  # CLASSES**3 at most
+        cells = np.flatnonzero(n)
+        return pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n[cells])], names=["cell", "n"])
 
     found = _map(training.select("_units"), count, "cell long, n long", COUNT_BYTES, "_units")
     return found.groupBy("cell").agg(F.sum("n").alias("n"))
 
 
+def _scored_units(texts: DataFrame, shared) -> DataFrame:
+    """For every text its tokens, the frequent ones of them, and log10 without the counts of the rare ones: of the model, of the counts."""
+    kind = texts.schema["_id"].dataType.simpleString()
+
+    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+        scorer = shared.value
+        shape = scorer.shape
+        units, counts = unpacked(batch.column("_units"))
+        count = batch.num_rows
+        rows = np.repeat(np.arange(count), counts)
+        share = scorer.log10(units, rows)
+        rare = (units >= len(shape.codes)) & (units < shape.end)
+        # without training rows the end is unknown as well
+        frequent = ~rare & ((units != shape.end) | (shape.mass[shape.end] > 1))
+        logs = scorer.log_mass.take(units)
+        share[rare] -= logs[rare]
+        logs[rare] = 0.0
+        total = lambda x: np.bincount(rows, x, count)
+        return pa.RecordBatch.from_arrays([
+            batch.column("_uid"), batch.column("_id"), pa.array(counts), pa.array(total(frequent).astype(np.int64)),
+            pa.array(total(share)), pa.array(total(logs)),
+        ], names=["_uid", "_id", "n_tokens", "n_known", "model", "logs"])
+
+    schema = f"_uid long, _id {kind}, n_tokens long, n_known long, model double, logs double"
+    return _map(texts.select("_uid", "_id", "_units"), score, schema, COUNT_BYTES, "_units")
+
+
+def _rare_counts(texts: DataFrame) -> DataFrame:
+    """The rare tokens of every text with their number in it."""
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spelled, places = _bytes(batch.column("_rare"))
+        codes = spelled[places[0] : places[-1]].copy().view(np.uint64)
+        of = np.repeat(np.arange(batch.num_rows), np.diff(places) // 8)
+        with np.errstate(over="ignore"):
+            sort = np.argsort(codes + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        token, row = codes[sort], of[sort]
+        first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (row[1:] != row[:-1])]) if len(token) else np.zeros(0, int)
+        times = np.diff(first, append=len(token)).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("_uid").take(pa.array(row[first])), pa.array(token[first].view(np.int64)), pa.array(times)],
+            names=["_uid", "token", "n"],
+        )
+
+    return _map(texts.select("_uid", "_rare"), count, "_uid long, token long, n int", COUNT_BYTES, "_rare")
+
+
 def _columns(df: DataFrame) -> list[np.ndarray]:
     table = df.toArrow()
     return [table.column(k).to_numpy() for k in range(table.num_columns)]
@@ -633,64 +699,28 @@ def scored(docs: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str
     codes, shapes, c = _columns(counts.orderBy(F.desc("c"), "token").limit(LEXICON))
     shape = tree(codes, shapes, c, shape_totals)
     shared_tree = spark.sparkContext.broadcast(shape)
-    texts = settled(_in_units(source, shared_tree), "units")
+    texts = settled(_in_units(source, shared_tree).withColumn("_uid", F.monotonically_increasing_id()), "units")
     known = texts.where("_train")
     cells, n = _columns(_trigram_counts(known, shared_tree))  # CLASSES**3 cells at most
+    shared_tree.unpersist()
     by_cell = np.argsort(cells)
     start = network(shape, train(cells[by_cell], n[by_cell]))
     # LEXICON units at most, here and below
-    weights = averaged(known, -(-total // PART_TOKENS), spark.sparkContext.broadcast((shape, start)), start) if total else start
-    shared_full = spark.sparkContext.broadcast(scorer(shape, weights))
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"_uid long, _id {kind}, token long, n int, n_tokens long, n_known long, model double, logs double"
-
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scorer = shared_full.value
-        shape = scorer.shape
-        units, counts = unpacked(batch.column("_units"))
-        count = batch.num_rows
-        rows = np.repeat(np.arange(count), counts)
-        share = scorer.log10(units, rows)
-        rare = (units >= len(shape.codes)) & (units < shape.end)
-        # without training rows the end is unknown as well
-        frequent = ~rare & ((units != shape.end) | (shape.mass[shape.end] > 1))
-        logs = scorer.log_mass[units]
-        share[rare] -= logs[rare]
-        logs[rare] = 0.0
-        total = lambda x: np.bincount(rows, x, count)
-        # rare tokens of a text with their number in it
-        spelled, places = _bytes(batch.column("_rare"))
-        codes = spelled[places[0] : places[-1]].copy().view(np.uint64)
-        of = rows[rare]
-        with np.errstate(over="ignore"):
-            sort = np.argsort(codes + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        token, row = codes[sort], of[sort]
-        first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (row[1:] != row[:-1])]) if len(token) else np.zeros(0, int)
-        times = np.diff(first, append=len(token))
-        uid = batch.column("_uid")
-        empty = len(first)
-        # a row for the text, keyed by a code of its own, then one for each rare token
-        heads = kernel.mixed(uid.to_numpy().view(np.uint64) + np.uint64(77)).view(np.int64)
-        zeros = np.zeros(empty)
-        return pa.RecordBatch.from_arrays([
-            pa.concat_arrays([uid, uid.take(pa.array(row[first]))]),
-            pa.concat_arrays([batch.column("_id"), pa.nulls(empty, batch.column("_id").type)]),
-            pa.array(np.concatenate([heads, token[first].view(np.int64)])),
-            pa.array(np.concatenate([np.zeros(count, np.int32), times.astype(np.int32)])),
-            pa.array(np.concatenate([total(None), np.zeros(empty, np.int64)]).astype(np.int64)),
-            pa.array(np.concatenate([total(frequent.astype(float)), zeros]).astype(np.int64)),
-            pa.array(np.concatenate([total(share), zeros])), pa.array(np.concatenate([total(logs), zeros])),
-        ], names=["_uid", "_id", "token", "n", "n_tokens", "n_known", "model", "logs"])
-
-    numbered = texts.select(F.monotonically_increasing_id().alias("_uid"), "_id", "_units", "_rare")
-    rows = _map(numbered, score, schema, COUNT_BYTES, "_units")
+    weights = start
+    if total:
+        shared_start = spark.sparkContext.broadcast((shape, start))
+        weights = averaged(known, -(-total // PART_TOKENS), shared_start, start)
+        shared_start.unpersist()
+    found = _scored_units(texts, spark.sparkContext.broadcast(scorer(shape, weights)))
     own_logs = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))
-    joined = rows.join(counts.select("token", "c"), "token", "left")
-    found = joined.groupBy("_uid").agg(
-        F.max("_id").alias(id_col), F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("logs") + own_logs).alias("_logs"), F.sum(F.col("model") + own_logs).alias("score"),
+    rare = _rare_counts(texts).join(counts.select("token", "c"), "token", "left").select(
+        "_uid", F.lit(None).cast(found.schema["_id"].dataType).alias("_id"), F.lit(0).cast("long").alias("n_tokens"),
+        F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0).cast("long").alias("n_known"),
+        own_logs.alias("model"), own_logs.alias("logs"),
+    )
+    found = found.unionByName(rare).groupBy("_uid").agg(
+        F.max("_id").alias(id_col), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
+        F.sum("logs").alias("_logs"), F.sum("model").alias("score"),
     )
     scale = float(np.log10(total + 0.1 * (distinct + 1)))
     return found.select(

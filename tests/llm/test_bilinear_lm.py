@@ -2,6 +2,7 @@
 
 import collections
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -184,3 +185,28 @@ def test_sums_of_runs_of_all_lengths_and_powers_that_are_kept(monkeypatch):
     monkeypatch.setattr(kernel, "_kept_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
     monkeypatch.setattr(kernel, "KEPT_POWERS", 10)  # too long to be kept
     assert np.array_equal(kernel.word_hashes(body, starts, ends), hashes) and len(kernel._kept_powers[0]) == 1
+
+
+def test_memory_of_scoring_does_not_hold_every_hidden_unit(monkeypatch):
+    """Of a slice of many tokens only numbers are held; scores are the same in whatever rows hidden units are held."""
+    random = np.random.default_rng(5)
+    codes = random.integers(1, 1 << 62, 400)
+    shapes, counts = random.integers(0, bilinear_lm.SHAPES, 400), np.sort(random.integers(1, 500, 400))[::-1]
+    totals = {s: (int(counts[shapes == s].sum()) + 40, int((shapes == s).sum()) + 9) for s in range(bilinear_lm.SHAPES)}
+    shape = bilinear_lm.tree(codes, shapes, counts, {**totals, -1: (30, 1)})
+    start = bilinear_lm.network(shape, bilinear_lm.train(np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    for outputs in start.outputs:
+        outputs[:] = random.normal(0, 0.3, outputs.shape)
+    scorer = bilinear_lm.scorer(shape, start)
+    units, rows = random.integers(0, shape.end + 1, 400_000), np.arange(400_000) // 900
+    peaks = []
+    for count in (200_000, 400_000):
+        tracemalloc.start()
+        whole = scorer.log10(units[:count], rows[:count])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] - peaks[0] < 200_000 * 4 * bilinear_lm.WIDTH  # less than one hidden unit a token
+    few = scorer.log10(units[:3000], rows[:3000])
+    assert np.allclose(whole[:3000], few, atol=1e-5)
+    monkeypatch.setattr(bilinear_lm, "HELD_ROWS", 7, raising=False)
+    assert np.allclose(scorer.log10(units[:3000], rows[:3000]), few, atol=1e-5)
